@@ -53,13 +53,89 @@ MODEL_QUERIES: dict[str, tuple[str, list[str] | None]] = {
 }
 
 
+
+
+# ---------------------------------------------------------------- data quality
+from tessera.operators import quality as dq  # noqa: E402
+
+
+def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.unique(layers(spark, sf_dir).base_members, "memberid")
+
+
+def q_dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.not_null(layers(spark, sf_dir).base_members, "joindate").drop("insert_date")
+
+
+def q_dq_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = layers(spark, sf_dir)
+    return dq.relationships(L.stg_orders, "memberid", L.stg_members, "memberid").drop("insert_date")
+
+
+def q_dq_non_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.non_negative(layers(spark, sf_dir).stg_orders_items, "price").drop("insert_date")
+
+
+def q_dq_after(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.after(layers(spark, sf_dir).stg_orders, "orderdate", "'2000-01-01'").drop("insert_date")
+
+
+def q_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dq.run_checks(layers(spark, sf_dir).model)
+
+
+def _check_sql(c: dq.Check) -> str:
+    m, col = c.model, c.column
+    if c.test == "unique":
+        n = (f"SELECT COUNT(*) FROM (SELECT {col} FROM {m} WHERE {col} IS NOT NULL "
+             f"GROUP BY {col} HAVING COUNT(*) > 1)")
+    elif c.test == "not_null":
+        n = f"SELECT COUNT(*) FROM {m} WHERE {col} IS NULL"
+    elif c.test == "relationships":
+        to, fld = c.args["to"], c.args["field"]
+        n = (f"SELECT COUNT(*) FROM {m} ch WHERE ch.{col} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {to} pa WHERE pa.{fld} = ch.{col})")
+    elif c.test == "positive":
+        n = f"SELECT COUNT(*) FROM {m} WHERE {col} < 0"
+    else:
+        n = f"SELECT COUNT(*) FROM {m} WHERE {col} < CAST({c.args['min']} AS DATE)"
+    return (f"SELECT '{c.layer}' AS layer, '{m}' AS model, '{c.test}' AS test_name, "
+            f"'{col}' AS column_name, '{c.severity}' AS severity, ({n}) AS failures")
+
+
+DQ_QUERIES = {
+    "dq_unique": (q_dq_unique, osql.with_models(
+        "SELECT memberid AS unique_field, COUNT(*) AS n_records FROM base_members "
+        "WHERE memberid IS NOT NULL GROUP BY memberid HAVING COUNT(*) > 1")),
+    "dq_not_null": (q_dq_not_null, osql.with_models(
+        "SELECT * FROM base_members WHERE joindate IS NULL")),
+    "dq_relationships": (q_dq_relationships, osql.with_models(
+        "SELECT * FROM stg_orders o WHERE o.memberid IS NOT NULL AND NOT EXISTS "
+        "(SELECT 1 FROM stg_members m WHERE m.memberid = o.memberid)")),
+    "dq_non_negative": (q_dq_non_negative, osql.with_models(
+        "SELECT * FROM stg_orders_items WHERE price < 0")),
+    "dq_after": (q_dq_after, osql.with_models(
+        "SELECT * FROM stg_orders WHERE orderdate < CAST('2000-01-01' AS DATE)")),
+    "dq_summary": (q_dq_summary, osql.with_models(
+        "\nUNION ALL\n".join(_check_sql(c) for c in dq.DECLARED_CHECKS))),
+}
+
+
+# ---------------------------------------------------------------- registry
+def _extra_registries() -> list[dict]:
+    return [DQ_QUERIES]
+
+
 def queries() -> dict[str, QueryFn]:
     out: dict[str, QueryFn] = {k: _model(m, cols) for k, (m, cols) in MODEL_QUERIES.items()}
+    for reg in _extra_registries():
+        out.update({k: fn for k, (fn, _sql) in reg.items()})
     return out
 
 
 def oracle() -> dict[str, str]:
-    out = {}
-    for key, (model, cols) in MODEL_QUERIES.items():
-        out[key] = osql.model_select(model, ", ".join(cols) if cols else "*")
+    out = {key: osql.model_select(model, ", ".join(cols) if cols else "*")
+           for key, (model, cols) in MODEL_QUERIES.items()}
+    for reg in _extra_registries():
+        out.update({k: sql for k, (_fn, sql) in reg.items() if sql is not None})
     return out
