@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.plans import oracle_sql as osql
 from tessera.plans.layers import Layers
@@ -121,9 +122,58 @@ DQ_QUERIES = {
 }
 
 
+# ---------------------------------------------------------------- incremental
+from tessera.operators import incremental as inc  # noqa: E402
+from tessera.plans import bronze as _bronze  # noqa: E402
+from tessera.sources.testdata import raw_orders_revision  # noqa: E402
+
+INCREMENTAL_CUTOFF = "2000-01-01"
+
+
+def _incremental_inputs(spark: SparkSession, sf_dir: str):
+    """Target = orders delivered before the cutoff; source = the next delivery."""
+    target = layers(spark, sf_dir).base_orders.where(F.col("orderdate") < F.lit(INCREMENTAL_CUTOFF).cast("date"))
+    source = _bronze.base_orders(raw_orders_revision(spark, sf_dir))
+    return target, source, inc.high_water(target, "orderdate")
+
+
+def q_incremental_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _target, source, hw = _incremental_inputs(spark, sf_dir)
+    return inc.since(source, "orderdate", hw).drop("insert_date")
+
+
+def q_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target, source, hw = _incremental_inputs(spark, sf_dir)
+    merged = inc.upsert(target, inc.since(source, "orderdate", hw), "orderid", "orderdate")
+    return merged.drop("insert_date")
+
+
+def q_incremental_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _target, source, hw = _incremental_inputs(spark, sf_dir)
+    return inc.load_metrics(source, "orderdate", hw)
+
+
+_ORDER_COLS = "orderid, memberid, storeid, campaignid, orderdate, subtotal, total, source_name"
+
+INCREMENTAL_QUERIES = {
+    "incremental_high_water": (q_incremental_high_water, osql.with_models(
+        f"SELECT {_ORDER_COLS} FROM inc_new")),
+    "incremental_upsert": (q_incremental_upsert, osql.with_models(
+        f"SELECT {_ORDER_COLS} FROM inc_target t WHERE NOT EXISTS "
+        f"(SELECT 1 FROM inc_changes c WHERE c.orderid = t.orderid) "
+        f"UNION ALL SELECT {_ORDER_COLS} FROM inc_changes")),
+    "incremental_late_rows": (q_incremental_late_rows, osql.with_models(
+        "SELECT (SELECT MAX(orderdate) FROM inc_target) AS high_water, COUNT(*) AS source_rows, "
+        "COUNT(*) FILTER (WHERE orderdate >= (SELECT MAX(orderdate) FROM inc_target)) AS loaded_rows, "
+        "COUNT(*) FILTER (WHERE orderdate < (SELECT MAX(orderdate) FROM inc_target)) AS late_rows, "
+        "COUNT(*) FILTER (WHERE orderdate IS NULL) AS undated_rows "
+        "FROM base_orders_revision")),
+}
+
+
 # ---------------------------------------------------------------- registry
 def _extra_registries() -> list[dict]:
-    return [DQ_QUERIES]
+    return [DQ_QUERIES, INCREMENTAL_QUERIES]
 
 
 def queries() -> dict[str, QueryFn]:

@@ -58,6 +58,23 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_lineage("orders.csv"))
 
 
+def raw_orders_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next delivery of the orders file: every order re-sent with its
+    total revised up by 1.00; pending orders (status ``P``) moved one day
+    later, so some cross into the next year and into the load window."""
+    o = _table(spark, sf_dir, "orders")
+    shift = F.when(o.o_orderstatus == "P", 1).otherwise(0)
+    return o.select(
+        o.o_orderkey.cast("string").alias("orderid"),
+        o.o_custkey.cast("string").alias("memberid"),
+        F.concat(F.lit("S"), (o.o_orderkey % 20).cast("string")).alias("storeid"),
+        F.when(o.o_orderpriority != "4-NOT SPECIFIED", o.o_orderpriority).alias("campaignid"),
+        F.date_add(o.o_orderdate.cast("date"), shift).alias("orderdate"),
+        _money_text(o.o_totalprice).alias("subtotal"),
+        _money_text(o.o_totalprice + 1).alias("total"),
+        *_lineage("orders_revision.csv"))
+
+
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem")
     p = _table(spark, sf_dir, "part")
