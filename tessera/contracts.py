@@ -20,6 +20,7 @@ class Column:
     max_length: int | None = 255  # VARCHAR(n) of the raw table
     format: str | None = None     # contract date format, e.g. "DD/MM/YYYY"
     not_null: bool = False
+    cast_to: str | None = None    # type the bronze layer casts this text to
 
 
 @dataclass(frozen=True)
@@ -68,11 +69,13 @@ CONTRACTS: dict[str, Contract] = {
         "orders_raw",
         (Column("orderid", not_null=True), Column("memberid"), Column("storeid"),
          Column("campaignid"), Column("orderdate", "date", None, "DD/MM/YYYY"),
-         Column("subtotal"), Column("total")),
+         Column("subtotal", cast_to="decimal(10,2)"),
+         Column("total", cast_to="decimal(10,2)")),
         partition_by_year_of="orderdate"),
     "orders_items_raw": Contract(
         "orders_items_raw",
-        (Column("orderid", max_length=100), Column("itemname"), Column("price"))),
+        (Column("orderid", max_length=100), Column("itemname"),
+         Column("price", cast_to="decimal(10,2)"))),
     "order_status_raw": Contract(
         "order_status_raw",
         (Column("orderid"), Column("status"),

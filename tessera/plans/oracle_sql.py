@@ -230,7 +230,29 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY orderid ORDER BY orderdate DESC
       FROM inc_new WHERE orderid IS NOT NULL) WHERE rn = 1""",
 }
 
-ALL_CTES = {**RAW, **BRONZE, **SILVER, **GOLD, **MARTS, **INCREMENTAL}
+LANDING = {
+    "delivered_orders": """
+SELECT CAST(o_orderkey AS VARCHAR) AS orderid, CAST(o_custkey AS VARCHAR) AS memberid,
+       'S' || CAST(o_orderkey % 20 AS VARCHAR) AS storeid,
+       CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS campaignid,
+       CAST(o_orderdate AS DATE) AS orderdate,
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS subtotal,
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) AS total,
+       o_orderstatus
+FROM orders""",
+    "stream_day1": """
+SELECT orderid, memberid, storeid, campaignid, orderdate,
+       TRY_CAST(subtotal AS DECIMAL(10,2)) AS subtotal, TRY_CAST(total AS DECIMAL(10,2)) AS total
+FROM delivered_orders WHERE o_orderstatus <> 'P' AND orderdate < DATE '2000-01-01'""",
+    "stream_day2": """
+SELECT orderid, memberid, storeid, campaignid, orderdate, TRY_CAST(subtotal AS DECIMAL(10,2)) AS subtotal,
+       TRY_CAST(CAST(CAST(o_totalprice + 1 AS DECIMAL(12,2)) AS VARCHAR) AS DECIMAL(10,2)) AS total
+FROM delivered_orders d JOIN orders o ON d.orderid = CAST(o.o_orderkey AS VARCHAR)
+WHERE d.o_orderstatus <> 'P'
+  AND d.orderdate >= (SELECT MAX(orderdate) FROM stream_day1)""",
+}
+
+ALL_CTES = {**RAW, **BRONZE, **SILVER, **GOLD, **MARTS, **INCREMENTAL, **LANDING}
 
 
 def with_models(final_select: str) -> str:

@@ -171,9 +171,78 @@ INCREMENTAL_QUERIES = {
 }
 
 
+# ---------------------------------------------------------------- landing
+from tessera.contracts import CONTRACTS as _CONTRACTS  # noqa: E402
+from tessera.plans import landing_queries as lq  # noqa: E402
+
+
+def _profile_sql() -> str:
+    parts = []
+    for name, c in _CONTRACTS.items():
+        for col in c.columns:
+            n = col.name
+            if col.max_length and col.type == "string":
+                long_ = f"COUNT(*) FILTER (WHERE length({n}) > {col.max_length})"
+            else:
+                long_ = "CAST(0 AS BIGINT)"
+            if col.format and col.type == "string":
+                fmt = col.format.replace("DD", "%d").replace("MM", "%m").replace("YYYY", "%Y") \
+                    .replace("HH24", "%H").replace("MI", "%M").replace("SS", "%S")
+                bad = f"COUNT(*) FILTER (WHERE {n} IS NOT NULL AND try_strptime({n}, '{fmt}') IS NULL)"
+            elif col.cast_to:
+                bad = f"COUNT(*) FILTER (WHERE {n} IS NOT NULL AND TRY_CAST({n} AS {col.cast_to.upper()}) IS NULL)"
+            else:
+                bad = "CAST(0 AS BIGINT)"
+            req = "TRUE" if col.not_null else "FALSE"
+            parts.append(
+                f"SELECT '{name}' AS table_name, '{n}' AS column_name, COUNT(*) AS row_count, "
+                f"COUNT(*) FILTER (WHERE {n} IS NULL) AS null_count, {long_} AS over_length_count, "
+                f"{bad} AS bad_value_count, {req} AS req FROM {name}")
+    body = "\nUNION ALL\n".join(parts)
+    return osql.with_models(
+        "SELECT table_name, column_name, row_count, null_count, over_length_count, bad_value_count, "
+        "CASE WHEN req AND null_count > 0 THEN 'null in required column' "
+        "WHEN over_length_count > 0 THEN 'too long' WHEN bad_value_count > 0 THEN 'bad values' "
+        f"ELSE 'ok' END AS status FROM ({body})")
+
+
+_STREAM_UPSERT_SQL = osql.with_models(
+    "SELECT * FROM stream_day1 t WHERE NOT EXISTS (SELECT 1 FROM stream_day2 c WHERE c.orderid = t.orderid) "
+    "UNION ALL SELECT * FROM stream_day2")
+
+LANDING_QUERIES = {
+    "ingest_csv": (lq.q_ingest_csv, osql.with_models(
+        "SELECT orderid, memberid, storeid, campaignid, orderdate, subtotal, total "
+        "FROM delivered_orders WHERE o_orderstatus <> 'P'")),
+    "ingest_quarantine": (lq.q_ingest_quarantine, osql.with_models(
+        "SELECT orderid, memberid, storeid, campaignid, strftime(orderdate, '%Y-%m-%d') AS orderdate, "
+        "subtotal, total, 'orderdate: not a DD/MM/YYYY value' AS reject_reason "
+        "FROM delivered_orders WHERE o_orderstatus = 'P'")),
+    "stream_ingest": (lq.q_stream_ingest, osql.with_models(
+        "SELECT orderid, status, statustimestamp FROM order_status_raw")),
+    "stream_upsert": (lq.q_stream_upsert, _STREAM_UPSERT_SQL),
+    "contract_profile": (lq.q_contract_profile, _profile_sql()),
+    "normalize_dates": (lq.q_normalize_dates, """
+SELECT orderid, date_format, date_text,
+       CASE date_format
+         WHEN 'DD/MM/YYYY' THEN strftime(try_strptime(date_text, '%d/%m/%Y'), '%Y-%m-%d')
+         WHEN 'MM/DD/YYYY' THEN strftime(try_strptime(date_text, '%m/%d/%Y'), '%Y-%m-%d')
+         WHEN 'YYYY-MM-DD' THEN strftime(try_strptime(date_text, '%Y-%m-%d'), '%Y-%m-%d')
+       END AS iso_date
+FROM (SELECT CAST(o_orderkey AS VARCHAR) AS orderid,
+             CASE WHEN o_orderstatus = 'F' THEN 'DD/MM/YYYY' WHEN o_orderstatus = 'O' THEN 'YYYY-MM-DD'
+                  ELSE 'MM/DD/YYYY' END AS date_format,
+             CASE WHEN o_orderstatus = 'O' THEN strftime(o_orderdate, '%Y-%m-%d')
+                  ELSE strftime(o_orderdate, '%d/%m/%Y') END AS date_text
+      FROM orders)"""),
+    "partition_prune": (lq.q_partition_prune, osql.with_models(
+        "SELECT * FROM base_orders WHERE orderdate >= DATE '2000-01-01'")),
+}
+
+
 # ---------------------------------------------------------------- registry
 def _extra_registries() -> list[dict]:
-    return [DQ_QUERIES, INCREMENTAL_QUERIES]
+    return [DQ_QUERIES, INCREMENTAL_QUERIES, LANDING_QUERIES]
 
 
 def queries() -> dict[str, QueryFn]:

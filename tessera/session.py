@@ -45,16 +45,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when it is unset (local
-    tests) do we create one, so jobs never fall back to a machine-local folder
-    on a cluster that already configured a shared one.
+    A cluster names it in ``spark.checkpoint.dir`` (or has already called
+    ``setCheckpointDir``); only when neither is set (local tests) do we make
+    one, so jobs never fall back to a machine-local folder on a cluster.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    # setCheckpointDir creates a unique sub-folder; hand out that one.
+    return sc.getCheckpointDir() or path
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
