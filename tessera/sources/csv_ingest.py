@@ -16,8 +16,8 @@ Flow for one landing folder:
    *file* order, then selected by name (Spark binds CSV columns by
    position).  Doubled quotes are the escape; ragged rows are caught in
    ``_corrupt_record``.
-4. ``validate``    - per row: malformed, NOT NULL key missing, date not in
-   the contract format, number that does not cast.  Every input row ends up
+4. ``validate``    - per row: malformed, NOT NULL key missing, DATE column
+   not in the contract format, number that does not cast.  Every input row ends up
    either loaded or quarantined with its original cells and a reason.
 5. ``ingest``      - one write per table, partitioned by ``ingest_status``
    (and by year for tables with a date partition), so loaded and quarantined
@@ -221,13 +221,14 @@ def validate(df: DataFrame, contract: Contract) -> DataFrame:
         col = F.col(c.name)
         if c.not_null:
             reasons.append(F.when(col.isNull(), F.lit(f"{c.name}: required value missing")))
-        if c.format:
-            pattern = spark_pattern(c.format)
-            parsed = (F.try_to_timestamp(col, F.lit(pattern)) if "H" in pattern
-                      else F.try_to_date(col, pattern))
+        if c.format and c.type != "string":
+            # Only typed (DATE) columns are converted and checked on landing;
+            # a format on a text column is documentation (the contract
+            # profile reports whether the data follows it).
+            parsed = F.try_to_date(col, spark_pattern(c.format))
             reasons.append(F.when(col.isNotNull() & parsed.isNull(),
                                   F.lit(f"{c.name}: not a {c.format} value")))
-            typed.append(parsed.cast(c.type).alias(c.name) if c.type != "string" else col)
+            typed.append(parsed.cast(c.type).alias(c.name))
         else:
             if c.cast_to:
                 reasons.append(F.when(col.isNotNull() & col.try_cast(c.cast_to).isNull(),
