@@ -135,16 +135,48 @@ def violations(check: Check, model: Callable[[str], DataFrame]) -> DataFrame:
     raise ValueError(f"unknown test {check.test}")
 
 
+ROW_LEVEL = ("not_null", "positive", "after")
+
+
+def _violates(c: Check) -> F.Column:
+    col = F.col(c.column)
+    if c.test == "not_null":
+        return col.isNull()
+    if c.test == "positive":
+        return col < 0
+    return col < _bound(c.args["min"])
+
+
+def _summary_row(c: Check, failures: F.Column) -> F.Column:
+    return F.struct(F.lit(c.layer).alias("layer"), F.lit(c.model).alias("model"),
+                    F.lit(c.test).alias("test_name"), F.lit(c.column).alias("column_name"),
+                    F.lit(c.severity).alias("severity"), failures.alias("failures"))
+
+
 def run_checks(model: Callable[[str], DataFrame],
                checks: Iterable[Check] = DECLARED_CHECKS) -> DataFrame:
-    """One row per test: layer, model, test_name, column_name, severity, failures."""
+    """One row per test: layer, model, test_name, column_name, severity, failures.
+
+    Row-level tests (not_null, positive, after) of one model are counted in a
+    single aggregation pass over it; unique and relationships tests need
+    their own grouping or anti join.
+    """
+    checks = list(checks)
+    per_model: dict[str, list[Check]] = {}
+    for c in checks:
+        if c.test in ROW_LEVEL:
+            per_model.setdefault(c.model, []).append(c)
     parts = []
+    for name, cs in per_model.items():
+        counts = model(name).agg(*[F.count(F.when(_violates(c), 1)).alias(f"_f{i}")
+                                   for i, c in enumerate(cs)])
+        rows = F.array(*[_summary_row(c, F.col(f"_f{i}")) for i, c in enumerate(cs)])
+        parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
     for c in checks:
-        v = violations(c, model)
-        parts.append(v.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.layer).alias("layer"), F.lit(c.model).alias("model"),
-            F.lit(c.test).alias("test_name"), F.lit(c.column).alias("column_name"),
-            F.lit(c.severity).alias("severity"), "failures"))
+        if c.test not in ROW_LEVEL:
+            v = violations(c, model)
+            parts.append(v.agg(F.count(F.lit(1)).alias("_n"))
+                          .select(_summary_row(c, F.col("_n")).alias("r")).select("r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

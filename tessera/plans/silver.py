@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.dedup import keep_latest
+from tessera.operators.dedup import keep_latest, keep_latest_by_aggregate
 
 
 def _restamp(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -23,14 +23,15 @@ def stg_orders(base: DataFrame) -> DataFrame:
 
 def stg_members(base: DataFrame) -> DataFrame:
     keyed = base.where(F.col("memberid").isNotNull())
-    return _restamp(keep_latest(keyed, ["memberid"], "joindate"),
+    # Dimensions dedup as a GROUP BY so Catalyst can drop unused joins to them.
+    return _restamp(keep_latest_by_aggregate(keyed, ["memberid"], "joindate"),
                     ["memberid", "membername", "membershiptype", "joindate",
                      "expirationdate", "source_name"])
 
 
 def stg_marketing(base: DataFrame) -> DataFrame:
     keyed = base.where(F.col("campaignid").isNotNull())
-    return _restamp(keep_latest(keyed, ["campaignid"], "campaignstartdate"),
+    return _restamp(keep_latest_by_aggregate(keyed, ["campaignid"], "campaignstartdate"),
                     ["campaignid", "targetaudience", "campaignstartdate",
                      "campaignenddate", "source_name"])
 

@@ -135,3 +135,16 @@ def test_member_preferences_keep_orphans(spark):
                                     "joindate date, expirationdate date")
     got = {r["memberid"]: r["membername"] for r in gold.build_member_preferences(prefs, members).collect()}
     assert got == {"1": "Ann", "9": None}
+
+
+def test_aggregate_dedup_matches_window(spark):
+    from tessera.operators.dedup import keep_latest_by_aggregate
+    rows = [("1", D(2024, 1, 1), "b.csv", "x"), ("1", D(2024, 1, 1), "a.csv", "y"),
+            ("1", D(2023, 1, 1), "a.csv", "z"), ("2", None, "a.csv", "p"), ("2", D(2024, 5, 1), "a.csv", "q"),
+            ("3", D(2024, 1, 1), None, "r"), ("3", D(2024, 1, 1), "a.csv", None),
+            ("3", D(2024, 1, 1), "a.csv", "s")]
+    df = spark.createDataFrame(rows, "k string, d date, source_name string, v string")
+    a = sorted(map(tuple, keep_latest(df, ["k"], "d").collect()), key=str)
+    b = sorted(map(tuple, keep_latest_by_aggregate(df, ["k"], "d").collect()), key=str)
+    assert a == b
+    assert {r[0]: r[3] for r in a} == {"1": "y", "2": "p", "3": "r"}
