@@ -33,12 +33,25 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
+def _orphan_key_counts(df: DataFrame, column: str, parent: DataFrame, field_name: str) -> DataFrame:
+    """(key, rows) for child keys without a parent.
+
+    Child keys are aggregated first (map-side partial aggregation collapses a
+    hot key to one row per task), so only distinct keys meet the parent in
+    the anti join; the child's full rows are never shuffled for it.
+    """
+    keys = (df.where(F.col(column).isNotNull())
+              .groupBy(F.col(column).alias("_child_key"))
+              .agg(F.count(F.lit(1)).alias("_rows")))
+    parents = parent.select(F.col(field_name).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
+    return keys.join(parents, keys["_child_key"] == parents["_parent_key"], "left_anti")
+
+
 def relationships(df: DataFrame, column: str, parent: DataFrame, field_name: str) -> DataFrame:
-    # Anti join: the parent side only contributes its key column.  Catalyst
-    # broadcasts it when its size is under the threshold, else shuffles.
-    keys = parent.select(F.col(field_name).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
-    child = df.where(F.col(column).isNotNull())
-    return child.join(keys, child[column] == keys["_parent_key"], "left_anti")
+    orphans = _orphan_key_counts(df, column, parent, field_name).select("_child_key")
+    # Semi join of the child rows to the (usually few) orphan keys: Catalyst
+    # broadcasts the key set when its measured size allows, else shuffles.
+    return df.join(orphans, df[column] == orphans["_child_key"], "left_semi")
 
 
 def non_negative(df: DataFrame, column: str) -> DataFrame:
@@ -173,7 +186,11 @@ def run_checks(model: Callable[[str], DataFrame],
         rows = F.array(*[_summary_row(c, F.col(f"_f{i}")) for i, c in enumerate(cs)])
         parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
     for c in checks:
-        if c.test not in ROW_LEVEL:
+        if c.test == "relationships":
+            v = _orphan_key_counts(model(c.model), c.column, model(c.args["to"]), c.args["field"])
+            parts.append(v.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("_n"))
+                          .select(_summary_row(c, F.col("_n")).alias("r")).select("r.*"))
+        elif c.test not in ROW_LEVEL:
             v = violations(c, model)
             parts.append(v.agg(F.count(F.lit(1)).alias("_n"))
                           .select(_summary_row(c, F.col("_n")).alias("r")).select("r.*"))
