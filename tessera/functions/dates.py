@@ -59,5 +59,10 @@ def month_label(col: Column | str) -> Column:
 
 
 def micros_between(start: Column | str, end: Column | str) -> Column:
-    """Exact ``end - start`` in microseconds for zone-free timestamps."""
-    return F.timestamp_diff("MICROSECOND", _col(start), _col(end))
+    """Exact ``end - start`` in microseconds (DECIMAL(38,0)).
+
+    Zone-free timestamps subtract to a day-time interval without consulting
+    the session zone; the interval is read out as seconds with six decimals.
+    """
+    seconds = (_col(end) - _col(start)).cast("interval second").cast("decimal(38,6)")
+    return (seconds * 1_000_000).cast("decimal(38,0)")

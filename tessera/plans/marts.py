@@ -75,8 +75,7 @@ def mart_order_processing_times(build_orders: DataFrame,
     o = build_orders.select("orderid", "storeid")
     per_store = (o.join(per_order, "orderid")
                   .groupBy("storeid")
-                  .agg(F.sum(micros_between("submitted_time", "delivered_time")
-                             .cast("decimal(38,0)")).alias("_sum_us"),
+                  .agg(F.sum(micros_between("submitted_time", "delivered_time")).alias("_sum_us"),
                        F.count(F.lit(1)).alias("_n")))
     avg_us = F.col("_sum_us") / F.col("_n")
     return per_store.select(
