@@ -50,9 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     one, so jobs never fall back to a machine-local folder on a cluster.
     """
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(path)
     # setCheckpointDir creates a unique sub-folder; hand out that one.
     return sc.getCheckpointDir() or path
