@@ -66,3 +66,9 @@ def micros_between(start: Column | str, end: Column | str) -> Column:
     """
     seconds = (_col(end) - _col(start)).cast("interval second").cast("decimal(38,6)")
     return (seconds * 1_000_000).cast("decimal(38,0)")
+
+
+def utc_now() -> Column:
+    """Load time as a zone-free UTC wall clock (``insert_date``), whatever
+    the session zone; constant within one query."""
+    return F.convert_timezone(None, F.lit("UTC"), F.current_timestamp())

@@ -15,6 +15,7 @@ per declared test) reaches the driver in ``enforce``.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -207,6 +208,11 @@ class DataQualityError(RuntimeError):
 def enforce(summary: DataFrame, fail_on: Sequence[str] = ("error",)) -> list[dict]:
     """Collect the (bounded: one row per test) summary; raise on failing errors."""
     rows = [r.asDict() for r in summary.collect()]
+    for r in rows:
+        if r["failures"] and r["severity"] not in fail_on:
+            logging.getLogger(__name__).warning(
+                "data test %s on %s.%s: %d failing rows (severity %s)", r["test_name"],
+                r["model"], r["column_name"], r["failures"], r["severity"])
     failed = [r for r in rows if r["failures"] and r["severity"] in fail_on]
     if failed:
         names = ", ".join(f"{r['test_name']}({r['model']}.{r['column_name']})={r['failures']}"

@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import parse_date, parse_timestamp, to_decimal, varchar
+from tessera.functions import parse_date, parse_timestamp, to_decimal, utc_now, varchar
 
 
 def _stamp() -> F.Column:
-    return F.current_timestamp().cast("timestamp_ntz").alias("insert_date")
+    return utc_now().alias("insert_date")
 
 
 def base_orders(raw: DataFrame) -> DataFrame:

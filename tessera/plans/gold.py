@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.dates import utc_now
+
 from tessera.operators.joins import left_enrich, star_except
 
 
 def _stamp() -> F.Column:
-    return F.current_timestamp().cast("timestamp_ntz").alias("insert_date")
+    return utc_now().alias("insert_date")
 
 
 MEMBER_ATTRIBUTES = ["membername", "membershiptype", "joindate", "expirationdate"]

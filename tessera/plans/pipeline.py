@@ -117,6 +117,10 @@ def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
     if spec.incremental and target is not None:
         hw = inc.high_water(target, "orderdate")
         first, *rest = spec.inputs
+        if first in raw:  # rows below the mark are skipped: record how many
+            (inc.load_metrics(raw[first], "orderdate", hw)
+             .select(F.lit(name).alias("model"), "*", F.current_timestamp().alias("run_at"))
+             .write.mode("append").parquet(f"{wh.root.rstrip('/')}/_metrics/incremental_loads"))
         new = spec.fn(source(first, hw), *[source(i) for i in rest])
         return {"rewritten_years": table.merge(new, "orderid", "orderdate")}
     result = spec.fn(*[source(i) for i in spec.inputs])

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.dates import utc_now
+
 from tessera.operators.dedup import keep_latest, keep_latest_by_aggregate
 
 
 def _restamp(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*columns, F.current_timestamp().cast("timestamp_ntz").alias("insert_date"))
+    return df.select(*columns, utc_now().alias("insert_date"))
 
 
 ORDER_COLUMNS = ["orderid", "memberid", "storeid", "campaignid", "orderdate",

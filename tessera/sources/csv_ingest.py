@@ -33,6 +33,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from tessera.functions.dates import utc_now
 from pyspark.sql import types as T
 
 from tessera.contracts import CONTRACTS, Contract
@@ -252,7 +254,7 @@ def validate(df: DataFrame, contract: Contract) -> DataFrame:
 def landed(df: DataFrame, contract: Contract) -> DataFrame:
     """Validated rows with lineage, status and (for dated tables) year."""
     out = df.select("*",
-                    F.current_timestamp().cast("timestamp_ntz").alias("insert_date"),
+                    utc_now().alias("insert_date"),
                     F.when(F.col("_reject_reason").isNull(), "loaded")
                      .otherwise("quarantined").alias("ingest_status"))
     if contract.partition_by_year_of:
@@ -296,3 +298,13 @@ def read_quarantine(spark: SparkSession, lake: str, table: str) -> DataFrame:
     df = spark.read.parquet(f"{lake.rstrip('/')}/{table}")
     return (df.where(F.col("ingest_status") == "quarantined")
               .select("_original.*", F.col("_reject_reason").alias("reject_reason"), "source_name"))
+
+
+def export_quarantine(spark: SparkSession, lake: str, table: str, out: str) -> None:
+    """Write a table's rejected rows as CSV under the original header (the
+    error file of the source loader), to a folder apart from the inputs so
+    the next run never lists it as a delivery."""
+    contract = CONTRACTS[table]
+    rows = read_quarantine(spark, lake, table).select(*contract.names)
+    (rows.write.mode("overwrite").option("header", True).option("quote", '"')
+         .option("escape", '"').csv(out))

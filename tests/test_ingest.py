@@ -59,6 +59,10 @@ def test_quarantine_and_conservation(spark):
     assert set(bad) == {"2", "3", None, "5", "6"}
     assert bad[None].startswith("orderid") and bad["6"] == "malformed row"
     assert len(good) + len(bad) == 7
+    ci.export_quarantine(spark, f"{root}/lake", "orders_raw", f"{root}/errors")
+    errs = spark.read.csv(f"{root}/errors", header=True)
+    assert errs.columns == ["orderid", "memberid", "storeid", "campaignid", "orderdate", "subtotal", "total"]
+    assert errs.count() == 5
     years = spark.read.parquet(f"{root}/lake/orders_raw").where(F.col("ingest_status") == "loaded") \
         .select("order_year").distinct().collect()
     assert {r[0] for r in years} == {2023}

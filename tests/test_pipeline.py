@@ -39,3 +39,7 @@ def test_build_then_incremental(spark):
     expect = target.join(new.select("orderid"), "orderid", "left_anti").unionByName(new)
     assert rows(built) == rows(expect)
     assert built.count() == wh.read("build_orders").count()
+    m = spark.read.parquet(f"{root}/_metrics/incremental_loads").collect()
+    # one row per incremental run of base_orders (runs 2 and 3 of this test)
+    assert len(m) == 2 and {r["model"] for r in m} == {"base_orders"}
+    assert all(r["late_rows"] > 0 for r in m)
