@@ -21,12 +21,12 @@ from tessera.streaming.upsert import upsert_stream
 
 ORDER_NAMES = CONTRACTS["orders_raw"].names
 
-_LAKES: dict[tuple[int, str], str] = {}
+_LAKES: dict[tuple[int, str, str], str] = {}
 
 
 def _ingested_orders(spark: SparkSession, sf_dir: str) -> str:
     """Deliver orders as CSV and ingest them once per session and data set."""
-    key = (id(spark), sf_dir)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _LAKES:
         root = scratch_dir(spark, "ingest")
         exports.export_orders(spark, sf_dir, f"{root}/landing")

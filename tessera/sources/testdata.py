@@ -32,8 +32,16 @@ from pyspark.sql import functions as F
 LOAD_TS = "2024-02-01 00:00:00"
 
 
+_READS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One resolved scan per table and session (the schema is read once)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _lineage(source: str) -> list:
