@@ -15,11 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 
 
-def star_except(df: DataFrame, exclude: Sequence[str], alias: str | None = None) -> list[Column]:
+def star_except(df: DataFrame, exclude: Sequence[str]) -> list[Column]:
     """Star-except projection: every column but ``exclude``, in order."""
     skip = {c.lower() for c in exclude}
-    return [df[c].alias(c) if alias is None else df[c].alias(c)
-            for c in df.columns if c.lower() not in skip]
+    return [df[c] for c in df.columns if c.lower() not in skip]
 
 
 def left_enrich(facts: DataFrame, dim: DataFrame, key: str,
