@@ -61,7 +61,7 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = upsert_stream(spark, f"{landing}/*/orders", f"{root}/orders", f"{root}/checkpoint")
     exports.export_orders(spark, sf_dir, f"{landing}/day2", revision=True)
     table = upsert_stream(spark, f"{landing}/*/orders", f"{root}/orders", f"{root}/checkpoint")
-    return table.read().drop("insert_date", "source_name")
+    return table.read().drop("insert_date", "source_name", "order_year")
 
 
 def q_contract_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,7 +102,7 @@ def _with_year(df: DataFrame) -> DataFrame:
 
 
 def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
-                full_refresh: bool = False):
+                full_refresh: bool = False, keep_versions: int = 2):
     """Build one model; returns its new version (snapshot tables) or the
     rewritten partitions (incremental order tables)."""
     spec = SPECS[name]
@@ -127,7 +127,9 @@ def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
     if isinstance(table, PartitionedTable):
         table.overwrite(result)
         return {"rewritten_years": "all"}
-    return table.write(result)
+    version = table.write(result)
+    table.vacuum(keep=keep_versions)
+    return version
 
 
 def run_layer_tests(wh: Warehouse, layer: str) -> DataFrame | None:

@@ -47,3 +47,7 @@ class HadoopFS:
 
     def mkdirs(self, path: str) -> bool:
         return bool(self._fs(path).mkdirs(self._path(path)))
+
+    def touch(self, path: str) -> None:
+        """Create an empty marker file (overwriting one that exists)."""
+        self._fs(path).create(self._path(path), True).close()

@@ -39,7 +39,7 @@ def named_batch(spark: SparkSession, batch: DataFrame, contract: Contract) -> Da
 
 
 def ingest_stream(spark: SparkSession, folder: str, lake: str, table: str,
-                  checkpoint: str) -> None:
+                  checkpoint: str, max_files_per_trigger: int | None = None) -> None:
     """Land every not-yet-seen file of ``folder`` into ``<lake>/<table>``, then stop."""
     contract = CONTRACTS[table]
     out = f"{lake.rstrip('/')}/{table}"
@@ -53,7 +53,7 @@ def ingest_stream(spark: SparkSession, folder: str, lake: str, table: str,
          .write.mode("append").partitionBy("batch_id", *ci.partition_columns(contract))
          .parquet(out))
 
-    q = (stream_source(spark, folder, contract).writeStream
+    q = (stream_source(spark, folder, contract, max_files_per_trigger).writeStream
          .foreachBatch(_idempotent(spark, out, land))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -1,10 +1,13 @@
 """Keyed upsert driven by a file stream (``foreachBatch``).
 
-Each micro-batch is validated like batch ingestion, typed by the bronze
-model, cut at the table's high-water mark and merged on the key into a new
-version of a :class:`~tessera.sources.snapshots.SnapshotTable`.  The version
-number is the batch id: a batch replayed after its version committed is
-skipped, one replayed after a failed write rewrites the uncommitted folder.
+Each micro-batch is validated like batch ingestion (columns named by each
+file's header), typed by the bronze model, cut at the table's high-water
+mark and merged on the key into a year-partitioned table, rewriting only
+the affected years (:class:`~tessera.sources.partitioned.PartitionedTable`).
+A marker per committed batch id makes a replayed batch (failure between the
+merge and the checkpoint commit) a no-op; a replay of a batch whose merge
+did not finish simply merges again, which an upsert of the same changes
+makes harmless.
 """
 
 from __future__ import annotations
@@ -14,39 +17,43 @@ from pyspark.sql import functions as F
 
 from tessera.contracts import CONTRACTS
 from tessera.operators import incremental as inc
-from tessera.operators.dedup import keep_latest
 from tessera.plans import bronze
 from tessera.sources import csv_ingest as ci
-from tessera.sources.snapshots import SnapshotTable
+from tessera.sources.partitioned import PartitionedTable
 from tessera.streaming.file_ingest import named_batch, stream_source
 
+YEAR = "order_year"
 
-def merge_batch(table: SnapshotTable, batch: DataFrame, batch_id: int,
+
+def orders_table(spark: SparkSession, root: str) -> PartitionedTable:
+    return PartitionedTable(spark, root, YEAR, lambda df: df.withColumn(YEAR, F.year("orderdate")))
+
+
+def _marker(table: PartitionedTable, batch_id: int) -> str:
+    return f"{table.root}/_batches/batch_id={batch_id}"
+
+
+def merge_batch(table: PartitionedTable, batch: DataFrame, batch_id: int,
                 key: str = "orderid", date_col: str = "orderdate") -> None:
-    cur = table.current_version()
-    if cur is not None and cur >= batch_id:
+    if table.fs.exists(_marker(table, batch_id)):
         return
     contract = CONTRACTS["orders_raw"]
     named = named_batch(table.spark, batch, contract)
-    if named is None:
-        return
-    valid = ci.validate(named, contract).where(F.col("_reject_reason").isNull())
-    changes = bronze.base_orders(valid.select(*contract.names, "source_name"))
-    target = table.read()
-    hw = inc.high_water(target, date_col)
-    new = inc.since(changes, date_col, hw)
-    if target is None:
-        merged = keep_latest(new.where(F.col(key).isNotNull()), [key], date_col)
-    else:
-        merged = inc.upsert(target, new, key, date_col)
-    table.write(merged, version=batch_id)
-
-
-def upsert_stream(spark: SparkSession, folder: str, table_root: str, checkpoint: str) -> SnapshotTable:
+    if named is not None:
+        valid = ci.validate(named, contract).where(F.col("_reject_reason").isNull())
+        changes = bronze.base_orders(valid.select(*contract.names, "source_name"))
+        target = table.read()
+        hw = inc.high_water(target, date_col)
+        table.merge(inc.since(changes, date_col, hw), key, date_col)
+    table.fs.touch(_marker(table, batch_id))
+
+
+def upsert_stream(spark: SparkSession, folder: str, table_root: str, checkpoint: str,
+                  max_files_per_trigger: int | None = None) -> PartitionedTable:
     """Merge every not-yet-seen orders file under ``folder``, then stop."""
-    table = SnapshotTable(spark, table_root)
+    table = orders_table(spark, table_root)
     contract = CONTRACTS["orders_raw"]
-    q = (stream_source(spark, folder, contract).writeStream
+    q = (stream_source(spark, folder, contract, max_files_per_trigger).writeStream
          .foreachBatch(lambda df, bid: merge_batch(table, df, bid))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

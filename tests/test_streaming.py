@@ -30,6 +30,6 @@ def test_stream_upsert_maps_reordered_headers_and_replays(spark):
     sample = finished.select(F.col("o_orderkey").cast("string").alias("orderid"),
                              F.col("o_orderdate").cast("date").alias("orderdate"))
     assert sample.join(got, ["orderid", "orderdate"], "left_anti").count() == 0
-    v = table.current_version()
-    merge_batch(table, spark.read.csv(f"{land}/day1/orders", header=True), v)  # replayed batch id
-    assert table.current_version() == v and table.read().count() == got.count()
+    files = sorted(table.read().inputFiles())
+    merge_batch(table, spark.read.csv(f"{land}/day1/orders", header=True), 0)  # replayed batch id
+    assert sorted(table.read().inputFiles()) == files and table.read().count() == got.count()
