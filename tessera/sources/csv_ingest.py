@@ -248,7 +248,8 @@ def validate(df: DataFrame, contract: Contract) -> DataFrame:
     reason = F.coalesce(*reasons)
     original = F.struct(*[F.col(c.name) for c in contract.columns])
     return df.select(*typed, "source_name", reason.alias("_reject_reason"),
-                     F.when(reason.isNotNull(), original).alias("_original"))
+                     F.when(reason.isNotNull(), original).alias("_original"),
+                     F.col(CORRUPT).alias("_raw_line"))
 
 
 def landed(df: DataFrame, contract: Contract) -> DataFrame:
@@ -297,7 +298,8 @@ def read_quarantine(spark: SparkSession, lake: str, table: str) -> DataFrame:
     """Rejected rows with their original cells and the reason."""
     df = spark.read.parquet(f"{lake.rstrip('/')}/{table}")
     return (df.where(F.col("ingest_status") == "quarantined")
-              .select("_original.*", F.col("_reject_reason").alias("reject_reason"), "source_name"))
+              .select("_original.*", F.col("_reject_reason").alias("reject_reason"),
+                      F.col("_raw_line").alias("raw_line"), "source_name"))
 
 
 def export_quarantine(spark: SparkSession, lake: str, table: str, out: str) -> None:

@@ -58,6 +58,8 @@ def test_quarantine_and_conservation(spark):
     assert good["7"]["storeid"] == "S,1" and good["7"]["campaignid"] == 'say "hi"'
     assert set(bad) == {"2", "3", None, "5", "6"}
     assert bad[None].startswith("orderid") and bad["6"] == "malformed row"
+    lines = {r["orderid"]: r["raw_line"] for r in ci.read_quarantine(spark, f"{root}/lake", "orders_raw").collect()}
+    assert lines["6"] == "6,m1,S1" and lines["2"] is None  # whole line kept for malformed rows
     assert len(good) + len(bad) == 7
     ci.export_quarantine(spark, f"{root}/lake", "orders_raw", f"{root}/errors")
     errs = spark.read.csv(f"{root}/errors", header=True)
