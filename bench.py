@@ -66,7 +66,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = local_session(cpus, shuffle_partitions=max(2 * cpus, 8), app="tessera-bench")
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2 * cpus, 8)))
+    spark = local_session(cpus, shuffle_partitions=partitions, app="tessera-bench")
     qs = queries()
     results: dict[str, float] = {}
     for name in HEADLINE:

@@ -272,9 +272,14 @@ def ingest(spark: SparkSession, landing: str, lake: str,
            multi_line: bool = False) -> dict:
     """Ingest every accepted file under ``landing`` into ``<lake>/<table>``.
 
-    Returns the manifest entries and the tables written.
+    The manifest (one row per file: accepted or why not) is appended to
+    ``<lake>/_manifest`` as an audit trail.  Returns the manifest entries and
+    the tables written.
     """
     entries = build_manifest(spark, landing, contracts)
+    if entries:
+        (manifest_frame(spark, entries).withColumn("ingested_at", utc_now())
+         .write.mode("append").parquet(f"{lake.rstrip('/')}/_manifest"))
     written = []
     for contract in contracts.values():
         df = read_files(spark, contract, entries, multi_line)
@@ -310,3 +315,11 @@ def export_quarantine(spark: SparkSession, lake: str, table: str, out: str) -> N
     rows = read_quarantine(spark, lake, table).select(*contract.names)
     (rows.write.mode("overwrite").option("header", True).option("quote", '"')
          .option("escape", '"').csv(out))
+
+
+def raw_from_lake(spark: SparkSession, lake: str,
+                  contracts: dict[str, Contract] = CONTRACTS) -> dict[str, DataFrame]:
+    """Loaded rows of every raw table present in ``lake``, keyed by table."""
+    fs = HadoopFS(spark)
+    return {name: read_raw(spark, lake, name) for name in contracts
+            if fs.exists(f"{lake.rstrip('/')}/{name}")}

@@ -65,3 +65,19 @@ def export_order_status(spark: SparkSession, sf_dir: str, landing: str) -> str:
     target = f"{landing.rstrip('/')}/order_status"
     write_csv(raw_order_status(spark, sf_dir).select(*names), target)
     return target
+
+
+def export_raw_tables(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
+    """Deliver all six raw tables (as derived in ``testdata``) as CSV files,
+    one folder per table, contract column order; DATE columns are rendered
+    in their contract format.  Returns the folders written."""
+    from tessera.sources.testdata import raw_tables
+    folders = []
+    for table, df in raw_tables(spark, sf_dir).items():
+        contract = CONTRACTS[table]
+        cols = [F.date_format(c.name, "dd/MM/yyyy").alias(c.name) if c.type == "date" else F.col(c.name)
+                for c in contract.columns]
+        folder = f"{landing.rstrip('/')}/{contract.stem}"
+        write_csv(df.select(*cols), folder)
+        folders.append(folder)
+    return folders

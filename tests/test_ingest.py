@@ -32,6 +32,9 @@ def test_manifest_and_by_name_mapping(spark):
     assert entries["marketing.csv"].reason == "empty file"
     assert "no contract" in entries["unknown.csv"].reason
     ci.ingest(spark, land, f"{root}/lake")
+    audit = {r["file_name"]: r["accepted"] for r in spark.read.parquet(f"{root}/lake/_manifest").collect()}
+    assert audit == {"members.csv": True, "preferences.txt": False, "marketing.csv": False,
+                     "unknown.csv": False}
     row = ci.read_raw(spark, f"{root}/lake", "members_raw").collect()[0]
     assert (row["id"], row["name"], row["joindate"]) == ("1", "Ann", "7/2/2023")
     assert row["source_name"] == "members.csv"
