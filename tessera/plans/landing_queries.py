@@ -116,3 +116,18 @@ def read_since(spark: SparkSession, path: str, date_col: str, day: str) -> DataF
     d = F.lit(day).cast("date")
     return (spark.read.parquet(path)
             .where((F.col("order_year") >= F.year(d)) & (F.col(date_col) >= d)))
+
+
+def q_pipeline_incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Materialised build on the deliveries before 2000, then an incremental
+    build on the next orders delivery; ``build_orders`` as stored."""
+    from tessera.plans import pipeline
+    from tessera.sources.testdata import raw_orders_revision
+    root = scratch_dir(spark, "pipeline")
+    raw = raw_tables(spark, sf_dir)
+    cutoff = F.lit("2000-01-01").cast("date")
+    pipeline.build(spark, dict(raw, orders_raw=raw["orders_raw"].where(F.col("orderdate") < cutoff)),
+                   root, fail_on_error=False)
+    pipeline.build(spark, dict(raw, orders_raw=raw_orders_revision(spark, sf_dir)), root,
+                   fail_on_error=False)
+    return pipeline.Warehouse(spark, root).read("build_orders").drop("insert_date")
