@@ -138,14 +138,28 @@ def run_layer_tests(wh: Warehouse, layer: str) -> DataFrame | None:
 
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
-          full_refresh: bool = False, fail_on_error: bool = True) -> dict:
-    """Build every layer; returns model versions and the data-test summary."""
+          full_refresh: bool = False, fail_on_error: bool = True, threads: int = 4) -> dict:
+    """Build every layer; returns model versions and the data-test summary.
+
+    Models of one layer depend only on earlier layers, so they are submitted
+    as concurrent Spark jobs (``threads`` at a time) and share the cluster;
+    layers run in order, each followed by its data tests.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     wh = Warehouse(spark, warehouse)
     versions, tests = {}, []
     for layer in LAYERS:
-        for name, spec in SPECS.items():
-            if spec.layer == layer:
-                versions[name] = build_model(wh, raw, name, full_refresh)
+        names = [n for n, spec in SPECS.items() if spec.layer == layer]
+        for n in names:
+            wh.table(n)  # create table handles before the threads share them
+        if threads > 1:
+            with ThreadPoolExecutor(max_workers=threads) as pool:
+                done = pool.map(lambda n: (n, build_model(wh, raw, n, full_refresh)), names)
+                versions.update(dict(done))
+        else:
+            for n in names:
+                versions[n] = build_model(wh, raw, n, full_refresh)
         summary = run_layer_tests(wh, layer)
         if summary is not None:
             rows = dq.enforce(summary, ("error",) if fail_on_error else ())
