@@ -56,7 +56,11 @@ def profile(df: DataFrame, contract: Contract) -> DataFrame:
                 for name in df.columns
                 if name.lower() not in {c.name for c in contract.columns} | set(LINEAGE)]
     e = one.select("_rows", F.explode(F.array(*entries)).alias("e")).select("_rows", "e.*")
+    # declared raw type vs the data's type (e.g. a DATE column landed as text)
+    dtypes = {n.lower(): t for n, t in df.dtypes}
+    wrong = [c.name for c in cols if dtypes[c.name] != c.type]
     status = (F.when(F.col("_kind") != "present", F.col("_kind"))
+               .when(F.col("column_name").isin(wrong) if wrong else F.lit(False), "type mismatch")
                .when(F.col("_req") & (F.col("null_count") > 0), "null in required column")
                .when(F.col("over_length_count") > 0, "too long")
                .when(F.col("bad_value_count") > 0, "bad values")

@@ -27,6 +27,12 @@ def test_files_to_marts(spark):
         assert rows(wh.read(mart)) == rows(lazy.model(mart)), mart
     got = wh.read("mart_order_processing_times").select("storeid", "avg_delivery_seconds")
     assert rows(got) == rows(lazy.mart_order_processing_times.select("storeid", "avg_delivery_seconds"))
+    from tessera import catalog
+    names = catalog.register(spark, lake=f"{root}/lake", warehouse=f"{root}/wh")
+    assert len(names) == 26
+    n = spark.sql("SELECT COUNT(*) AS n FROM mart_gross_revenue").first()["n"]
+    assert n == lazy.mart_gross_revenue.count()
+    assert spark.sql("SELECT COUNT(*) FROM orders_raw").first()[0] == raw["orders_raw"].count()
     # silver source names differ (file parts vs fixture names), values do not
     for model in ("stg_members", "stg_order_status", "build_orders"):
         a = wh.read(model).drop("insert_date", "source_name")

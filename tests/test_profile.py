@@ -24,3 +24,10 @@ def test_profile_flags(spark):
     o = spark.createDataFrame([(None, "m")], "orderid string, memberid string")
     got = {r["column_name"]: r["status"] for r in profile(o, orders).collect()}
     assert got["orderid"] == "null in required column"
+
+
+def test_profile_type_mismatch(spark):
+    orders = CONTRACTS["orders_raw"]
+    o = spark.createDataFrame([("1", "01/02/2023")], "orderid string, orderdate string")
+    got = {r["column_name"]: r["status"] for r in profile(o, orders).collect()}
+    assert got["orderdate"] == "type mismatch" and got["orderid"] == "ok"
