@@ -17,11 +17,29 @@ def rows(df):
 
 def test_build_then_incremental(spark):
     root = scratch_dir(spark, "t-pipeline")
+    run_build_then_incremental(spark, root, "year", [1999, 2000, 2001])
+
+
+def test_month_grain_rewrites_only_recent_months(spark):
+    root = scratch_dir(spark, "t-pipeline-month")
+    raw = raw_tables(spark, SMALL)
+    cutoff = F.lit("2000-01-01").cast("date")
+    early = dict(raw, orders_raw=raw["orders_raw"].where(F.col("orderdate") < cutoff))
+    pipeline.build(spark, early, root, fail_on_error=False, grain="month")
+    nxt = dict(raw, orders_raw=raw_orders_revision(spark, SMALL))
+    out = pipeline.build(spark, nxt, root, fail_on_error=False, grain="month")
+    parts = out["versions"]["base_orders"]["rewritten_partitions"]
+    assert parts[0] == 199912 and all(p >= 199912 for p in parts)
+    wh = out["warehouse"]
+    assert wh.read("base_orders").count() == Layers(nxt).base_orders.count()
+
+
+def run_build_then_incremental(spark, root, grain, expect_parts):
     raw = raw_tables(spark, SMALL)
     early = dict(raw, orders_raw=raw["orders_raw"].where(F.col("orderdate") < F.lit("2000-01-01").cast("date")))
     with pytest.raises(dq.DataQualityError):
-        pipeline.build(spark, early, root)  # silver tests fail on this data
-    out = pipeline.build(spark, early, root, fail_on_error=False)
+        pipeline.build(spark, early, root, grain=grain)  # silver tests fail on this data
+    out = pipeline.build(spark, early, root, fail_on_error=False, grain=grain)
     wh = out["warehouse"]
     assert len(out["tests"]) == 37
     lazy = Layers(early)
@@ -29,8 +47,8 @@ def test_build_then_incremental(spark):
 
     # Next delivery: incremental models merge rows at/after the high-water mark.
     nxt = dict(raw, orders_raw=raw_orders_revision(spark, SMALL))
-    out2 = pipeline.build(spark, nxt, root, fail_on_error=False)
-    assert out2["versions"]["build_orders"]["rewritten_years"] == [1999, 2000, 2001]
+    out2 = pipeline.build(spark, nxt, root, fail_on_error=False, grain=grain)
+    assert out2["versions"]["build_orders"]["rewritten_partitions"] == expect_parts
     assert out2["versions"]["mart_gross_revenue"] == out["versions"]["mart_gross_revenue"] + 1
     built = wh.read("base_orders")
     target = lazy.base_orders
