@@ -123,6 +123,8 @@ def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
     """Build one model; returns its new version (snapshot tables) or the
     rewritten partitions (incremental order tables)."""
     spec = SPECS[name]
+    # label this thread's jobs in the event log / history server
+    wh.spark.sparkContext.setLocalProperty("spark.job.description", f"build {spec.layer}.{name}")
     table = wh.table(name)
     target = None if full_refresh else wh.read(name)
 
