@@ -9,9 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.contracts import CONTRACTS as _CONTRACTS
+from tessera.operators import incremental as inc
+from tessera.operators import quality as dq
+from tessera.plans import bronze as _bronze
+from tessera.plans import landing_queries as lq
 from tessera.plans import oracle_sql as osql
 from tessera.plans.layers import Layers
-from tessera.sources.testdata import raw_tables
+from tessera.sources.testdata import raw_orders_revision, raw_tables
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +62,6 @@ MODEL_QUERIES: dict[str, tuple[str, list[str] | None]] = {
 
 
 # ---------------------------------------------------------------- data quality
-from tessera.operators import quality as dq  # noqa: E402
 
 
 def q_dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,9 +127,6 @@ DQ_QUERIES = {
 
 
 # ---------------------------------------------------------------- incremental
-from tessera.operators import incremental as inc  # noqa: E402
-from tessera.plans import bronze as _bronze  # noqa: E402
-from tessera.sources.testdata import raw_orders_revision  # noqa: E402
 
 INCREMENTAL_CUTOFF = "2000-01-01"
 
@@ -172,8 +173,6 @@ INCREMENTAL_QUERIES = {
 
 
 # ---------------------------------------------------------------- landing
-from tessera.contracts import CONTRACTS as _CONTRACTS  # noqa: E402
-from tessera.plans import landing_queries as lq  # noqa: E402
 
 
 def _profile_sql() -> str:
