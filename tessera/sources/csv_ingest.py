@@ -267,28 +267,42 @@ def partition_columns(contract: Contract) -> list[str]:
     return ["ingest_status"] + (["order_year"] if contract.partition_by_year_of else [])
 
 
+def new_run_id() -> str:
+    import datetime as _dt
+    import uuid
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+
+
 def ingest(spark: SparkSession, landing: str, lake: str,
-           contracts: dict[str, Contract] = CONTRACTS, mode: str = "append",
+           contracts: dict[str, Contract] = CONTRACTS, run_id: str | None = None,
            multi_line: bool = False) -> dict:
     """Ingest every accepted file under ``landing`` into ``<lake>/<table>``.
 
-    The manifest (one row per file: accepted or why not) is appended to
-    ``<lake>/_manifest`` as an audit trail.  Returns the manifest entries and
-    the tables written.
+    Each run writes its own ``ingest_run=<run_id>`` partition with dynamic
+    partition overwrite: retrying a run (same ``run_id``) after a failure
+    replaces that run's output instead of appending a second copy, and
+    never touches earlier runs.  The manifest (one row per file: accepted or
+    why not) is appended to ``<lake>/_manifest`` as an audit trail.  Returns
+    the run id, the manifest entries and the tables written.
     """
+    run_id = run_id or new_run_id()
     entries = build_manifest(spark, landing, contracts)
     if entries:
-        (manifest_frame(spark, entries).withColumn("ingested_at", utc_now())
-         .write.mode("append").parquet(f"{lake.rstrip('/')}/_manifest"))
+        (manifest_frame(spark, entries).select(F.lit(run_id).alias("ingest_run"), "*",
+                                               utc_now().alias("ingested_at"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_run").parquet(f"{lake.rstrip('/')}/_manifest"))
     written = []
     for contract in contracts.values():
         df = read_files(spark, contract, entries, multi_line)
         if df is None:
             continue
-        (landed(validate(df, contract), contract).write.mode(mode)
-         .partitionBy(*partition_columns(contract)).parquet(f"{lake.rstrip('/')}/{contract.table}"))
+        (landed(validate(df, contract), contract).withColumn("ingest_run", F.lit(run_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_run", *partition_columns(contract))
+         .parquet(f"{lake.rstrip('/')}/{contract.table}"))
         written.append(contract.table)
-    return {"manifest": entries, "tables": written}
+    return {"run_id": run_id, "manifest": entries, "tables": written}
 
 
 def read_raw(spark: SparkSession, lake: str, table: str) -> DataFrame:

@@ -52,7 +52,8 @@ def test_quarantine_and_conservation(spark):
           "5,m1,S1,c,01/01/2023,abc,1.00\n"         # not a number
           "6,m1,S1\n"                               # ragged
           "7,m1,\"S,1\",\"say \"\"hi\"\"\",02/01/2023,1.00,1.00\n")  # quoted comma, doubled quote
-    ci.ingest(spark, land, f"{root}/lake")
+    ci.ingest(spark, land, f"{root}/lake", run_id="r1")
+    ci.ingest(spark, land, f"{root}/lake", run_id="r1")  # a retried run replaces its output
     good = {r["orderid"]: r for r in ci.read_raw(spark, f"{root}/lake", "orders_raw").collect()}
     bad = {r["orderid"]: r["reject_reason"]
            for r in ci.read_quarantine(spark, f"{root}/lake", "orders_raw").collect()}
