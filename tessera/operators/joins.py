@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def star_except(df: DataFrame, exclude: Sequence[str]) -> list[Column]:
@@ -22,11 +23,21 @@ def star_except(df: DataFrame, exclude: Sequence[str]) -> list[Column]:
 
 
 def left_enrich(facts: DataFrame, dim: DataFrame, key: str,
-                dim_columns: Sequence[str]) -> DataFrame:
+                dim_columns: Sequence[str], spread_nulls_by: str | None = None) -> DataFrame:
     """LEFT JOIN a many-to-one dimension on ``key``; keeps the fact grain.
 
     The dimension must be unique on ``key`` (silver guarantees it); NULL keys
-    never match and keep NULL attributes.
+    never match and keep NULL attributes.  In a shuffled join every NULL key
+    would hash to one reducer (a fifth of all orders have no campaign), so
+    with ``spread_nulls_by`` the join key of a NULL-key row is replaced by a
+    value derived from that (unique) column, which spreads those rows over
+    all partitions; the extra ``key IS NOT NULL`` condition keeps them from
+    ever matching.  Broadcast joins are unaffected.
     """
     d = dim.select(dim[key].alias("_dim_key"), *[dim[c] for c in dim_columns])
-    return facts.join(d, facts[key] == d["_dim_key"], "left").drop("_dim_key")
+    if spread_nulls_by is None:
+        cond = facts[key] == d["_dim_key"]
+    else:
+        spread = F.coalesce(facts[key], F.concat(F.lit("\u0000"), facts[spread_nulls_by].cast("string")))
+        cond = (spread == d["_dim_key"]) & facts[key].isNotNull()
+    return facts.join(d, cond, "left").drop("_dim_key")

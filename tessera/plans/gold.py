@@ -28,8 +28,10 @@ def build_orders(stg_orders: DataFrame, stg_members: DataFrame,
     then member and campaign attributes, as in the source model.
     """
     o_cols = [c for c in stg_orders.columns if c not in ("memberid", "insert_date")]
-    with_members = left_enrich(stg_orders, stg_members, "memberid", MEMBER_ATTRIBUTES)
-    enriched = left_enrich(with_members, stg_marketing, "campaignid", CAMPAIGN_ATTRIBUTES)
+    with_members = left_enrich(stg_orders, stg_members, "memberid", MEMBER_ATTRIBUTES,
+                               spread_nulls_by="orderid")
+    enriched = left_enrich(with_members, stg_marketing, "campaignid", CAMPAIGN_ATTRIBUTES,
+                           spread_nulls_by="orderid")
     return enriched.select(*o_cols, *MEMBER_ATTRIBUTES, *CAMPAIGN_ATTRIBUTES, _stamp())
 
 

@@ -148,3 +148,17 @@ def test_aggregate_dedup_matches_window(spark):
     b = sorted(map(tuple, keep_latest_by_aggregate(df, ["k"], "d").collect()), key=str)
     assert a == b
     assert {r[0]: r[3] for r in a} == {"1": "y", "2": "p", "3": "r"}
+
+
+def test_spread_null_keys_never_match(spark):
+    from tessera.operators.joins import left_enrich
+    facts = spark.createDataFrame([("o1", None), ("o2", "c1")], "orderid string, campaignid string")
+    # a dimension key that equals the spread value of the NULL-key row
+    dim = spark.createDataFrame([("\u0000o1", "trap"), ("c1", "ok")], "campaignid string, targetaudience string")
+    for broadcast_off in (False, True):
+        if broadcast_off:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = {r["orderid"]: r["targetaudience"]
+               for r in left_enrich(facts, dim, "campaignid", ["targetaudience"], "orderid").collect()}
+        assert got == {"o1": None, "o2": "ok"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
