@@ -238,7 +238,7 @@ FROM (SELECT CAST(o_orderkey AS VARCHAR) AS orderid,
 SELECT o.orderid, o.storeid, o.campaignid, o.orderdate, o.subtotal, o.total, o.source_name,
        m.membername, m.membershiptype, m.joindate, m.expirationdate,
        mk.targetaudience, mk.campaignstartdate, mk.campaignenddate
-FROM (SELECT * FROM inc_target t WHERE NOT EXISTS (SELECT 1 FROM inc_changes c WHERE c.orderid = t.orderid)
+FROM (SELECT * FROM inc_target_stg t WHERE NOT EXISTS (SELECT 1 FROM inc_changes c WHERE c.orderid = t.orderid)
       UNION ALL SELECT * FROM inc_changes) o
 LEFT JOIN stg_members m ON o.memberid = m.memberid
 LEFT JOIN stg_marketing mk ON o.campaignid = mk.campaignid""")),

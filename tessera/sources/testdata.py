@@ -8,7 +8,9 @@ synthetic data lacks (duplicates, NULL dates, blank keys, orphans, negative
 prices) come from data-driven rules, never from row caps or key subsets:
 
 * orders: one per ``o_orderkey``; 20 stores from the key; priority
-  ``4-NOT SPECIFIED`` means "no campaign" (NULL campaignid).
+  ``4-NOT SPECIFIED`` means "no campaign" (NULL campaignid).  Open orders
+  (status ``O``) are re-sent in a second file dated one day later with the
+  total revised up by 1.00, so silver's keep-latest dedup has work.
 * order items: one per lineitem, named by its part; parts larger than size
   45 have no catalogue name (NULL itemname); returned lines (flag ``R``) are
   credit lines with a negative price.
@@ -55,15 +57,19 @@ def _money_text(c) -> F.Column:
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders")
-    return o.select(
-        o.o_orderkey.cast("string").alias("orderid"),
-        o.o_custkey.cast("string").alias("memberid"),
-        F.concat(F.lit("S"), (o.o_orderkey % 20).cast("string")).alias("storeid"),
-        F.when(o.o_orderpriority != "4-NOT SPECIFIED", o.o_orderpriority).alias("campaignid"),
-        o.o_orderdate.cast("date").alias("orderdate"),
-        _money_text(o.o_totalprice).alias("subtotal"),
-        _money_text(o.o_totalprice).alias("total"),
-        *_lineage("orders.csv"))
+
+    def delivery(frame, day_shift: int, extra, source: str) -> DataFrame:
+        return frame.select(
+            frame.o_orderkey.cast("string").alias("orderid"),
+            frame.o_custkey.cast("string").alias("memberid"),
+            F.concat(F.lit("S"), (frame.o_orderkey % 20).cast("string")).alias("storeid"),
+            F.when(frame.o_orderpriority != "4-NOT SPECIFIED", frame.o_orderpriority).alias("campaignid"),
+            F.date_add(frame.o_orderdate.cast("date"), day_shift).alias("orderdate"),
+            _money_text(frame.o_totalprice).alias("subtotal"),
+            _money_text(frame.o_totalprice + extra).alias("total"),
+            *_lineage(source))
+    resent = o.where(o.o_orderstatus == "O")
+    return delivery(o, 0, 0, "orders.csv").unionByName(delivery(resent, 1, 1, "orders_resend.csv"))
 
 
 def raw_orders_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
