@@ -10,6 +10,7 @@ appended to the raw table, partitioned by status, in one write.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,9 @@ def stream_source(spark: SparkSession, folder: str, contract: Contract,
 
 
 def named_batch(spark: SparkSession, batch: DataFrame, contract: Contract) -> DataFrame | None:
+    """Columns named by file headers.  The caller persists ``batch`` first:
+    listing its files is a job of its own, and the write must not parse the
+    files a second time."""
     named, _report = ci.map_by_header(spark, batch, contract)
     return named
 
@@ -45,13 +49,17 @@ def ingest_stream(spark: SparkSession, folder: str, lake: str, table: str,
     out = f"{lake.rstrip('/')}/{table}"
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        named = named_batch(spark, batch, contract)
-        if named is None:
-            return
-        (ci.landed(ci.validate(named, contract), contract)
-         .withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").partitionBy("batch_id", *ci.partition_columns(contract))
-         .parquet(out))
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            named = named_batch(spark, batch, contract)
+            if named is None:
+                return
+            (ci.landed(ci.validate(named, contract), contract)
+             .withColumn("batch_id", F.lit(batch_id))
+             .write.mode("append").partitionBy("batch_id", *ci.partition_columns(contract))
+             .parquet(out))
+        finally:
+            batch.unpersist()
 
     q = (stream_source(spark, folder, contract, max_files_per_trigger).writeStream
          .foreachBatch(_idempotent(spark, out, land))

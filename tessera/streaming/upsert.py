@@ -12,6 +12,7 @@ makes harmless.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +39,17 @@ def merge_batch(table: PartitionedTable, batch: DataFrame, batch_id: int,
     if table.fs.exists(_marker(table, batch_id)):
         return
     contract = CONTRACTS["orders_raw"]
-    named = named_batch(table.spark, batch, contract)
-    if named is not None:
-        valid = ci.validate(named, contract).where(F.col("_reject_reason").isNull())
-        changes = bronze.base_orders(valid.select(*contract.names, "source_name"))
-        target = table.read()
-        hw = inc.high_water(target, date_col)
-        table.merge(inc.since(changes, date_col, hw), key, date_col)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        named = named_batch(table.spark, batch, contract)
+        if named is not None:
+            valid = ci.validate(named, contract).where(F.col("_reject_reason").isNull())
+            changes = bronze.base_orders(valid.select(*contract.names, "source_name"))
+            target = table.read()
+            hw = inc.high_water(target, date_col)
+            table.merge(inc.since(changes, date_col, hw), key, date_col)
+    finally:
+        batch.unpersist()
     table.fs.touch(_marker(table, batch_id))
 
 
