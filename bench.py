@@ -94,9 +94,10 @@ def main() -> None:
     if os.environ.get("BENCH_PIPELINE", "1") == "1":
         pipe = bench_pipeline(spark, sf_dir)
 
-    sf = sf_dir.rsplit("sf", 1)[-1]
+    import re
+    m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(results.values()), 3),
-                      "unit": "sec", "queries": results, "sf": float(sf) if sf else None,
+                      "unit": "sec", "queries": results, "sf": float(m.group(1)) if m else None,
                       "cpus": cpus, "repeat": repeat, "variants": variants, "pipeline": pipe}))
     spark.stop()
 
