@@ -7,7 +7,6 @@ shared working folder from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -75,4 +74,4 @@ def local_fs_path(path: str) -> str:
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_dir",
-           "is_local_path", "local_fs_path", "os"]
+           "is_local_path", "local_fs_path"]
