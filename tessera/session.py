@@ -65,13 +65,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
 __all__ = ["local_session", "ensure_checkpoint_dir", "scratch_dir",
-           "is_local_path", "local_fs_path"]
+           "local_fs_path"]
