@@ -77,3 +77,18 @@ def test_snapshot_replay_is_idempotent(spark):
     table.write(df, version=1)
     table.write(df, version=2)
     assert table.vacuum(keep=2) == [0] and table.versions() == [1, 2]
+
+
+def test_uncommitted_version_is_invisible_and_rewritten(spark):
+    import os
+    from tessera.session import local_fs_path
+    table = SnapshotTable(spark, scratch_dir(spark, "t-crash"))
+    df = frame(spark, [("1", D(2020, 1, 1), Decimal("1"), "a")])
+    table.write(df, version=0)
+    # a job that died mid-write leaves files but no _SUCCESS marker
+    broken = local_fs_path(table.path(1))
+    os.makedirs(broken)
+    open(os.path.join(broken, "part-00000-partial.parquet"), "wb").write(b"not parquet")
+    assert table.versions() == [0] and table.read().count() == 1
+    assert table.write(df.union(df), version=1) == 1  # the retry replaces the partial folder
+    assert table.versions() == [0, 1] and table.read().count() == 2
