@@ -107,6 +107,21 @@ class Warehouse:
         df = self.table(name).read()
         return None if df is None else (df.drop(self.part_col) if SPECS[name].by_year else df)
 
+    def high_water(self, name: str):
+        """``MAX(orderdate)`` of a model table.  For the date-partitioned order
+        tables the partition value rises with the date, so only the newest
+        partition's dates are read (the other partitions contribute just
+        their partition value)."""
+        if not SPECS[name].by_year:
+            return inc.high_water(self.read(name), "orderdate")
+        df = self.table(name).read()
+        if df is None:
+            return None
+        top = df.agg(F.max(self.part_col).alias("p")).first()["p"]
+        if top is None:
+            return None
+        return df.where(F.col(self.part_col) == F.lit(top)).agg(F.max("orderdate").alias("hw")).first()["hw"]
+
     def read_since(self, name: str, hw) -> DataFrame:
         """Rows of ``name`` with orderdate >= hw, pruning earlier partitions."""
         df = self.table(name).read()
@@ -134,7 +149,7 @@ def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
         return wh.read(i) if hw is None else wh.read_since(i, hw)
 
     if spec.incremental and target is not None:
-        hw = inc.high_water(target, "orderdate")
+        hw = wh.high_water(name)
         first, *rest = spec.inputs
         if first in raw:  # rows below the mark are skipped: record how many
             (inc.load_metrics(raw[first], "orderdate", hw)

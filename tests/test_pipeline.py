@@ -63,3 +63,15 @@ def run_build_then_incremental(spark, root, grain, expect_parts):
     # one row per incremental run of base_orders
     assert len(m) == 1 and {r["model"] for r in m} == {"base_orders"}
     assert all(r["late_rows"] > 0 for r in m)
+
+
+def test_partition_high_water_reads_newest_partition_only(spark):
+    root = scratch_dir(spark, "t-pipeline-hw")
+    raw = raw_tables(spark, SMALL)
+    out = pipeline.build(spark, raw, root, fail_on_error=False)
+    wh = out["warehouse"]
+    expect = wh.read("stg_orders").agg(F.max("orderdate")).first()[0]
+    assert wh.high_water("stg_orders") == expect
+    top = wh.table("stg_orders").read().where(F.col("order_year") == expect.year)
+    plan = top.agg(F.max("orderdate"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_year" in plan
