@@ -70,8 +70,16 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=partitions, app="tessera-bench")
     qs = queries()
     results: dict[str, float] = {}
+    errors: dict[str, str] = {}
+
+    def measure(name: str, fn) -> None:
+        try:
+            results[name] = round(timed(fn, repeat), 3)
+        except Exception as ex:  # keep the JSON line whole; report the failure
+            errors[name] = f"{type(ex).__name__}: {str(ex)[:200]}"
+
     for name in HEADLINE:
-        results[name] = round(timed(lambda n=name: run_noop(qs[n](spark, sf_dir)), repeat), 3)
+        measure(name, lambda n=name: run_noop(qs[n](spark, sf_dir)))
 
     # Dedup variant asked for by the survey: keep-latest as GROUP BY + min_by
     # (same winner as row_number) on the status table; not a registered query.
@@ -82,23 +90,30 @@ def main() -> None:
         base = layers(spark, sf_dir).base_order_status.where(
             "orderid IS NOT NULL AND statustimestamp IS NOT NULL")
         run_noop(keep_latest_by_aggregate(base, ["orderid", "status"], "statustimestamp"))
-    variants = {"silver_dedup_status_by_aggregate": round(timed(status_by_aggregate, repeat), 3)}
+    variants = {}
+    try:
+        variants["silver_dedup_status_by_aggregate"] = round(timed(status_by_aggregate, repeat), 3)
+    except Exception as ex:  # noqa: BLE001
+        errors["silver_dedup_status_by_aggregate"] = str(ex)[:200]
 
     root = scratch_dir(spark, "bench-ingest")
     exports.export_orders(spark, sf_dir, f"{root}/landing")
     counter = iter(range(10_000))
-    results["ingest_csv"] = round(timed(
-        lambda: ci.ingest(spark, f"{root}/landing", f"{root}/lake-{next(counter)}"), repeat), 3)
+    measure("ingest_csv", lambda: ci.ingest(spark, f"{root}/landing", f"{root}/lake-{next(counter)}"))
 
     pipe = {}
     if os.environ.get("BENCH_PIPELINE", "1") == "1":
-        pipe = bench_pipeline(spark, sf_dir)
+        try:
+            pipe = bench_pipeline(spark, sf_dir)
+        except Exception as ex:  # noqa: BLE001
+            errors["pipeline"] = str(ex)[:200]
 
     import re
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(results.values()), 3),
                       "unit": "sec", "queries": results, "sf": float(m.group(1)) if m else None,
-                      "cpus": cpus, "repeat": repeat, "variants": variants, "pipeline": pipe}))
+                      "cpus": cpus, "repeat": repeat, "variants": variants, "pipeline": pipe,
+                      **({"errors": errors} if errors else {})}))
     spark.stop()
 
 
