@@ -51,3 +51,25 @@ class HadoopFS:
     def touch(self, path: str) -> None:
         """Create an empty marker file (overwriting one that exists)."""
         self._fs(path).create(self._path(path), True).close()
+
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small UTF-8 control file (overwriting)."""
+        out = self._fs(path).create(self._path(path), True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs(path).open(self._path(path))
+        try:
+            reader = self._jvm.java.io.BufferedReader(
+                self._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            lines = []
+            line = reader.readLine()
+            while line is not None:
+                lines.append(str(line))
+                line = reader.readLine()
+            return "\n".join(lines)
+        finally:
+            stream.close()

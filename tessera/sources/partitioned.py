@@ -20,8 +20,11 @@ final, so re-running the swap after a failure completes it.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.dedup import keep_latest
 from tessera.operators.incremental import broadcast_fits
@@ -29,6 +32,7 @@ from tessera.session import scratch_dir
 from tessera.sources.fs import HadoopFS
 
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+SCHEMA_FILE = "_table_schema.json"  # a partitioned write of no rows leaves no data file
 
 
 class PartitionedTable:
@@ -42,11 +46,21 @@ class PartitionedTable:
         return self.fs.exists(f"{self.root}/_SUCCESS")
 
     def read(self) -> DataFrame | None:
-        return self.spark.read.parquet(self.root) if self.exists() else None
+        if not self.exists():
+            return None
+        marker = f"{self.root}/{SCHEMA_FILE}"
+        if self.fs.exists(marker):
+            schema = T.StructType.fromJson(json.loads(self.fs.read_text(marker)))
+            return self.spark.read.schema(schema).parquet(self.root)
+        return self.spark.read.parquet(self.root)
+
+    def _save_schema(self, df: DataFrame) -> None:
+        self.fs.write_text(f"{self.root}/{SCHEMA_FILE}", df.schema.json())
 
     def overwrite(self, df: DataFrame) -> None:
-        (self.derive(df).write.mode("overwrite").partitionBy(self.partition_col)
-         .parquet(self.root))
+        out = self.derive(df)
+        out.write.mode("overwrite").partitionBy(self.partition_col).parquet(self.root)
+        self._save_schema(out)
 
     def _in(self, values: list) -> F.Column:
         col = F.col(self.partition_col)
@@ -80,6 +94,7 @@ class PartitionedTable:
         staged = self.spark.read.parquet(f"{stage}/parts")
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(p).parquet(self.root))
+        self._save_schema(target)
         present = {r[0] for r in staged.select(p).distinct().collect()}
         for v in affected:
             if v not in present:

@@ -12,13 +12,16 @@ the DataFrame that produced it.
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tessera.sources.fs import HadoopFS
 
 _VERSION = re.compile(r"/v=(\d+)/?$")
+SCHEMA_FILE = "_table_schema.json"
 
 
 class SnapshotTable:
@@ -48,6 +51,11 @@ class SnapshotTable:
         v = self.current_version() if version is None else version
         if v is None:
             return None
+        marker = f"{self.path(v)}/{SCHEMA_FILE}"
+        if self.partition_by and self.fs.exists(marker):
+            # a partitioned write of no rows leaves no data file to infer from
+            schema = T.StructType.fromJson(json.loads(self.fs.read_text(marker)))
+            return self.spark.read.schema(schema).parquet(self.path(v))
         return self.spark.read.parquet(self.path(v))
 
     def write(self, df: DataFrame, version: int | None = None) -> int:
@@ -60,6 +68,8 @@ class SnapshotTable:
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
         w.parquet(self.path(v))
+        if self.partition_by:
+            self.fs.write_text(f"{self.path(v)}/{SCHEMA_FILE}", df.schema.json())
         return v
 
     def vacuum(self, keep: int = 2) -> list[int]:

@@ -92,3 +92,10 @@ def test_uncommitted_version_is_invisible_and_rewritten(spark):
     assert table.versions() == [0] and table.read().count() == 1
     assert table.write(df.union(df), version=1) == 1  # the retry replaces the partial folder
     assert table.versions() == [0, 1] and table.read().count() == 2
+
+
+def test_empty_partitioned_snapshot_keeps_its_schema(spark):
+    table = SnapshotTable(spark, scratch_dir(spark, "t-empty"), partition_by=["source_name"])
+    table.write(spark.createDataFrame([], SCHEMA))
+    got = table.read()
+    assert got.count() == 0 and set(got.columns) == {"orderid", "orderdate", "total", "source_name"}

@@ -66,3 +66,45 @@ def test_rank_top_bottom_matches_brute_force(spark, rows, k_top, k_bottom):
     got = {int(r["item"][1:]): (r["top_rank"], r["bottom_rank"])
            for r in rank_top_bottom(df, ["g"], "v", k_top, k_bottom).collect()}
     assert got == brute_ranks(rows, k_top, k_bottom)
+
+
+okeys = st.sampled_from(["1", "2", "3", "4", None])
+odates = st.dates(dt.date(2022, 12, 30), dt.date(2024, 1, 2))
+orow = st.tuples(okeys, odates, st.integers(0, 9))
+tables = st.lists(orow, min_size=0, max_size=12)
+
+
+def brute_upsert(target, changes):
+    """MERGE on key: changes deduplicated to the latest date (ties: smaller v),
+    NULL keys left out of the change set; matched target rows replaced."""
+    latest = {}
+    for k, d, v in changes:
+        if k is None:
+            continue
+        if k not in latest or (d, -v) > (latest[k][1], -latest[k][2]):
+            latest[k] = (k, d, v)
+    kept = [r for r in target if r[0] not in latest]
+    return sorted(kept + list(latest.values()), key=str)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(tables, tables)
+def test_upsert_and_partition_merge_match_brute_force(spark, target, changes):
+    from pyspark.sql import functions as F
+
+    from tessera.operators.incremental import upsert
+    from tessera.session import scratch_dir
+    from tessera.sources.partitioned import PartitionedTable
+
+    schema = "orderid string, orderdate date, v int"
+    t = spark.createDataFrame(target, schema).withColumn("source_name", F.lit("f"))
+    c = spark.createDataFrame(changes, schema).withColumn("source_name", F.lit("f"))
+    want = brute_upsert(target, changes)
+    got = sorted((tuple(r)[:3] for r in upsert(t, c, "orderid", "orderdate").collect()), key=str)
+    assert got == want
+    table = PartitionedTable(spark, scratch_dir(spark, "t-prop-merge"), "order_year",
+                             lambda df: df.withColumn("order_year", F.year("orderdate")))
+    table.overwrite(t)
+    table.merge(c, "orderid", "orderdate")
+    got = sorted((tuple(r)[:3] for r in table.read().select("orderid", "orderdate", "v").collect()), key=str)
+    assert got == want
