@@ -43,8 +43,11 @@ def named_batch(spark: SparkSession, batch: DataFrame, contract: Contract) -> Da
 
 
 def ingest_stream(spark: SparkSession, folder: str, lake: str, table: str,
-                  checkpoint: str, max_files_per_trigger: int | None = None) -> None:
-    """Land every not-yet-seen file of ``folder`` into ``<lake>/<table>``, then stop."""
+                  checkpoint: str, max_files_per_trigger: int | None = 10_000) -> None:
+    """Land every not-yet-seen file of ``folder`` into ``<lake>/<table>``, then stop.
+
+    ``max_files_per_trigger`` bounds one micro-batch (and the header reads it
+    needs), so a backlog drains in several batches rather than one."""
     contract = CONTRACTS[table]
     out = f"{lake.rstrip('/')}/{table}"
 

@@ -54,7 +54,7 @@ def merge_batch(table: PartitionedTable, batch: DataFrame, batch_id: int,
 
 
 def upsert_stream(spark: SparkSession, folder: str, table_root: str, checkpoint: str,
-                  max_files_per_trigger: int | None = None) -> PartitionedTable:
+                  max_files_per_trigger: int | None = 10_000) -> PartitionedTable:
     """Merge every not-yet-seen orders file under ``folder``, then stop."""
     table = orders_table(spark, table_root)
     contract = CONTRACTS["orders_raw"]
