@@ -34,8 +34,13 @@ def _marker(table: PartitionedTable, batch_id: int) -> str:
     return f"{table.root}/_batches/batch_id={batch_id}"
 
 
+_UNSET = object()
+
+
 def merge_batch(table: PartitionedTable, batch: DataFrame, batch_id: int,
-                key: str = "orderid", date_col: str = "orderdate") -> None:
+                key: str = "orderid", date_col: str = "orderdate", hw=_UNSET) -> None:
+    """Merge one micro-batch.  ``hw`` is the high-water mark of the run the
+    batch belongs to; when not given it is read from the table."""
     if table.fs.exists(_marker(table, batch_id)):
         return
     contract = CONTRACTS["orders_raw"]
@@ -45,8 +50,8 @@ def merge_batch(table: PartitionedTable, batch: DataFrame, batch_id: int,
         if named is not None:
             valid = ci.validate(named, contract).where(F.col("_reject_reason").isNull())
             changes = bronze.base_orders(valid.select(*contract.names, "source_name"))
-            target = table.read()
-            hw = inc.high_water(target, date_col)
+            if hw is _UNSET:
+                hw = inc.high_water(table.read(), date_col)
             table.merge(inc.since(changes, date_col, hw), key, date_col)
     finally:
         batch.unpersist()
@@ -55,11 +60,16 @@ def merge_batch(table: PartitionedTable, batch: DataFrame, batch_id: int,
 
 def upsert_stream(spark: SparkSession, folder: str, table_root: str, checkpoint: str,
                   max_files_per_trigger: int | None = 10_000) -> PartitionedTable:
-    """Merge every not-yet-seen orders file under ``folder``, then stop."""
+    """Merge every not-yet-seen orders file under ``folder``, then stop.
+
+    The high-water mark is taken once, when the run starts, as the source
+    system's incremental run does: a delivery split over several
+    micro-batches is cut at the same mark in each of them."""
     table = orders_table(spark, table_root)
     contract = CONTRACTS["orders_raw"]
+    hw = inc.high_water(table.read(), "orderdate")
     q = (stream_source(spark, folder, contract, max_files_per_trigger).writeStream
-         .foreachBatch(lambda df, bid: merge_batch(table, df, bid))
+         .foreachBatch(lambda df, bid: merge_batch(table, df, bid, hw=hw))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
