@@ -19,9 +19,14 @@ from pyspark.sql import SparkSession
 
 
 def _session() -> SparkSession:
+    """The active session, or the one ``spark-submit`` configured (its master
+    and settings win); a local session only when run as plain Python."""
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    from pyspark import SparkConf
+    if SparkConf().contains("spark.master"):
+        return SparkSession.builder.getOrCreate()
     from tessera.session import local_session
     return local_session()
 
