@@ -52,7 +52,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-ckpt-")
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(scratch and checkpoint data must survive executor loss)")
+        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(path)
     # setCheckpointDir creates a unique sub-folder; hand out that one.
     return sc.getCheckpointDir() or path
