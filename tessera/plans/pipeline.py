@@ -36,7 +36,7 @@ class Spec:
     fn: Callable[..., DataFrame]
     inputs: tuple[str, ...]
     incremental: bool = False      # merge on orderid by orderdate high-water
-    by_year: bool = False
+    date_partitioned: bool = False
 
 
 # Model DAG: inputs are raw table names or upstream model names.
@@ -100,19 +100,19 @@ class Warehouse:
             spec = SPECS[name]
             path = f"{self.root.rstrip('/')}/{spec.layer}/{name}"
             self.tables[name] = (PartitionedTable(self.spark, path, self.part_col, self._derive)
-                                 if spec.by_year else SnapshotTable(self.spark, path))
+                                 if spec.date_partitioned else SnapshotTable(self.spark, path))
         return self.tables[name]
 
     def read(self, name: str) -> DataFrame | None:
         df = self.table(name).read()
-        return None if df is None else (df.drop(self.part_col) if SPECS[name].by_year else df)
+        return None if df is None else (df.drop(self.part_col) if SPECS[name].date_partitioned else df)
 
     def high_water(self, name: str):
         """``MAX(orderdate)`` of a model table.  For the date-partitioned order
         tables the partition value rises with the date, so only the newest
         partition's dates are read (the other partitions contribute just
         their partition value)."""
-        if not SPECS[name].by_year:
+        if not SPECS[name].date_partitioned:
             return inc.high_water(self.read(name), "orderdate")
         df = self.table(name).read()
         if df is None:
@@ -125,12 +125,12 @@ class Warehouse:
     def read_since(self, name: str, hw) -> DataFrame:
         """Rows of ``name`` with orderdate >= hw, pruning earlier partitions."""
         df = self.table(name).read()
-        if hw is not None and SPECS[name].by_year:
+        if hw is not None and SPECS[name].date_partitioned:
             df = df.where((F.col(self.part_col) >= F.lit(_grain_value(self.grain, hw)))
                           & (F.col("orderdate") >= F.lit(hw)))
         elif hw is not None:
             df = df.where(F.col("orderdate") >= F.lit(hw))
-        return df.drop(self.part_col) if SPECS[name].by_year else df
+        return df.drop(self.part_col) if SPECS[name].date_partitioned else df
 
 
 def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
