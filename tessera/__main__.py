@@ -43,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("warehouse")
     p.add_argument("--full-refresh", action="store_true")
     p.add_argument("--no-fail", action="store_true", help="report error-severity tests, do not stop")
+    p.add_argument("--select", default=None,
+                   help="comma-separated models to build, with everything downstream of them")
     p = sub.add_parser("profile", help="check the raw tables against their contracts")
     p.add_argument("lake")
     args = ap.parse_args(argv)
@@ -67,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
     from tessera.plans import pipeline
     try:
         out = pipeline.build(spark, raw, args.warehouse, full_refresh=args.full_refresh,
-                             fail_on_error=not args.no_fail)
+                             fail_on_error=not args.no_fail,
+                             select=args.select.split(",") if args.select else None)
     except DataQualityError as ex:
         print(str(ex), file=sys.stderr)
         return 1

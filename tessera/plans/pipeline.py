@@ -166,26 +166,51 @@ def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
     return version
 
 
-def run_layer_tests(wh: Warehouse, layer: str) -> DataFrame | None:
-    checks = [c for c in dq.DECLARED_CHECKS if c.layer == layer]
+def run_layer_tests(wh: Warehouse, layer: str, models: set[str] | None = None) -> DataFrame | None:
+    checks = [c for c in dq.DECLARED_CHECKS
+              if c.layer == layer and (models is None or c.model in models)]
     return dq.run_checks(wh.read, checks) if checks else None
 
 
+def downstream(selected: list[str]) -> set[str]:
+    """The selected models and every model that depends on them."""
+    unknown = [m for m in selected if m not in SPECS]
+    if unknown:
+        raise ValueError(f"unknown models: {unknown}")
+    out = set(selected)
+    changed = True
+    while changed:
+        changed = False
+        for name, spec in SPECS.items():
+            if name not in out and any(i in out for i in spec.inputs):
+                out.add(name)
+                changed = True
+    return out
+
+
 def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
           full_refresh: bool = False, fail_on_error: bool = True, threads: int = 4,
-          grain: str = "year") -> dict:
+          grain: str = "year", select: list[str] | None = None) -> dict:
     """Build every layer; returns model versions and the data-test summary.
 
     Models of one layer depend only on earlier layers, so they are submitted
     as concurrent Spark jobs (``threads`` at a time) and share the cluster;
-    layers run in order, each followed by its data tests.
+    layers run in order, each followed by the data tests of the models it
+    built.  ``select`` builds only the named models and everything
+    downstream of them (e.g. ``["base_orders"]`` after an orders delivery);
+    the other models keep their current tables, which must exist.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     wh = Warehouse(spark, warehouse, grain)
+    chosen = downstream(select) if select else set(SPECS)
+    missing = [i for n in chosen for i in SPECS[n].inputs
+               if i in SPECS and i not in chosen and wh.read(i) is None]
+    if missing:
+        raise ValueError(f"inputs not built yet: {sorted(set(missing))}")
     versions, tests = {}, []
     for layer in LAYERS:
-        names = [n for n, spec in SPECS.items() if spec.layer == layer]
+        names = [n for n, spec in SPECS.items() if spec.layer == layer and n in chosen]
         for n in names:
             wh.table(n)  # create table handles before the threads share them
         if threads > 1:
@@ -195,7 +220,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
         else:
             for n in names:
                 versions[n] = build_model(wh, raw, n, full_refresh)
-        summary = run_layer_tests(wh, layer)
+        summary = run_layer_tests(wh, layer, chosen)
         if summary is not None:
             rows = dq.enforce(summary, ("error",) if fail_on_error else ())
             tests.extend(rows)

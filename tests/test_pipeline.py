@@ -75,3 +75,21 @@ def test_partition_high_water_reads_newest_partition_only(spark):
     top = wh.table("stg_orders").read().where(F.col("order_year") == expect.year)
     plan = top.agg(F.max("orderdate"))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_year" in plan
+
+
+def test_select_builds_only_downstream_models(spark):
+    assert pipeline.downstream(["base_orders"]) == {
+        "base_orders", "stg_orders", "build_orders", "mart_gross_revenue", "mart_popular_items",
+        "mart_spending_members", "mart_order_processing_times"}
+    root = scratch_dir(spark, "t-pipeline-select")
+    raw = raw_tables(spark, SMALL)
+    with pytest.raises(ValueError):
+        pipeline.build(spark, raw, root, select=["base_orders"], fail_on_error=False)
+    first = pipeline.build(spark, raw, root, fail_on_error=False)
+    nxt = dict(raw, orders_raw=raw_orders_revision(spark, SMALL))
+    out = pipeline.build(spark, nxt, root, fail_on_error=False, select=["base_orders"])
+    assert set(out["versions"]) == pipeline.downstream(["base_orders"])
+    assert out["versions"]["mart_gross_revenue"] == first["versions"]["mart_gross_revenue"] + 1
+    assert {t["model"] for t in out["tests"]} <= pipeline.downstream(["base_orders"])
+    members = first["warehouse"].table("stg_members")
+    assert members.current_version() == first["versions"]["stg_members"]  # untouched
