@@ -72,7 +72,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(2 * cpus, 8)))
-    spark = local_session(cpus, shuffle_partitions=partitions, app="tessera-bench")
+    # BENCH_CONF="key=value,key=value" adds session settings (experiments)
+    extra = dict(kv.split("=", 1) for kv in os.environ.get("BENCH_CONF", "").split(",") if kv)
+    spark = local_session(cpus, shuffle_partitions=partitions, app="tessera-bench", extra=extra or None)
     qs = queries()
     results: dict[str, float] = {}
     errors: dict[str, str] = {}
