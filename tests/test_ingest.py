@@ -51,27 +51,28 @@ def test_quarantine_and_conservation(spark):
           ",m1,S1,c,01/01/2023,1.00,1.00\n"         # missing key
           "5,m1,S1,c,01/01/2023,abc,1.00\n"         # not a number
           "6,m1,S1\n"                               # ragged
-          "7,m1,\"S,1\",\"say \"\"hi\"\"\",02/01/2023,1.00,1.00\n")  # quoted comma, doubled quote
+          "7,m1,\"S,1\",\"say \"\"hi\"\"\",02/01/2023,1.00,1.00\n"  # quoted comma, doubled quote
+          "8,m1,S1,c,,1.00,1.00\n")                # empty date: NULL, not rejected
     ci.ingest(spark, land, f"{root}/lake", run_id="r1")
     ci.ingest(spark, land, f"{root}/lake", run_id="r1")  # a retried run replaces its output
     good = {r["orderid"]: r for r in ci.read_raw(spark, f"{root}/lake", "orders_raw").collect()}
     bad = {r["orderid"]: r["reject_reason"]
            for r in ci.read_quarantine(spark, f"{root}/lake", "orders_raw").collect()}
-    assert set(good) == {"1", "7"}
+    assert set(good) == {"1", "7", "8"} and good["8"]["orderdate"] is None
     assert str(good["1"]["orderdate"]) == "2023-02-07" and good["1"]["campaignid"] is None
     assert good["7"]["storeid"] == "S,1" and good["7"]["campaignid"] == 'say "hi"'
     assert set(bad) == {"2", "3", None, "5", "6"}
     assert bad[None].startswith("orderid") and bad["6"] == "malformed row"
     lines = {r["orderid"]: r["raw_line"] for r in ci.read_quarantine(spark, f"{root}/lake", "orders_raw").collect()}
     assert lines["6"] == "6,m1,S1" and lines["2"] is None  # whole line kept for malformed rows
-    assert len(good) + len(bad) == 7
+    assert len(good) + len(bad) == 8
     ci.export_quarantine(spark, f"{root}/lake", "orders_raw", f"{root}/errors")
     errs = spark.read.csv(f"{root}/errors", header=True)
     assert errs.columns == ["orderid", "memberid", "storeid", "campaignid", "orderdate", "subtotal", "total"]
     assert errs.count() == 5
     years = spark.read.parquet(f"{root}/lake/orders_raw").where(F.col("ingest_status") == "loaded") \
         .select("order_year").distinct().collect()
-    assert {r[0] for r in years} == {2023}
+    assert {r[0] for r in years} == {2023, None}
 
 
 def test_quoted_newline_needs_multiline(spark):
