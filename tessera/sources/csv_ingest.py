@@ -19,9 +19,10 @@ Flow for one landing folder:
 4. ``validate``    - per row: malformed, NOT NULL key missing, DATE column
    not in the contract format, number that does not cast.  Every input row ends up
    either loaded or quarantined with its original cells and a reason.
-5. ``ingest``      - one write per table, partitioned by ``ingest_status``
-   (and by year for tables with a date partition), so loaded and quarantined
-   rows come out of a single pass over the files.
+5. ``ingest``      - one write per table, partitioned by load run,
+   ``ingest_status`` and (for tables with a date partition) year, so loaded
+   and quarantined rows come out of a single pass over the files, and a
+   retried run replaces only its own partition.
 """
 
 from __future__ import annotations
