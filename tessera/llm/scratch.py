@@ -11,12 +11,14 @@ import atexit
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.ship import ship
 from tessera.session import scratch_dir
 from tessera.sources.fs import HadoopFS
 
 
 class Scratch:
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = scratch_dir(spark, name)
         self._n = 0
