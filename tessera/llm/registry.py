@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, forest, minhash, packing, quality_rules, records, substring
+from tessera.llm import bpe, forest, html_main, minhash, packing, quality_rules, records, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_quality_rules": quality_rules.op5_quality_rules,
         "op9_minhash": minhash.op9_minhash,
+        "op1_main_text": html_main.op1_main_text,
         "op2_forest": forest.op2_forest,
         "op7_substring": substring.op7_substring,
         "op4_records": records.op4_records,
