@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, forest, html_main, minhash, packing, quality_rules, records, substring
+from tessera.llm import bpe, chat, forest, html_main, minhash, packing, pii, quality_rules, records, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_minhash": minhash.op9_minhash,
         "op1_main_text": html_main.op1_main_text,
         "op2_forest": forest.op2_forest,
+        "op3_chat": chat.op3_chat,
+        "op8_pii": pii.op8_pii,
         "op7_substring": substring.op7_substring,
         "op4_records": records.op4_records,
         "op6_bpe": bpe.op6_bpe,
@@ -23,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {"op3_chat": chat.ORACLE}
