@@ -184,8 +184,8 @@ def pack(encoded: DataFrame, window: int = 2048, parts: int | None = None) -> Da
                               "sequence_id long, offset long"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048) -> DataFrame:
-    scratch = Scratch(docs.sparkSession, "packing")
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, scratch: Scratch | None = None) -> DataFrame:
+    scratch = scratch or Scratch(docs.sparkSession, "packing")
     return pack(scratch.save(encode_table(docs, tokenizer, end_id), "ids"), window)
 
 

@@ -277,6 +277,16 @@ def masked(text: str, spans: str) -> Column:
         F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t))))
 
 
+def without_personal_data(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` with every span masked; ``n_chars``, if any, follows the text."""
+    found = detect(docs.withColumn("text", F.col("text").cast("string")), scratch, keep_text=True)
+    some = F.size("spans") > 0
+    out = found.withColumn("text", F.when(some, masked("text", "spans")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(some, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = detect(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)))

@@ -47,6 +47,15 @@ def kept_text(w: Words, i: int, drop: np.ndarray | None = None) -> bytes:
     return b" ".join([raw[x:y] for (x, y), z in zip(pairs, drop.tolist()) if not z])
 
 
+def remaining(w: Words, i: int, drop: np.ndarray) -> bytes:
+    """Text ``i`` without the marked words; white space between words that
+    stay neighbours is kept as it was, what is cut leaves one space."""
+    a = w.first[i]
+    stay = ~drop
+    runs = np.flatnonzero(np.diff(np.concatenate([[False], stay, [False]])))
+    return b" ".join(w.data[w.start[a + x]:w.end[a + y - 1]].tobytes() for x, y in zip(runs[::2], runs[1::2]))
+
+
 def anchors(w: Words, h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For every window (by its first word): the place of its anchor, and the
     hashes of all word runs."""
@@ -160,7 +169,7 @@ def removals(docs: DataFrame, width: int) -> DataFrame:
                     kept = kept_text(w, i, drop)
                     gone.append(int(drop.sum()))
                     sha.append(hashlib.sha256(kept).digest())
-                    text.append(kept.decode("utf-8", "replace"))
+                    text.append(remaining(w, i, drop).decode("utf-8", "replace"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), pa.array(gone, pa.int64()), pa.array(sha, pa.binary()), pa.array(text)],
                     ["row", "n_removed", "sha", "kept_text"])
@@ -209,6 +218,21 @@ def parse(docs: DataFrame, width: int = 20, scratch: Scratch | None = None) -> t
     return out, cut.select("row", "kept_text")
 
 
+def without_repeats(docs: DataFrame, width: int = 20, scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` with every repeated passage cut from all but its first place.
+
+    Rows stay, with empty texts if nothing is left; ``n_chars``, if there is
+    such a column, follows the text."""
+    out, cut = parse(docs, width, scratch)
+    found = numbered(docs.withColumn("text_", F.col("text")).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    found = found.withColumn("text", F.col("text_"))
+    gone = out.where("copy").select("row", F.lit("").alias("new_text")).union(cut.select("row", F.col("kept_text")))
+    done = found.join(gone.dropDuplicates(["row"]), "row", "left").withColumn("text", F.coalesce("new_text", "text"))
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.when(F.col("new_text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+    return done.select(*docs.columns)
+
+
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = parse(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select(F.col("row.id").alias("doc_id"), "n_words", "n_removed", F.lower(F.hex("sha")).alias("kept_sha256"))
