@@ -1,7 +1,7 @@
 """Command line: land files, build the models, run the data tests.
 
-    python -m tessera ingest  LANDING LAKE
-    python -m tessera build   LAKE WAREHOUSE [--full-refresh] [--no-fail]
+    python -m tessera ingest  LANDING LAKE [--run-id ID]
+    python -m tessera build   LAKE WAREHOUSE [--full-refresh] [--no-fail] [--grain month]
     python -m tessera profile LAKE
 
 ``spark-submit`` supplies the session on a cluster; run locally, a local
@@ -37,7 +37,8 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("ingest", help="land delivered CSV/TXT files into raw tables")
     p.add_argument("landing")
     p.add_argument("lake")
-    p.add_argument("--multi-line", action="store_true", help="allow newlines inside quotes")
+    p.add_argument("--run-id", default=None,
+                   help="names this load; a retry with the same id replaces its rows")
     p = sub.add_parser("build", help="build bronze, silver, gold and marts, then test")
     p.add_argument("lake")
     p.add_argument("warehouse")
@@ -45,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--no-fail", action="store_true", help="report error-severity tests, do not stop")
     p.add_argument("--select", default=None,
                    help="comma-separated models to build, with everything downstream of them")
+    p.add_argument("--grain", choices=("year", "month"), default="year",
+                   help="partition grain of the order tables")
     p = sub.add_parser("profile", help="check the raw tables against their contracts")
     p.add_argument("lake")
     args = ap.parse_args(argv)
@@ -53,7 +56,8 @@ def main(argv: list[str] | None = None) -> int:
     from tessera.sources import csv_ingest as ci
     spark = _session()
     if args.cmd == "ingest":
-        out = ci.ingest(spark, args.landing, args.lake, multi_line=args.multi_line)
+        out = ci.ingest(spark, args.landing, args.lake, run_id=args.run_id)
+        print(json.dumps({"run_id": out["run_id"]}))
         for e in out["manifest"]:
             print(json.dumps({"file": e.path, "table": e.table, "accepted": e.accepted,
                               "reason": e.reason}))
@@ -69,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     from tessera.plans import pipeline
     try:
         out = pipeline.build(spark, raw, args.warehouse, full_refresh=args.full_refresh,
-                             fail_on_error=not args.no_fail,
+                             fail_on_error=not args.no_fail, grain=args.grain,
                              select=args.select.split(",") if args.select else None)
     except DataQualityError as ex:
         print(str(ex), file=sys.stderr)

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
-
 
 @dataclass(frozen=True)
 class Column:
@@ -28,6 +26,9 @@ class Contract:
     table: str                    # raw table name, e.g. "orders_raw"
     columns: tuple[Column, ...]
     partition_by_year_of: str | None = None
+    #: Quoted cells may hold line breaks.  Spark then reads each file in one
+    #: task; switch it off for a table whose cells are known to hold none.
+    multi_line: bool = True
     lineage: tuple[str, ...] = ("source_name", "insert_date")
     extra: dict = field(default_factory=dict)
 
@@ -40,27 +41,6 @@ class Contract:
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
-    def column(self, name: str) -> Column:
-        for c in self.columns:
-            if c.name == name:
-                return c
-        raise KeyError(name)
-
-    def file_schema(self, header: list[str] | None = None) -> T.StructType:
-        """All-string schema in *file* order (Spark CSV binds by position)."""
-        names = [h.strip().lower() for h in header] if header else self.names
-        return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-
-    def raw_schema(self) -> T.StructType:
-        fields = [T.StructField(c.name, T.DataType.fromDDL(c.type)
-                                if c.type != "string" else T.StringType(),
-                                not c.not_null,
-                                {"max_length": c.max_length} if c.max_length else {})
-                  for c in self.columns]
-        fields += [T.StructField("source_name", T.StringType(), True),
-                   T.StructField("insert_date", T.TimestampNTZType(), True)]
-        return T.StructType(fields)
-
 
 # Table, column, length and format declarations of the six raw
 # table contracts, kept as declared (file column order, raw types, formats).
@@ -93,7 +73,3 @@ CONTRACTS: dict[str, Contract] = {
     "preferences_raw": Contract(
         "preferences_raw", (Column("memberid"), Column("preference"))),
 }
-
-
-def contract_for_stem(stem: str) -> Contract | None:
-    return CONTRACTS.get(f"{stem}_raw")

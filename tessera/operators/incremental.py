@@ -10,8 +10,8 @@
 * ``upsert``      - MERGE on a unique key as ``target ANTI JOIN changes
   UNION changes``.  Changes are deduplicated to one row per key (a MERGE
   with duplicate source keys is an error) and NULL keys are left out.  The
-  change keys are broadcast only after their count is checked against the
-  session's broadcast threshold; larger deltas use a shuffled anti join.
+  anti join carries no hint: the adaptive plan broadcasts the change keys if
+  their measured size is under the session's threshold.
 """
 
 from __future__ import annotations
@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 
 from tessera.operators.dedup import keep_latest
 
-# Bytes assumed per change key when sizing the broadcast of the key set.
-KEY_BYTES = 64
-
 
 def high_water(target: DataFrame | None, column: str):
     if target is None:
@@ -49,32 +46,11 @@ def load_metrics(source: DataFrame, column: str, hw) -> DataFrame:
     ).select(F.lit(hw).cast("date").alias("high_water"), "*")
 
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def parse_bytes(text: str) -> int:
-    t = text.strip().lower()
-    num = t.rstrip("bkmgt")
-    unit = t[len(num):]
-    return int(float(num) * _UNITS[unit])
-
-
-def broadcast_fits(df: DataFrame, n_rows: int, row_bytes: int = KEY_BYTES) -> bool:
-    """True when ``n_rows`` keys fit under the session's broadcast threshold."""
-    limit = parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    return limit > 0 and n_rows * row_bytes <= limit
-
-
 def upsert(target: DataFrame, changes: DataFrame, key: str,
-           order_col: str | None = None, check_size: bool = True) -> DataFrame:
+           order_col: str | None = None) -> DataFrame:
     changes = changes.where(F.col(key).isNotNull())
     if order_col is not None:
         changes = keep_latest(changes, [key], order_col)
     keys = changes.select(F.col(key).alias("_change_key"))
-    if check_size:
-        n = keys.count()
-        if broadcast_fits(target, n):
-            keys = F.broadcast(keys)
     kept = target.join(keys, target[key] == keys["_change_key"], "left_anti")
     return kept.unionByName(changes.select(*target.columns))

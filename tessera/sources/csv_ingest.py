@@ -8,9 +8,9 @@ Flow for one landing folder:
    after the stem (``orders/part-0001.csv``), the shape of multi-file
    daily deliveries.
 2. ``build_manifest`` - one header line per file (metadata only) decides
-   acceptance: the header must hold the contract's column *set*
-   (case-insensitive, lineage columns ignored); empty files, unknown stems
-   and mismatched headers are rejected as a whole.
+   acceptance: the header must hold the contract's columns, each once, in
+   any order and case; empty files, unknown stems and other headers are
+   rejected as a whole, and the run goes on with the other files.
 3. ``read_files``  - files are grouped by header order and each group is read
    by Spark's CSV source in parallel with an explicit all-text schema in
    *file* order, then selected by name (Spark binds CSV columns by
@@ -29,8 +29,10 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections import defaultdict
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +46,6 @@ from tessera.sources.fs import HadoopFS
 
 # Accepted file suffixes and lineage columns.
 SUPPORTED_SUFFIXES = ("csv", "txt")
-LINEAGE = ("source_name", "insert_date")
 CORRUPT = "_corrupt_record"
 
 
@@ -105,6 +106,21 @@ def read_headers(spark: SparkSession, paths: list[str], threads: int = 32) -> li
         return list(pool.map(lambda p: _parse_header(fs.first_line(p)), paths))
 
 
+def header_problem(header: tuple[str, ...] | None, contract: Contract | None, table: str) -> str | None:
+    """Why a file with this header cannot be loaded, or None."""
+    if header is None:
+        return "empty file"
+    if contract is None:
+        return f"no contract for table {table}"
+    got, want = [h.lower() for h in header], set(contract.names)
+    twice = sorted({h for h in got if got.count(h) > 1})
+    if twice:
+        return f"columns repeated: {twice}"
+    if set(got) != want:
+        return f"columns mismatch: missing {sorted(want - set(got))}, unexpected {sorted(set(got) - want)}"
+    return None
+
+
 def build_manifest(spark: SparkSession, landing: str,
                    contracts: dict[str, Contract] = CONTRACTS) -> list[InputFile]:
     inputs = list_inputs(spark, landing, contracts)
@@ -112,21 +128,9 @@ def build_manifest(spark: SparkSession, landing: str,
     entries = []
     for (path, stem), header in zip(inputs, headers):
         table = f"{stem}_raw"
-        contract = contracts.get(table)
-        if header is None:
-            ok, reason = False, "empty file"
-        elif contract is None:
-            ok, reason = False, f"no contract for table {table}"
-        else:
-            got = {h.lower() for h in header} - set(LINEAGE)
-            want = set(contract.names)
-            if got != want:
-                missing, extra = sorted(want - got), sorted(got - want)
-                ok, reason = False, f"columns mismatch: missing {missing}, unexpected {extra}"
-            else:
-                ok, reason = True, "accepted"
+        problem = header_problem(header, contracts.get(table), table)
         entries.append(InputFile(path, path.rsplit("/", 1)[-1], stem, table,
-                                 header, ok, reason))
+                                 header, problem is None, problem or "accepted"))
     return entries
 
 
@@ -142,18 +146,12 @@ def manifest_frame(spark: SparkSession, entries: list[InputFile]) -> DataFrame:
     return spark.createDataFrame(rows, MANIFEST_SCHEMA)
 
 
-def csv_reader(spark: SparkSession, schema: T.StructType, multi_line: bool = False):
-    """Spark CSV reader configured like the source system's CSV dialect.
-
-    ``multiLine`` (quoted newlines) makes a file unsplittable, so it is only
-    switched on for contracts whose data needs it.
-    """
-    return (spark.read.schema(schema)
-            .option("header", True).option("sep", ",").option("quote", '"')
-            .option("escape", '"').option("encoding", "UTF-8")
-            .option("multiLine", multi_line).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+def csv_options(contract: Contract) -> dict[str, str]:
+    """The source system's CSV dialect, for batch and stream readers alike."""
+    return {"header": "true", "sep": ",", "quote": '"', "escape": '"', "encoding": "UTF-8",
+            "multiLine": str(contract.multi_line).lower(), "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT,
+            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def file_schema(header: tuple[str, ...]) -> T.StructType:
@@ -161,8 +159,7 @@ def file_schema(header: tuple[str, ...]) -> T.StructType:
                         + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def read_files(spark: SparkSession, contract: Contract, entries: list[InputFile],
-               multi_line: bool = False) -> DataFrame | None:
+def read_files(spark: SparkSession, contract: Contract, entries: list[InputFile]) -> DataFrame | None:
     """Accepted files of one table, columns mapped by name, all text."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for e in entries:
@@ -170,7 +167,7 @@ def read_files(spark: SparkSession, contract: Contract, entries: list[InputFile]
             groups[tuple(h.lower() for h in e.header)].append(e.path)
     frames = []
     for header, paths in sorted(groups.items()):
-        df = csv_reader(spark, file_schema(header), multi_line).csv(paths)
+        df = spark.read.schema(file_schema(header)).options(**csv_options(contract)).csv(paths)
         frames.append(df.select(*[F.col(c) for c in contract.names], F.col(CORRUPT),
                                 F.col("_metadata.file_name").alias("source_name")))
     if not frames:
@@ -199,12 +196,12 @@ def map_by_header(spark: SparkSession, df: DataFrame, contract: Contract,
     paths = sorted(r[0] for r in df.select(path_col).distinct().collect())
     layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
     report = []
-    for p, header in zip(paths, read_headers(spark, paths)):
-        got = {h.lower() for h in header or ()} - set(LINEAGE)
-        ok = header is not None and got == set(contract.names)
-        report.append(InputFile(p, p.rsplit("/", 1)[-1], contract.stem, contract.table, header,
-                                ok, "accepted" if ok else "columns mismatch"))
-        if ok:
+    # Spark reports paths percent-encoded; the file system wants them plain.
+    for p, header in zip(paths, read_headers(spark, [unquote(p) for p in paths])):
+        problem = header_problem(header, contract, contract.table)
+        report.append(InputFile(unquote(p), unquote(p).rsplit("/", 1)[-1], contract.stem, contract.table, header,
+                                problem is None, problem or "accepted"))
+        if problem is None:
             layouts[tuple(h.lower() for h in header)].append(p)
     frames = []
     for header, files in sorted(layouts.items()):
@@ -274,9 +271,29 @@ def new_run_id() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
+def write_manifest(spark: SparkSession, lake: str, run_id: str, entries: list[InputFile]) -> None:
+    """Add one run's file report to ``<lake>/_manifest``; a retry replaces it."""
+    if entries:
+        (manifest_frame(spark, entries).select(F.lit(run_id).alias("ingest_run"), "*",
+                                               utc_now().alias("ingested_at")).coalesce(1)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_run").parquet(f"{lake.rstrip('/')}/_manifest"))
+
+
+def write_landed(rows: DataFrame, contract: Contract, lake: str, run_id: str) -> None:
+    """Write one run's validated rows to its own partition of the raw table.
+
+    Batch and stream runs share the layout.  The rebalance gives each
+    partition files of a good size instead of one per task."""
+    out = landed(rows, contract).withColumn("ingest_run", F.lit(run_id))
+    by = partition_columns(contract)
+    (out.hint("rebalance", *map(F.col, by))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ingest_run", *by).parquet(f"{lake.rstrip('/')}/{contract.table}"))
+
+
 def ingest(spark: SparkSession, landing: str, lake: str,
-           contracts: dict[str, Contract] = CONTRACTS, run_id: str | None = None,
-           multi_line: bool = False) -> dict:
+           contracts: dict[str, Contract] = CONTRACTS, run_id: str | None = None) -> dict:
     """Ingest every accepted file under ``landing`` into ``<lake>/<table>``.
 
     Each run writes its own ``ingest_run=<run_id>`` partition with dynamic
@@ -288,24 +305,25 @@ def ingest(spark: SparkSession, landing: str, lake: str,
     """
     run_id = run_id or new_run_id()
     entries = build_manifest(spark, landing, contracts)
-    if entries:
-        (manifest_frame(spark, entries).select(F.lit(run_id).alias("ingest_run"), "*",
-                                               utc_now().alias("ingested_at"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ingest_run").parquet(f"{lake.rstrip('/')}/_manifest"))
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
+        raise ValueError(f"a run id is letters, digits, dots, dashes and underscores: {run_id!r}")
+    write_manifest(spark, lake, run_id, entries)
     written = []
     for contract in contracts.values():
-        df = read_files(spark, contract, entries, multi_line)
-        if df is None:
-            continue
-        (landed(validate(df, contract), contract).withColumn("ingest_run", F.lit(run_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ingest_run", *partition_columns(contract))
-         .parquet(f"{lake.rstrip('/')}/{contract.table}"))
-        written.append(contract.table)
+        df = read_files(spark, contract, entries)
+        if df is not None:
+            write_landed(validate(df, contract), contract, lake, run_id)
+            written.append(contract.table)
     return {"run_id": run_id, "manifest": entries, "tables": written}
 
 
+def read_manifest(spark: SparkSession, lake: str) -> DataFrame:
+    """One row per file and run: accepted, or why not.  Run ids stay text."""
+    schema = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("ingested_at", T.TimestampNTZType()),
+                           T.StructField("ingest_run", T.StringType())])
+    return spark.read.schema(schema).parquet(f"{lake.rstrip('/')}/_manifest")
+
+
 def read_raw(spark: SparkSession, lake: str, table: str) -> DataFrame:
     """Loaded rows of a raw table (partition-pruned to ``ingest_status=loaded``)."""
     contract = CONTRACTS[table]

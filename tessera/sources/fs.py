@@ -45,6 +45,14 @@ class HadoopFS:
     def delete(self, path: str, recursive: bool = True) -> bool:
         return bool(self._fs(path).delete(self._path(path), recursive))
 
+    def rename(self, src: str, dst: str) -> None:
+        """Move a file or folder; ``dst`` must not exist."""
+        fs = self._fs(src)
+        parent = self._path(dst).getParent()
+        fs.mkdirs(parent)
+        if not fs.rename(self._path(src), self._path(dst)):
+            raise OSError(f"cannot move {src} to {dst}")
+
     def mkdirs(self, path: str) -> bool:
         return bool(self._fs(path).mkdirs(self._path(path)))
 

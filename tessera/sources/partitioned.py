@@ -8,31 +8,35 @@ partitions:
    it is used several times and its lineage is cut);
 2. affected partitions = partitions the delta lands in, plus partitions that
    currently hold a changed key (a moved row).  Finding the latter scans
-   only the key and partition columns of the table, semi-joined to the
-   change keys (broadcast after a size check);
+   only the key and partition columns of the table;
 3. the new content of those partitions (old rows minus changed keys, plus
-   the delta) is staged, then swapped in with dynamic partition overwrite;
-   partitions the merge emptied are deleted.
-
-Unaffected partitions are neither read nor written.  The staged content is
-final, so re-running the swap after a failure completes it.
+   the delta) is written once, to a stage folder beside the table;
+4. an intent file names the stage and the affected partitions; then each
+   partition folder is replaced by its staged one (or deleted if the merge
+   emptied it), and the intent is removed.
+
+A run that dies before step 4 leaves the table as it was.  One that dies in
+step 4 leaves the intent: the next use of the table finishes the swap before
+anything (such as a high-water mark) is read from it.  ``overwrite`` takes
+the same way.  Rows without a key cannot be merged; they are written to
+``_null_keys`` under the table, never dropped.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.dedup import keep_latest
-from tessera.operators.incremental import broadcast_fits
-from tessera.session import scratch_dir
 from tessera.sources.fs import HadoopFS
 
 DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-SCHEMA_FILE = "_table_schema.json"  # a partitioned write of no rows leaves no data file
+SCHEMA_FILE = "_table_schema.json"  # also says that the table exists
+INTENT_FILE = "_swap_intent.json"
 
 
 class PartitionedTable:
@@ -43,61 +47,92 @@ class PartitionedTable:
         self.fs = HadoopFS(spark)
 
     def exists(self) -> bool:
-        return self.fs.exists(f"{self.root}/_SUCCESS")
+        self.recover()
+        return self.fs.exists(f"{self.root}/{SCHEMA_FILE}")
 
     def read(self) -> DataFrame | None:
         if not self.exists():
             return None
-        marker = f"{self.root}/{SCHEMA_FILE}"
-        if self.fs.exists(marker):
-            schema = T.StructType.fromJson(json.loads(self.fs.read_text(marker)))
-            return self.spark.read.schema(schema).parquet(self.root)
-        return self.spark.read.parquet(self.root)
-
-    def _save_schema(self, df: DataFrame) -> None:
-        self.fs.write_text(f"{self.root}/{SCHEMA_FILE}", df.schema.json())
+        schema = T.StructType.fromJson(json.loads(self.fs.read_text(f"{self.root}/{SCHEMA_FILE}")))
+        return self.spark.read.schema(schema).parquet(self.root)
 
-    def overwrite(self, df: DataFrame) -> None:
-        out = self.derive(df)
-        out.write.mode("overwrite").partitionBy(self.partition_col).parquet(self.root)
-        self._save_schema(out)
+    def _folder(self, value) -> str:
+        return f"{self.partition_col}={DEFAULT_PARTITION if value is None else value}"
 
     def _in(self, values: list) -> F.Column:
         col = F.col(self.partition_col)
         cond = col.isin([v for v in values if v is not None])
         return (cond | col.isNull()) if None in values else cond
 
+    def _replace(self, rows: DataFrame, schema: T.StructType, affected: list[str] | None) -> None:
+        """Write ``rows`` to a stage, declare the intent, swap.  ``affected``
+        names the partition folders to replace; None means all."""
+        stage = f"{self.root}/_stage-{uuid.uuid4().hex[:12]}"
+        rows.hint("rebalance", F.col(self.partition_col)).write.partitionBy(self.partition_col).parquet(stage)
+        if affected is None:
+            affected = self._folders(self.root)
+        staged = self._folders(stage)
+        self.fs.write_text(f"{self.root}/{INTENT_FILE}", json.dumps(
+            {"stage": stage, "staged": staged, "affected": sorted({*affected, *staged}), "schema": schema.json()}))
+        self.recover()
+
+    def _folders(self, path: str) -> list[str]:
+        names = [p.rstrip("/").rsplit("/", 1)[-1] for p, is_dir in self.fs.list(path) if is_dir]
+        return [n for n in names if n.startswith(self.partition_col + "=")]
+
+    def recover(self) -> None:
+        """Finish the swap that an intent declares; does nothing without one."""
+        intent = f"{self.root}/{INTENT_FILE}"
+        if not self.fs.exists(intent):
+            return
+        plan = json.loads(self.fs.read_text(intent))
+        for name in plan["affected"]:
+            live, new = f"{self.root}/{name}", f"{plan['stage']}/{name}"
+            if name not in plan["staged"]:
+                self.fs.delete(live)
+            elif self.fs.exists(new):  # else it was moved before the run died
+                self.fs.delete(live)
+                self.fs.rename(new, live)
+        self.fs.write_text(f"{self.root}/{SCHEMA_FILE}", plan["schema"])
+        self.fs.delete(intent)
+        self.fs.delete(plan["stage"])
+
+    def overwrite(self, df: DataFrame) -> None:
+        self.recover()
+        out = self.derive(df)
+        self._replace(out, out.schema, None)
+
+    def _set_aside(self, changes: DataFrame, key: str) -> DataFrame:
+        """Keep the rows without a key; returns the others."""
+        lost = changes.where(F.col(key).isNull())
+        if not lost.isEmpty():
+            lost.write.mode("append").parquet(f"{self.root}/_null_keys")
+        return changes.where(F.col(key).isNotNull())
+
+    def null_keys(self) -> DataFrame | None:
+        path = f"{self.root}/_null_keys"
+        return self.spark.read.parquet(path) if self.fs.exists(path) else None
+
     def merge(self, changes: DataFrame, key: str, order_col: str) -> list:
         """Upsert ``changes`` on ``key``; returns the rewritten partition values."""
         target = self.read()
+        changes = self._set_aside(changes, key)
         if target is None:
-            self.overwrite(keep_latest(changes.where(F.col(key).isNotNull()), [key], order_col))
+            self.overwrite(keep_latest(changes, [key], order_col))
             return []
-        stage = scratch_dir(self.spark, "merge")
         p = self.partition_col
-        delta = self.derive(keep_latest(changes.where(F.col(key).isNotNull()), [key], order_col))
-        delta.write.mode("overwrite").parquet(f"{stage}/delta")
-        delta = self.spark.read.parquet(f"{stage}/delta")
+        path = f"{self.root}/_delta-{uuid.uuid4().hex[:12]}"
+        delta = self.derive(keep_latest(changes, [key], order_col))
+        delta.write.parquet(path)
+        delta = self.spark.read.schema(delta.schema).parquet(path)
         keys = delta.select(F.col(key).alias("_k"))
-        if broadcast_fits(delta, delta.count()):
-            keys = F.broadcast(keys)
         holders = (target.select(key, p).join(keys, F.col(key) == keys["_k"], "left_semi")
                    .select(p))
         affected = [r[0] for r in holders.union(delta.select(p)).distinct().collect()]
-        if not affected:
-            self.fs.delete(stage)
-            return []
-        kept = (target.where(self._in(affected))
-                .join(keys, F.col(key) == keys["_k"], "left_anti"))
-        parts = kept.unionByName(delta.select(*target.columns))
-        parts.write.mode("overwrite").partitionBy(p).parquet(f"{stage}/parts")
-        staged = self.spark.read.parquet(f"{stage}/parts")
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(p).parquet(self.root))
-        self._save_schema(target)
-        present = {r[0] for r in staged.select(p).distinct().collect()}
-        for v in affected:
-            if v not in present:
-                self.fs.delete(f"{self.root}/{p}={DEFAULT_PARTITION if v is None else v}")
-        self.fs.delete(stage)
+        if affected:
+            kept = (target.where(self._in(affected))
+                    .join(keys, F.col(key) == keys["_k"], "left_anti"))
+            self._replace(kept.unionByName(delta.select(*target.columns)), target.schema,
+                          [self._folder(v) for v in affected])
+        self.fs.delete(path)
         return sorted(affected, key=lambda v: (v is None, v))

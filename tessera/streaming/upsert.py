@@ -4,10 +4,16 @@ Each micro-batch is validated like batch ingestion (columns named by each
 file's header), typed by the bronze model, cut at the table's high-water
 mark and merged on the key into a year-partitioned table, rewriting only
 the affected years (:class:`~tessera.sources.partitioned.PartitionedTable`).
-A marker per committed batch id makes a replayed batch (failure between the
-merge and the checkpoint commit) a no-op; a replay of a batch whose merge
-did not finish simply merges again, which an upsert of the same changes
-makes harmless.
+
+Nothing is lost on the way.  Beside the table, under ``<table>_intake``:
+rejected rows with their cells and reason, and rows below the mark (reason
+``late`` or ``undated``), in ``orders_raw``; the report on every file in ``_manifest``; the
+counts of each batch in ``_metrics``.
+
+A marker per stream id and batch number makes a replayed batch (failure
+between the merge and the checkpoint commit) a no-op; a stream with a new
+checkpoint has another id.  A replay of a batch whose merge did not finish
+merges again, which an upsert of the same changes makes harmless.
 """
 
 from __future__ import annotations
@@ -21,7 +27,7 @@ from tessera.operators import incremental as inc
 from tessera.plans import bronze
 from tessera.sources import csv_ingest as ci
 from tessera.sources.partitioned import PartitionedTable
-from tessera.streaming.file_ingest import named_batch, stream_source
+from tessera.streaming.file_ingest import stream_run_id, stream_source, validated_batch
 
 YEAR = "order_year"
 
@@ -30,32 +36,46 @@ def orders_table(spark: SparkSession, root: str) -> PartitionedTable:
     return PartitionedTable(spark, root, YEAR, lambda df: df.withColumn(YEAR, F.year("orderdate")))
 
 
-def _marker(table: PartitionedTable, batch_id: int) -> str:
-    return f"{table.root}/_batches/batch_id={batch_id}"
+def intake(table: PartitionedTable) -> str:
+    """Where what a stream did not merge is kept."""
+    return f"{table.root}_intake"
+
+
+def _marker(table: PartitionedTable, run_id: str) -> str:
+    return f"{table.root}/_batches/{run_id}"
 
 
 _UNSET = object()
 
 
-def merge_batch(table: PartitionedTable, batch: DataFrame, batch_id: int,
+def merge_batch(table: PartitionedTable, batch: DataFrame, run_id: str,
                 key: str = "orderid", date_col: str = "orderdate", hw=_UNSET) -> None:
     """Merge one micro-batch.  ``hw`` is the high-water mark of the run the
     batch belongs to; when not given it is read from the table."""
-    if table.fs.exists(_marker(table, batch_id)):
+    if table.fs.exists(_marker(table, run_id)):
         return
     contract = CONTRACTS["orders_raw"]
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        named = named_batch(table.spark, batch, contract)
-        if named is not None:
-            valid = ci.validate(named, contract).where(F.col("_reject_reason").isNull())
-            changes = bronze.base_orders(valid.select(*contract.names, "source_name"))
+        rows = validated_batch(table.spark, batch, contract, intake(table), run_id)
+        if rows is not None:
             if hw is _UNSET:
                 hw = inc.high_water(table.read(), date_col)
+            good = F.col("_reject_reason").isNull()
+            below = F.lit(False) if hw is None else F.coalesce(F.col(date_col) < F.lit(hw), F.lit(True))
+            late = rows.where(good & below).withColumn(
+                "_reject_reason", F.when(F.col(date_col).isNull(), "undated").otherwise("late"))
+            original = F.struct(*[F.col(n).cast("string").alias(n) for n in contract.names])
+            late = late.withColumn("_original", original.cast(rows.schema["_original"].dataType))
+            ci.write_landed(rows.where(~good).unionByName(late), contract, intake(table), run_id)
+            changes = bronze.base_orders(rows.where(good).select(*contract.names, "source_name"))
+            (inc.load_metrics(changes, date_col, hw).select(F.lit(run_id).alias("ingest_run"), "*").coalesce(1)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("ingest_run").parquet(f"{intake(table)}/_metrics"))
             table.merge(inc.since(changes, date_col, hw), key, date_col)
     finally:
         batch.unpersist()
-    table.fs.touch(_marker(table, batch_id))
+    table.fs.touch(_marker(table, run_id))
 
 
 def upsert_stream(spark: SparkSession, folder: str, table_root: str, checkpoint: str,
@@ -69,7 +89,7 @@ def upsert_stream(spark: SparkSession, folder: str, table_root: str, checkpoint:
     contract = CONTRACTS["orders_raw"]
     hw = inc.high_water(table.read(), "orderdate")
     q = (stream_source(spark, folder, contract, max_files_per_trigger).writeStream
-         .foreachBatch(lambda df, bid: merge_batch(table, df, bid, hw=hw))
+         .foreachBatch(lambda df, bid: merge_batch(table, df, stream_run_id(spark, checkpoint, bid), hw=hw))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -38,11 +38,10 @@ def test_upsert_moves_and_dedups(spark):
                            (None, D(2023, 1, 1), Decimal("9"), "t")])
     changes = frame(spark, [("1", D(2024, 1, 2), Decimal("5"), "c"), ("1", D(2024, 1, 1), Decimal("4"), "c"),
                             ("3", D(2024, 1, 1), Decimal("3"), "c"), (None, D(2024, 1, 1), Decimal("0"), "c")])
-    for check in (True, False):
-        out = {r["orderid"]: r for r in inc.upsert(target, changes, "orderid", "orderdate", check).collect()}
-        assert set(out) == {"1", "2", "3", None}
-        assert out["1"]["orderdate"] == D(2024, 1, 2) and out["1"]["total"] == Decimal("5")
-        assert out[None]["total"] == Decimal("9")  # NULL keys never merge
+    out = {r["orderid"]: r for r in inc.upsert(target, changes, "orderid", "orderdate").collect()}
+    assert set(out) == {"1", "2", "3", None}
+    assert out["1"]["orderdate"] == D(2024, 1, 2) and out["1"]["total"] == Decimal("5")
+    assert out[None]["total"] == Decimal("9")  # NULL keys never merge
 
 
 def test_incremental_equals_full_refresh(spark):

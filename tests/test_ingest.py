@@ -75,11 +75,25 @@ def test_quarantine_and_conservation(spark):
     assert {r[0] for r in years} == {2023, None}
 
 
-def test_quoted_newline_needs_multiline(spark):
+def test_quoted_newline(spark):
     root = scratch_dir(spark, "t-multiline")
     land = f"{root}/landing"
     write(f"{land}/marketing.csv", "campaignid,targetaudience,storeid,campaignstartdate,campaignenddate\n"
                                    "c1,\"Silver,\nGold\",S1,01/01/2023,01/02/2023\n")
-    ci.ingest(spark, land, f"{root}/lake", multi_line=True)
+    ci.ingest(spark, land, f"{root}/lake")
     rows = ci.read_raw(spark, f"{root}/lake", "marketing_raw").collect()
     assert len(rows) == 1 and rows[0]["targetaudience"] == "Silver,\nGold"
+
+
+def test_bad_headers_reject_only_their_file(spark):
+    root = scratch_dir(spark, "t-headers")
+    land = f"{root}/landing"
+    write(f"{land}/preferences/a b.csv", "preference,memberid\nx,1\n")
+    write(f"{land}/preferences/twice.csv", "memberid,memberid\n1,x\n")
+    write(f"{land}/preferences/lineage.csv", "memberid,preference,insert_date\n1,x,2020\n")
+    ci.ingest(spark, land, f"{root}/lake", run_id="2024")
+    report = {r["file_name"]: r["reason"] for r in ci.read_manifest(spark, f"{root}/lake").collect()}
+    assert report["a b.csv"] == "accepted" and report["twice.csv"] == "columns repeated: ['memberid']"
+    assert "insert_date" in report["lineage.csv"]
+    row = ci.read_raw(spark, f"{root}/lake", "preferences_raw").collect()
+    assert [(r["memberid"], r["preference"]) for r in row] == [("1", "x")]

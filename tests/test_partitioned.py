@@ -1,6 +1,7 @@
 """Partition-level merge rewrites only affected partitions and equals a full upsert."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -31,6 +32,43 @@ def test_merge_moves_rows_and_empties_partitions(spark):
     assert affected == [2022, 2024]
     assert spark.read.parquet(f"{root}/order_year=2023").inputFiles() == before_2023  # untouched
     got = sorted(map(tuple, t.read().drop("order_year").collect()), key=str)
-    expect = sorted(map(tuple, inc.upsert(base, changes, "orderid", "orderdate", False).collect()), key=str)
+    expect = sorted(map(tuple, inc.upsert(base, changes, "orderid", "orderdate").collect()), key=str)
     assert got == expect
     assert not t.fs.exists(f"{root}/order_year=2022")  # emptied by the move
+    assert [r["orderid"] for r in t.null_keys().collect()] == [None]  # set aside, not dropped
+
+
+def table_with_pending_swap(spark, root):
+    """A table whose merge died right after it had declared its intent."""
+    t = PartitionedTable(spark, root, "order_year", derive)
+    t.overwrite(spark.createDataFrame([("1", D(2022, 5, 1), Decimal("1")), ("2", D(2023, 5, 1), Decimal("2"))], SCHEMA))
+    t.recover = lambda: None
+    t.merge(spark.createDataFrame([("1", D(2024, 6, 1), Decimal("10")), ("3", D(2023, 6, 1), Decimal("3"))], SCHEMA),
+            "orderid", "orderdate")
+    del t.recover
+    return t
+
+
+def rows(t):
+    return sorted((r["orderid"], r["order_year"]) for r in t.read().collect())
+
+
+def test_swap_is_finished_by_the_next_use(spark):
+    done = [("1", 2024), ("2", 2023), ("3", 2023)]
+    t = table_with_pending_swap(spark, scratch_dir(spark, "t-swap"))
+    assert rows(t) == done
+    # died after the first partition was moved, and before the emptied one was deleted
+    t = table_with_pending_swap(spark, scratch_dir(spark, "t-swap"))
+    stage = json.loads(t.fs.read_text(f"{t.root}/_swap_intent.json"))["stage"]
+    t.fs.delete(f"{t.root}/order_year=2023")
+    t.fs.rename(f"{stage}/order_year=2023", f"{t.root}/order_year=2023")
+    assert rows(t) == done and not t.fs.exists(f"{t.root}/order_year=2022")
+    assert not t.fs.exists(stage)
+
+
+def test_no_success_marker_is_needed(spark):
+    t = PartitionedTable(spark, scratch_dir(spark, "t-nomark"), "order_year", derive)
+    t.overwrite(spark.createDataFrame([("1", D(2022, 5, 1), Decimal("1"))], SCHEMA))
+    t.fs.delete(f"{t.root}/_SUCCESS")
+    t.merge(spark.createDataFrame([("2", D(2023, 5, 1), Decimal("2"))], SCHEMA), "orderid", "orderdate")
+    assert rows(t) == [("1", 2022), ("2", 2023)]

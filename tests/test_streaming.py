@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from tessera.session import scratch_dir
 from tessera.sources import csv_ingest as ci
 from tessera.sources import exports
-from tessera.streaming.file_ingest import ingest_stream
-from tessera.streaming.upsert import merge_batch, upsert_stream
+from tessera.streaming.file_ingest import ingest_stream, stream_run_id
+from tessera.streaming.upsert import intake, merge_batch, upsert_stream
+from tests.test_ingest import write
 from tests.conftest import SMALL
 
 
@@ -31,7 +32,8 @@ def test_stream_upsert_maps_reordered_headers_and_replays(spark):
                              F.col("o_orderdate").cast("date").alias("orderdate"))
     assert sample.join(got, ["orderid", "orderdate"], "left_anti").count() == 0
     files = sorted(table.read().inputFiles())
-    merge_batch(table, spark.read.csv(f"{land}/day1/orders", header=True), 0)  # replayed batch id
+    run_id = stream_run_id(spark, f"{root}/ckpt", 0)
+    merge_batch(table, spark.read.csv(f"{land}/day1/orders", header=True), run_id)  # replayed batch
     assert sorted(table.read().inputFiles()) == files and table.read().count() == got.count()
 
 
@@ -48,3 +50,49 @@ def test_split_delivery_uses_one_high_water_mark(spark):
         t = upsert_stream(spark, f"{land}/*/orders", f"{root}/orders", f"{root}/ckpt", per_trigger)
         results.append(sorted(map(tuple, t.read().drop("insert_date", "source_name").collect()), key=str))
     assert results[0] == results[1]
+
+
+HEAD = "orderid,memberid,storeid,campaignid,orderdate,subtotal,total\n"
+
+
+def test_new_checkpoint_and_batch_load_keep_earlier_rows(spark):
+    root = scratch_dir(spark, "t-stream-second")
+    land, lake = f"{root}/landing/orders", f"{root}/lake"
+    write(f"{land}/a.csv", HEAD + "1,m,S1,c,01/01/2023,1.00,1.00\n2,m,S1,c,02/01/2023,1.00,1.00\n")
+    ingest_stream(spark, land, lake, "orders_raw", f"{root}/ckpt1")
+    write(f"{land}/b.csv", HEAD + "3,m,S1,c,03/01/2023,1.00,1.00\n")
+    ingest_stream(spark, land, lake, "orders_raw", f"{root}/ckpt2")  # sees both files again
+    ids = sorted(r["orderid"] for r in ci.read_raw(spark, lake, "orders_raw").collect())
+    assert ids == ["1", "1", "2", "2", "3"]
+    ci.ingest(spark, f"{root}/landing", lake, run_id="batch-1")  # one layout for batch and stream
+    assert ci.read_raw(spark, lake, "orders_raw").count() == 8
+
+
+def test_stream_reports_files_and_keeps_every_row(spark):
+    root = scratch_dir(spark, "t-stream-report")
+    land, lake = f"{root}/landing/orders", f"{root}/lake"
+    write(f"{land}/my file.csv", HEAD + "1,m,S1,c,01/01/2023,1.00,1.00\n2,m,S1,c,bad,1.00,1.00\n"
+                                        "3,m,\"S\n1\",c,01/01/2023,1.00,1.00\n,m,S1,c,01/01/2023,1.00,1.00\n")
+    write(f"{land}/twice.csv", "orderid,orderid,storeid,campaignid,orderdate,subtotal,total\n1,1,S,c,01/01/2023,1,1\n")
+    write(f"{land}/lineage.csv", HEAD.strip() + ",source_name\n1,m,S,c,01/01/2023,1,1,x\n")
+    ingest_stream(spark, land, lake, "orders_raw", f"{root}/ckpt")
+    report = {r["file_name"]: r["accepted"] for r in ci.read_manifest(spark, lake).collect()}
+    assert report == {"my file.csv": True, "twice.csv": False, "lineage.csv": False}
+    good = {r["orderid"]: r["storeid"] for r in ci.read_raw(spark, lake, "orders_raw").collect()}
+    assert good == {"1": "S1", "3": "S\n1"}
+    assert ci.read_quarantine(spark, lake, "orders_raw").count() == 2
+
+
+def test_upsert_stream_keeps_rejected_late_and_later_deliveries(spark):
+    root = scratch_dir(spark, "t-upsert-keep")
+    land = f"{root}/landing/orders"
+    write(f"{land}/a.csv", HEAD + "1,m,S1,c,01/01/2023,1.00,1.00\n2,m,S1,c,bad,1.00,1.00\n")
+    t = upsert_stream(spark, land, f"{root}/orders", f"{root}/ckpt")
+    write(f"{root}/landing2/orders/b.csv", HEAD + "3,m,S1,c,02/01/2023,1.00,1.00\n4,m,S1,c,31/12/2022,1.00,1.00\n"
+                                                  "5,m,S1,c,,1.00,1.00\n")
+    t = upsert_stream(spark, f"{root}/landing2/orders", f"{root}/orders", f"{root}/ckpt2")
+    assert sorted(r["orderid"] for r in t.read().collect()) == ["1", "3"]
+    aside = {r["orderid"]: r["reject_reason"] for r in ci.read_quarantine(spark, intake(t), "orders_raw").collect()}
+    assert aside == {"2": "orderdate: not a DD/MM/YYYY value", "4": "late", "5": "undated"}
+    counts = spark.read.parquet(f"{intake(t)}/_metrics").agg(F.sum("late_rows"), F.sum("undated_rows")).first()
+    assert tuple(counts) == (1, 1)
