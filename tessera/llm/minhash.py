@@ -4,19 +4,21 @@
    128-bit sum that names the set, and minima of many universal hashes.
 2. Texts with equal sets form a class; its smallest doc_id stands for it, so
    copies, however many, cost one row from here on.
-3. Bands of the minima put classes into buckets.  A bucket's rows are ranked.
-   Each round compares the rows of a bucket with its next leaders (1, then 16
-   times more each round) unless both already share a component.  A round's
-   pairs grow with the bucket, not with its square, and the rounds go on until
-   no two rows of a bucket are left that were not compared and lie in
-   different components: no link between components is lost.
-4. Pairs whose signatures agree too little are dropped, the rest are decided
-   on their full shingle sets.
-5. Links join components by alternating large-star and small-star.
-
-With 28 bands of 4 minima a pair at the 0.85 threshold misses all buckets
-with probability 1e-9.  The signature test lets a pair at the threshold fail
-at 6 standard deviations only.
+3. Bands of the minima put classes into buckets.  Inside a bucket signatures
+   are compared, and what agrees well enough is joined by a spanning forest:
+   a bucket gives fewer edges than it has rows, never its pairs.  Components
+   of these edges (large-star, small-star) are the candidate groups.
+4. The full shingle sets of each candidate group are compared; again only a
+   spanning forest of the confirmed links leaves a task.  Each text travels
+   once for a group, not once for a pair.
+5. Components of the confirmed links, again by the stars.
+
+Buckets and groups beyond ``BLOCK`` rows are split by hash into blocks, and
+each pair of blocks is a task of its own, so no task holds a large group.
+
+With 48 bands of 6 minima a pair at 0.85 misses all buckets with probability
+1e-10 (at 0.8: 5e-7); the signature test lets a pair at the threshold fail
+beyond 5.5 standard deviations only.
 
 Null, empty and blank texts have no set: no links, a component of their own.
 Texts of fewer than ``size`` words have their whole sequence as one shingle.
@@ -33,10 +35,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import components
 from tessera.llm.scratch import Scratch
-from tessera.llm.words import U64, Words, find_words, mix, shingles, slices, text_column, windows
+from tessera.llm.words import U64, find_words, mix, shingles, slices, text_column, windows
 
-BANDS, ROWS = 28, 4
-LEADERS_GROW = 16
+BANDS, ROWS = 48, 6
+BLOCK = 256
+#: Texts are looked up by ids; their hashes fall into so many cells, a set of
+#: which is small enough to broadcast whatever the corpus holds.
+CELLS = 1 << 20
 _rng = np.random.default_rng(85)
 #: Multiply-add hash functions on 64-bit values; the top bits are used.
 A = _rng.integers(0, 2**63, BANDS * ROWS, dtype=U64) * U64(2) + U64(1)
@@ -70,7 +75,7 @@ def signatures(doc: np.ndarray, s: np.ndarray) -> np.ndarray:
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, n_shingles, set_lo and set_hi (null without a set), signature
-    (16 bits a function), bands."""
+    (8 bits a function), bands."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -89,7 +94,7 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
                     for k in range(ROWS):
                         band = mix(band + m[:, k::ROWS] + U64(1))
                     band = mix(band + np.arange(BANDS, dtype=U64)).astype(np.int64)
-                    for i, x, y in zip(at.tolist(), m.astype("<u2"), band):
+                    for i, x, y in zip(at.tolist(), m.astype(np.uint8), band):
                         sig[i], bands[i] = x.tobytes(), y
                 none = count == 0
                 yield pa.RecordBatch.from_arrays(
@@ -100,48 +105,117 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, set_lo long, set_hi long, signature binary, bands array<long>")
 
 
-def _near(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose signatures agree as texts at the threshold do."""
+def in_blocks(rows: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
+    """Rows of each ``key`` that has two or more, with ``task``, the name of a
+    group of at most two blocks, and ``side``, the row's block in it.
+
+    A key of ``n`` rows has ceil(n / block) blocks; a row goes to the pairs of
+    its block with every block of the key."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(key))
+    some = rows.withColumn("n", n).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    side = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.col("blocks")).cast("int")
+    return (some.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("task", F.xxhash64(key, F.least("side", "other"), F.greatest("side", "other"))).drop("n", "blocks", "other"))
+
+
+def groups(batches, column: str = "task"):
+    """Record batches of whole groups, from batches sorted by ``column``."""
+    held = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None else pa.concat_tables([held, table])
+        keys = held.column(column).to_numpy()
+        if not len(keys):
+            continue
+        last = int(np.searchsorted(keys, keys[-1]))
+        if last:
+            yield held.slice(0, last).combine_chunks().to_batches()[0]
+            held = held.slice(last)
+    if held is not None and held.num_rows:
+        yield held.combine_chunks().to_batches()[0]
+
+
+class Forest:
+    """Union-find over row numbers; ``add`` tells whether the edge was needed."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def add(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _edges(batch: pa.RecordBatch, near) -> pa.RecordBatch:
+    """The edges of a spanning forest of ``near`` pairs of each group.
+
+    ``near(lo, hi)`` yields (row, rows of the group that link with it)."""
+    ids, side = batch.column("doc_id").to_numpy(), batch.column("side").to_numpy()
+    keys = batch.column("task").to_numpy()
+    cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    forest, a, b = Forest(len(ids)), [], []
+    for lo, hi in zip(cut.tolist(), [*cut[1:].tolist(), len(ids)]):
+        if hi - lo < 2:
+            continue
+        across = side[lo] != side[lo:hi]
+        across = across.any()  # two blocks meet: each alone has a task of its own
+        for x, found in near(lo, hi):
+            for y in found.tolist():
+                if (not across or side[x] != side[y]) and ids[x] != ids[y] and forest.add(x, y):
+                    a.append(ids[x])
+                    b.append(ids[y])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def similar_signatures(rows: DataFrame, percent: int) -> DataFrame:
+    """Spanning edges (a, b) of each task's rows whose signatures agree."""
     p, n = percent / 100, BANDS * ROWS
-    least = int(n * p - 6 * (n * p * (1 - p)) ** 0.5)
-    a = sigs.select(F.col("doc_id").alias("a"), F.col("signature").alias("sa"))
-    b = sigs.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb"))
+    least = int(n * p - 5.5 * (n * p * (1 - p)) ** 0.5)
 
-    def agree(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, n) for c in ("sa", "sb"))
-            keep = pa.array((x == y).sum(1) >= least)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(keep)
+    def run(batches):
+        for batch in groups(batches):
+            raw = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint8).reshape(-1, n)
 
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
+            def near(lo, hi):
+                for x in range(lo, hi - 1):
+                    yield x, x + 1 + np.flatnonzero((raw[x + 1:hi] == raw[x]).sum(1) >= least)
+            yield _edges(batch, near)
 
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
-def _linked(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union of their full sets."""
-    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
 
-    def decide(batches):
-        for batch in batches:
-            for part in slices(batch, "tb"):
-                n = part.num_rows
-                uniq, back = np.unique(part.column("a").to_numpy(), return_index=True)[1], None
-                ids = part.column("a").to_numpy()
-                back = np.searchsorted(ids[uniq], ids)
-                da, sa = shingle_sets(part.column("ta").take(pa.array(uniq)), size)
-                db, sb = shingle_sets(part.column("tb"), size)
-                starts = np.searchsorted(da, np.arange(len(uniq) + 1))
-                ends = np.searchsorted(db, np.arange(n + 1))
-                keep = np.zeros(n, bool)
-                for i in range(n):
-                    x, y = sa[starts[back[i]]:starts[back[i] + 1]], sb[ends[i]:ends[i + 1]]
-                    at = np.searchsorted(x, y)
-                    at[at == len(x)] = 0
-                    both = int((x[at] == y).sum()) if len(x) else 0
-                    keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(keep))
-
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb").mapInArrow(decide, "a long, b long")
+def linked_texts(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Spanning edges (a, b) of each task's texts with 100 * intersection >=
+    percent * union of their full sets."""
+    def run(batches):
+        for batch in groups(batches):
+            doc, s = shingle_sets(batch.column("text"), size)
+            count = np.bincount(doc, minlength=batch.num_rows)
+            start = np.concatenate([[0], np.cumsum(count)])
+
+            def near(lo, hi):
+                mine = s[start[lo]:start[hi]]
+                owner = doc[start[lo]:start[hi]] - lo
+                order = np.argsort(mine, kind="stable")
+                owner, sorted_ = owner[order], mine[order]
+                for x in range(lo, hi - 1):
+                    own = s[start[x]:start[x + 1]]
+                    a, b = np.searchsorted(sorted_, own), np.searchsorted(sorted_, own, side="right")
+                    take = np.repeat(a - np.concatenate([[0], np.cumsum(b - a)[:-1]]), b - a) + np.arange(int((b - a).sum()))
+                    both = np.bincount(owner[take], minlength=hi - lo)
+                    union = count[x] + count[lo:hi] - both
+                    hit = lo + np.flatnonzero(100 * both >= percent * union)
+                    yield x, hit[hit > x]
+            yield _edges(batch, near)
+
+    return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int, percent: int, scratch: Scratch | None = None) -> DataFrame:
@@ -154,49 +228,21 @@ def near_duplicates(docs: DataFrame, size: int, percent: int, scratch: Scratch |
     classes = scratch.save(named.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
     reps = classes.select(F.col("rep").alias("doc_id"))
 
-    bucket = Window.partitionBy("bucket")
-    buckets = scratch.save(
-        named.join(reps, "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket")).distinct()
-        .withColumn("rank", F.row_number().over(bucket.orderBy("doc_id")))
-        .withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1").select("bucket", "rank", "doc_id"), "buckets")
-    wanted = buckets.select("doc_id").distinct()
-    sigs = scratch.save(named.join(wanted, "doc_id", "left_semi").select("doc_id", "signature").dropDuplicates(["doc_id"]), "signatures")
-
-    links, tested, low, high, texts = None, None, 0, 1, None
-    rows = buckets.withColumn("comp", F.col("doc_id"))
-    while True:
-        leaders = rows.where((F.col("rank") > low) & (F.col("rank") <= high)).select(
-            "bucket", F.col("rank").alias("lead"), F.col("doc_id").alias("a"), F.col("comp").alias("comp_a"))
-        pairs = (rows.join(leaders, "bucket").where((F.col("rank") > F.col("lead")) & (F.col("comp") != F.col("comp_a")))
-                 .select("a", F.col("doc_id").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        near = scratch.save(_near(pairs, sigs, percent), "near")
-        if not near.isEmpty():
-            ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-            texts = scratch.save(docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-            found = scratch.save(_linked(near, texts, size, percent), "links")
-            scratch.drop(texts)
-            links = found if links is None else links.union(found)
-        comp = components(links, scratch) if links is not None else None
-        low, high = high, high * LEADERS_GROW
-        if comp is not None:
-            rows = (buckets.join(comp, buckets["doc_id"] == comp["node"], "left")
-                    .select("bucket", "rank", "doc_id", F.coalesce("component", "doc_id").alias("comp")))
-        # A bucket is done once it lies in one component or had all its rows as leaders.
-        open_ = rows.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("rank").alias("n"))
-        rows = scratch.save(rows.join(open_.where((F.col("x") != F.col("y")) & (F.col("n") > low + 1)).select("bucket"),
-                                      "bucket", "left_semi"), "open")
-        buckets = rows.select("bucket", "rank", "doc_id")
-        if rows.isEmpty():
-            break
+    one = scratch.save(named.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "signature", "bands"), "reps")
+    tasks = in_blocks(one.select("doc_id", F.explode("bands").alias("bucket")), "bucket", 4 * BLOCK).select("doc_id", "task", "side")
+    pairs = scratch.save(similar_signatures(tasks.join(one.select("doc_id", "signature"), "doc_id"), percent).distinct(), "similar")
+    group = components(pairs, scratch)
+    group = scratch.save(group.union(group.select("component", "component").distinct()).toDF("doc_id", "comp"), "groups")
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
+    cells = group.select(cell.alias("cell")).distinct()
+    texts = (docs.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left_semi")  # at most CELLS rows
+             .select("doc_id", "text").dropDuplicates(["doc_id"]))
+    tasks = in_blocks(group, "comp").select("doc_id", "task", "side")
+    links = scratch.save(linked_texts(tasks.join(texts, "doc_id"), size, percent).distinct(), "links")
+    comp = components(links, scratch)
 
     member = all_rows.join(classes, key, "left")
-    if comp is not None:
-        member = member.join(comp, member["rep"] == comp["node"], "left")
-        member = member.withColumn("rep", F.coalesce("component", "rep"))
+    member = member.join(comp, member["rep"] == comp["node"], "left").withColumn("rep", F.coalesce("component", "rep"))
     return member.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNull(), F.lit(None))
                          .otherwise(F.coalesce("rep", "doc_id")).alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
