@@ -9,13 +9,17 @@ a factor of at least ``width`` words that also starts earlier in it.
    ``GRAM``-word run of least hash (a minimizer).  Equal windows have equal
    anchors at equal places, so a window can repeat only if its anchor does.
    Anchors found in one place only are dropped.
-3. Around anchors that repeat, each window looks up its first occurrence in
-   the index, which is sharded by window hash (128 bits).
+3. The index is sharded by anchor.  An occurrence of a repeated anchor ships
+   the hashes of the windows it stands for as one short record; a shard reads
+   its anchors in corpus order and gives each window the first place that had
+   it.  It remembers the distinct windows of one anchor at a time, so a
+   passage that very many documents share streams through.
 4. Each document is factored greedily, left to right: a factor runs on as long
    as the next window's first occurrence is the next word of the same
    reference text; windows across a factor's boundary were looked up like all
    others, so passages that jump between references are covered whole.
 
+Windows are told apart by 96 bits: 64 of their anchor, 32 of their words.
 Null, empty and blank texts have no words; texts under ``width`` words lose
 none.  Equal doc_ids are taken in the order of their texts; null doc_ids come
 last.  Empty tables give no rows.
@@ -34,7 +38,7 @@ from tessera.llm.scratch import Scratch
 from tessera.llm.words import U64, Words, find_words, mix, slices, text_column, windows
 
 GRAM = 6
-OTHER = U64(0xD1342543DE82EF95)  # base of the second window hash
+CELLS = 1 << 20  # ids hash into so few cells that a set of them can be broadcast
 
 
 def kept_text(w: Words, i: int, drop: np.ndarray | None = None) -> bytes:
@@ -80,9 +84,13 @@ def whole_windows(w: Words, width: int) -> np.ndarray:
     return w.doc[:n] == w.doc[width - 1:] if n > 0 else np.zeros(0, bool)
 
 
+ROW = "id long, no int"
+
+
 def survey(docs: DataFrame, width: int) -> DataFrame:
-    """Per text: its words, the hash of their sequence, that of the kept text
-    if nothing is removed, its distinct anchors, and those it holds twice."""
+    """Per text: its words, the hash of their sequence (that of the kept text
+    if nothing is removed), and its anchors; one that it holds more than once
+    is listed twice."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -93,68 +101,119 @@ def survey(docs: DataFrame, width: int) -> DataFrame:
                 doc, g = w.doc[place], gram[place]
                 order = np.lexsort((g, doc))
                 doc, g = doc[order], g[order]
-                new = np.ones(len(g), bool)
-                new[1:] = (g[1:] != g[:-1]) | (doc[1:] != doc[:-1])
-                at = np.flatnonzero(new)
-                twice = np.diff(np.append(at, len(g))) > 1
-                doc, g = doc[at], g[at].astype(np.int64)
+                keep = np.ones(len(g), bool)  # at most two of each
+                keep[2:] = (g[2:] != g[:-2]) | (doc[2:] != doc[:-2])
+                doc, g = doc[keep], g[keep].astype(np.int64)
                 ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
-                    [pa.array(g), pa.array(twice)], ["gram", "twice"]))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(g))
                 sha = [hashlib.sha256(kept_text(w, i)).digest() for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(w.counts, pa.int64()), pa.array(sha, pa.binary()), lists],
-                    ["row", "n_words", "sha", "anchors"])
+                    [part.column("id"), part.column("no"), pa.array(w.counts, pa.int64()), pa.array(sha, pa.binary()), lists],
+                    ["id", "no", "n_words", "sha", "anchors"])
 
-    return docs.mapInArrow(run, "row struct<id:long,no:long>, n_words long, sha binary, "
-                                "anchors array<struct<gram:long,twice:boolean>>")
+    return docs.mapInArrow(run, f"{ROW}, n_words long, sha binary, anchors array<long>")
 
 
 def candidate_windows(docs: DataFrame, width: int) -> DataFrame:
-    """Windows whose anchor is among the text's ``grams``: two hashes, row, start."""
+    """One row per occurrence of an anchor that is among the text's ``grams``:
+    gram, row, start of its first window, the hashes of its windows."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 w = find_words(part.column("text"))
                 h = w.hashes()
                 best, gram = anchors(w, h, width)
-                if not len(best):
-                    continue
                 grams = part.column("grams")
-                flat = grams.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = grams.flatten().to_numpy(zero_copy_only=False).astype(np.int64).astype(U64)
+                if not len(best) or not len(flat):
+                    continue
                 owner = np.repeat(np.arange(part.num_rows), grams.value_lengths().to_numpy(zero_copy_only=False))
-                known = np.unique(mix(flat.astype(U64) + mix(owner.astype(U64) + U64(1))))
+                known = np.unique(mix(flat + mix(owner.astype(U64) + U64(1))))
                 mine = mix(gram[best] + mix(w.doc[:len(best)].astype(U64) + U64(1)))
                 at = np.searchsorted(known, mine)
                 at[at == len(known)] = 0
-                at = np.flatnonzero((known[at] == mine) & whole_windows(w, width)) if len(known) else at[:0]
+                at = np.flatnonzero((known[at] == mine) & whole_windows(w, width))
                 if not len(at):
                     continue
-                lo, hi = mix(windows(h, width)[at]), mix(windows(mix(h ^ OTHER), width, OTHER)[at])
-                doc = w.doc[at]
+                small = (mix(windows(h, width)[at]) >> U64(32)).astype("<u4")
+                place = best[at]
+                new = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)))
+                raw, ends = small.tobytes(), np.append(new[1:], len(at))
+                first = at[new]
+                doc = w.doc[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lo.astype(np.int64)), pa.array(hi.astype(np.int64)), part.column("row").take(pa.array(doc)),
-                     pa.array((at - w.first[doc]).astype(np.int64))], ["lo", "hi", "row", "start"])
+                    [pa.array(gram[place[new]].astype(np.int64)), part.column("id").take(pa.array(doc)),
+                     part.column("no").take(pa.array(doc)), pa.array((first - w.first[doc]).astype(np.int64)),
+                     pa.array([raw[4 * a:4 * b] for a, b in zip(new.tolist(), ends.tolist())], pa.binary())],
+                    ["gram", "id", "no", "start", "windows"])
+
+    return docs.mapInArrow(run, f"gram long, {ROW}, start long, windows binary")
+
 
-    return docs.mapInArrow(run, "lo long, hi long, row struct<id:long,no:long>, start long")
+def first_places(found: DataFrame) -> DataFrame:
+    """Runs of windows that have an earlier place: row, start, n windows, and
+    the reference's row and start."""
+    def run(batches):
+        none = np.zeros(0, np.int64)
+        held, keys, refs = None, np.zeros(0, U64), [none, none, none]  # of the anchor at the last batch's end
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            gram, ids, no, start = (batch.column(c).to_numpy().astype(np.int64) for c in ("gram", "id", "no", "start"))
+            raw = batch.column("windows").to_pylist()
+            n = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+            row = np.repeat(np.arange(len(raw)), n)
+            at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            key = mix(mix(gram.astype(U64))[row] + np.frombuffer(b"".join(raw), "<u4").astype(U64))
+            uniq, first, back = np.unique(key, return_index=True, return_inverse=True)
+            ref = [ids[row][first], no[row][first], at[first]]
+            if held == gram[0] and len(keys):
+                spot = np.searchsorted(keys, uniq)
+                spot[spot == len(keys)] = 0
+                old = keys[spot] == uniq
+                for mine, kept in zip(ref, refs):
+                    mine[old] = kept[spot[old]]
+            last = gram[row][first] == gram[-1]
+            if held == gram[-1]:
+                fresh = last & ~np.isin(uniq, keys)
+                keys = np.concatenate([keys, uniq[fresh]])
+                refs = [np.concatenate([k, m[fresh]]) for k, m in zip(refs, ref)]
+                order = np.argsort(keys)
+                keys, refs = keys[order], [r[order] for r in refs]
+            else:
+                held, keys, refs = gram[-1], uniq[last], [m[last] for m in ref]
+            rid, rno, rat = (m[back] for m in ref)
+            again = (rid != ids[row]) | (rno != no[row]) | (rat != at)
+            r, t, a, b, c = row[again], at[again], rid[again], rno[again], rat[again]
+            if not len(r):
+                continue
+            new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (t[1:] != t[:-1] + 1) | (a[1:] != a[:-1])
+                                           | (b[1:] != b[:-1]) | (c[1:] != c[:-1] + 1)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[r[new]]), pa.array(no[r[new]].astype(np.int32)), pa.array(t[new]),
+                 pa.array(np.diff(np.append(new, len(r)))), pa.array(a[new]), pa.array(b[new].astype(np.int32)), pa.array(c[new])],
+                ["id", "no", "start", "n", "ref_id", "ref_no", "ref_start"])
+
+    return (found.repartition("gram").sortWithinPartitions("gram", "id", "no", "start")
+            .mapInArrow(run, f"{ROW}, start long, n long, ref_id long, ref_no int, ref_start long"))
 
 
-def factor(starts: list[int], refs: list[tuple], width: int) -> list[tuple]:
+def factor(runs: list[tuple], width: int) -> list[tuple]:
     """Greedy factors (start, length, reference, its start) of one document
-    from the first occurrences of its windows, in order of start."""
+    from the runs (start, n windows, reference, its start) of its windows."""
     out: list[list] = []
-    for s, (ref, at) in zip(starts, refs):
+    for start, n, ref, at in sorted(runs):
         if out:
             last = out[-1]
-            if s == last[0] + last[1] - width + 1 and ref == last[2] and at == last[3] + (s - last[0]):
-                last[1] += 1
+            if start == last[0] + last[1] - width + 1 and ref == last[2] and at - start == last[3] - last[0]:
+                last[1] += n
                 continue
-        out.append([s, width, ref, at])
+        out.append([start, n + width - 1, ref, at])
     return [tuple(x) for x in out]
 
 
 def removals(docs: DataFrame, width: int) -> DataFrame:
-    """Removes the factors ``found`` from the texts they cover."""
+    """Removes the factors made of ``found`` from the texts."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -162,60 +221,61 @@ def removals(docs: DataFrame, width: int) -> DataFrame:
                 gone, sha, text = [], [], []
                 for i, found in enumerate(part.column("found").to_pylist()):
                     drop = np.zeros(int(w.counts[i]), bool)
-                    found.sort(key=lambda x: x["start"])
-                    refs = [((x["id"], x["no"]), x["at"]) for x in found]
-                    for s, n, _, _ in factor([x["start"] for x in found], refs, width):
+                    for s, n, _, _ in factor([(x["start"], x["n"], (x["ref_id"], x["ref_no"]), x["ref_start"]) for x in found], width):
                         drop[s:s + n] = True
-                    kept = kept_text(w, i, drop)
                     gone.append(int(drop.sum()))
-                    sha.append(hashlib.sha256(kept).digest())
+                    sha.append(hashlib.sha256(kept_text(w, i, drop)).digest())
                     text.append(remaining(w, i, drop).decode("utf-8", "replace"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(gone, pa.int64()), pa.array(sha, pa.binary()), pa.array(text)],
-                    ["row", "n_removed", "sha", "kept_text"])
+                    [part.column("id"), part.column("no"), pa.array(gone, pa.int64()), pa.array(sha, pa.binary()), pa.array(text)],
+                    ["id", "no", "n_removed", "sha", "kept_text"])
 
-    return docs.mapInArrow(run, "row struct<id:long,no:long>, n_removed long, sha binary, kept_text string")
+    return docs.mapInArrow(run, f"{ROW}, n_removed long, sha binary, kept_text string")
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``row``: the doc_id, and a number that orders rows of equal doc_id.
+    """Adds the row's name: ``id``, its doc_id (the largest for a null one),
+    and ``no``, which orders rows of equal doc_id by a hash of their text."""
+    return (docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)))
+            .withColumn("no", F.hash(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+
 
-    Null doc_ids take the largest id; their texts order them by hash."""
-    return docs.withColumn("row", F.struct(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("id"), F.xxhash64("text", "doc_id").alias("no")))
+def _with_texts(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows`` with their texts.  Rows of other documents are left out before
+    the texts are shuffled, by the cells of the ids (at most CELLS rows)."""
+    cell = F.pmod(F.xxhash64("id"), F.lit(CELLS))
+    cells = rows.select(cell.alias("cell")).distinct()
+    some = docs.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left_semi").select("id", "no", "text")
+    return some.join(rows, ["id", "no"]).dropDuplicates(["id", "no"])
 
 
 def parse(docs: DataFrame, width: int = 20, scratch: Scratch | None = None) -> tuple[DataFrame, DataFrame]:
-    """(one row per distinct row with n_words, n_removed and the kept text's
-    hash; the kept words of the rows that lost some but not all)."""
+    """(one row per row: id, no, n_words, n_removed, hash of the kept words;
+    the texts of the rows that lost some words and are no copies)."""
     scratch = scratch or Scratch(docs.sparkSession, "substring")
-    docs = numbered(docs.select("doc_id", text_column(docs)))
-    seen = scratch.save(survey(docs.select("row", "text"), width), "survey")
+    docs = numbered(docs.select("doc_id", text_column(docs))).select("id", "no", "text")
+    seen = scratch.save(survey(docs, width), "survey")
     # Texts of equal words share the hash of their words: the class.
     classes = scratch.save(seen.where(F.col("n_words") >= width).groupBy("sha").agg(
-        F.min("row").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    reps = classes.select(F.col("rep").alias("row"))
-    places = (seen.join(reps, "row", "left_semi").dropDuplicates(["row"])
-              .select("row", F.explode("anchors").alias("x")).select("row", "x.gram", "x.twice"))
-    w = Window.partitionBy("gram")
-    again = (places.withColumn("n", F.count(F.lit(1)).over(w)).where("n > 1 or twice")
-             .groupBy("row").agg(F.collect_list("gram").alias("grams")))
-    texts = scratch.save(docs.select("row", "text").join(again, "row").dropDuplicates(["row"]), "texts")
-    found = scratch.save(candidate_windows(texts, width), "windows")
-    first = Window.partitionBy("lo", "hi")
-    hits = (found.withColumn("first", F.min(F.struct("row", "start")).over(first))
-            .where(F.struct("row", "start") != F.col("first"))
-            .groupBy("row").agg(F.collect_list(F.struct("start", F.col("first.row.id").alias("id"), F.col("first.row.no").alias("no"),
-                                                        F.col("first.start").alias("at"))).alias("found")))
-    cut = scratch.save(removals(texts.select("row", "text").join(hits, "row"), width), "cut")
+        F.min(F.struct("id", "no")).alias("rep")), "classes")
+    reps = classes.select("rep.id", "rep.no")
+    places = (seen.select("id", "no", "anchors").join(reps, ["id", "no"], "left_semi").dropDuplicates(["id", "no"])
+              .select("id", "no", F.explode("anchors").alias("gram")))
+    again = scratch.save(places.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("n > 1")
+                         .groupBy("id", "no").agg(F.collect_set("gram").alias("grams")), "repeated")
+    runs = first_places(candidate_windows(_with_texts(again, docs), width))
+    hits = scratch.save(runs.groupBy("id", "no").agg(F.collect_list(
+        F.struct("start", "n", "ref_id", "ref_no", "ref_start")).alias("found")), "hits")
+    cut = scratch.save(removals(_with_texts(hits, docs), width), "cut")
     empty = F.lit(hashlib.sha256(b"").digest())
+    copy = F.coalesce((F.col("id") != F.col("rep.id")) | (F.col("no") != F.col("rep.no")), F.lit(False))
     out = (seen.drop("anchors").join(classes, "sha", "left")
-           .join(cut.select("row", "n_removed", F.col("sha").alias("cut_sha")), "row", "left")
-           .withColumn("copy", F.coalesce(F.col("row") != F.col("rep"), F.lit(False)))
-           .select("row", "n_words", "copy",
+           .join(cut.select("id", "no", "n_removed", F.col("sha").alias("cut_sha")), ["id", "no"], "left")
+           .withColumn("copy", copy)
+           .select("id", "no", "n_words", "copy",
                    F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
                    F.when(F.col("copy"), empty).otherwise(F.coalesce("cut_sha", "sha")).alias("sha")))
-    return out, cut.select("row", "kept_text")
+    return out, cut.select("id", "no", "kept_text")
 
 
 def without_repeats(docs: DataFrame, width: int = 20, scratch: Scratch | None = None) -> DataFrame:
@@ -224,10 +284,9 @@ def without_repeats(docs: DataFrame, width: int = 20, scratch: Scratch | None =
     Rows stay, with empty texts if nothing is left; ``n_chars``, if there is
     such a column, follows the text."""
     out, cut = parse(docs, width, scratch)
-    found = numbered(docs.withColumn("text_", F.col("text")).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    found = found.withColumn("text", F.col("text_"))
-    gone = out.where("copy").select("row", F.lit("").alias("new_text")).union(cut.select("row", F.col("kept_text")))
-    done = found.join(gone.dropDuplicates(["row"]), "row", "left").withColumn("text", F.coalesce("new_text", "text"))
+    gone = out.where("copy").select("id", "no", F.lit("").alias("new_text")).union(cut)
+    done = (numbered(docs).join(gone.dropDuplicates(["id", "no"]), ["id", "no"], "left")
+            .withColumn("text", F.coalesce("new_text", "text")))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.when(F.col("new_text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return done.select(*docs.columns)
@@ -235,4 +294,4 @@ def without_repeats(docs: DataFrame, width: int = 20, scratch: Scratch | None =
 
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = parse(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select(F.col("row.id").alias("doc_id"), "n_words", "n_removed", F.lower(F.hex("sha")).alias("kept_sha256"))
+    return out.select(F.when(F.col("id") != 2**63 - 1, F.col("id")).alias("doc_id"), "n_words", "n_removed", F.lower(F.hex("sha")).alias("kept_sha256"))
