@@ -171,34 +171,51 @@ def _summary_row(c: Check, failures: F.Column) -> F.Column:
                     F.lit(c.severity).alias("severity"), failures.alias("failures"))
 
 
+def _counts(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One row: failures ``_f0``, ``_f1`` ... of row-level tests and at most
+    one unique test of a model."""
+    rowwise = [F.count(F.when(_violates(c), 1)).alias(f"_f{i}") for i, c in enumerate(checks) if c.test != "unique"]
+    key = next((c for c in checks if c.test == "unique"), None)
+    if key is None:
+        return df.agg(*rowwise)
+    per_key = df.groupBy(F.col(key.column).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"), *rowwise)
+    repeated = F.count(F.when(F.col("_key").isNotNull() & (F.col("_rows") > 1), 1))
+    return per_key.agg(*[(repeated if c.test == "unique" else F.coalesce(F.sum(f"_f{i}"), F.lit(0))).alias(f"_f{i}")
+                         for i, c in enumerate(checks)])
+
+
 def run_checks(model: Callable[[str], DataFrame],
                checks: Iterable[Check] = DECLARED_CHECKS) -> DataFrame:
     """One row per test: layer, model, test_name, column_name, severity, failures.
 
-    Row-level tests (not_null, positive, after) of one model are counted in a
-    single aggregation pass over it; unique and relationships tests need
-    their own grouping or anti join.
+    The tests of one model take one pass over it.  Row-level tests (not_null,
+    positive, after) are counted in a single aggregation; where the model also
+    has a ``unique`` test, they are counted per key and then summed, so the
+    key's grouping is the only scan.  A relationships test needs its own
+    grouping of the child keys.
     """
     checks = list(checks)
     per_model: dict[str, list[Check]] = {}
+    alone = []
     for c in checks:
-        if c.test in ROW_LEVEL:
-            per_model.setdefault(c.model, []).append(c)
+        mine = per_model.setdefault(c.model, [])
+        if c.test in ROW_LEVEL or (c.test == "unique" and not any(x.test == "unique" for x in mine)):
+            mine.append(c)
+        else:
+            alone.append(c)
     parts = []
     for name, cs in per_model.items():
-        counts = model(name).agg(*[F.count(F.when(_violates(c), 1)).alias(f"_f{i}")
-                                   for i, c in enumerate(cs)])
-        rows = F.array(*[_summary_row(c, F.col(f"_f{i}")) for i, c in enumerate(cs)])
-        parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
-    for c in checks:
+        if cs:
+            counts = _counts(model(name), cs)
+            rows = F.array(*[_summary_row(c, F.col(f"_f{i}")) for i, c in enumerate(cs)])
+            parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
+    for c in alone:
         if c.test == "relationships":
             v = _orphan_key_counts(model(c.model), c.column, model(c.args["to"]), c.args["field"])
-            parts.append(v.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("_n"))
-                          .select(_summary_row(c, F.col("_n")).alias("r")).select("r.*"))
-        elif c.test not in ROW_LEVEL:
-            v = violations(c, model)
-            parts.append(v.agg(F.count(F.lit(1)).alias("_n"))
-                          .select(_summary_row(c, F.col("_n")).alias("r")).select("r.*"))
+            n = F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint")
+        else:
+            v, n = violations(c, model), F.count(F.lit(1))
+        parts.append(v.agg(n.alias("_n")).select(_summary_row(c, F.col("_n")).alias("r")).select("r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

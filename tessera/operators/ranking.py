@@ -1,11 +1,14 @@
 """Top-k / bottom-k per group with ties (``RANK``), and their labels.
 
-``RANK() OVER (PARTITION BY g ORDER BY v DESC) <= k OR RANK() ... ASC <= k``
-is evaluated as two single-bound rank filters.  Each single bound lets
-Catalyst insert a partial ``WindowGroupLimit`` below the shuffle, so a hot
-group (one month holding a third of the rows) reaches its window task as at
-most k rows (plus ties) per map task; the OR of two ranks would not get that
-rewrite.  The two sides are then merged per row with a small aggregation.
+``RANK() <= k`` keeps every tie, so ranking the rows themselves would send
+all items that tie at the cut (in a real month most items were sold once) to
+one window task.  Ranked here is the histogram of the group instead: one row
+per distinct value with its number of rows.  The k largest and the k smallest
+distinct values are enough, which Catalyst limits before the shuffle
+(``WindowGroupLimit``), so a window task gets at most k rows per group and
+map task.  A value's rank is one more than the rows before it; values within
+their bound are joined back to the rows, where skewed groups are split by the
+adaptive join like any other.
 
 NULL ordering follows the source system: NULL sorts as the largest value,
 i.e. first under DESC and last under ASC.
@@ -19,6 +22,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _cut(histogram: DataFrame, group_cols: Sequence[str], order, k: int, name: str) -> DataFrame:
+    """(group, value, rank) of the values whose rank is at most ``k``."""
+    by_value = Window.partitionBy(*group_cols).orderBy(order)
+    before = by_value.rowsBetween(Window.unboundedPreceding, -1)
+    return (histogram.withColumn("_place", F.row_number().over(by_value)).where(F.col("_place") <= k)
+            .withColumn(name, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) + 1).cast("int"))
+            .where(F.col(name) <= k).select(*group_cols, "_value", name))
+
+
 def rank_top_bottom(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     k_top: int, k_bottom: int,
                     top_name: str = "top_rank",
@@ -26,20 +38,19 @@ def rank_top_bottom(df: DataFrame, group_cols: Sequence[str], value_col: str,
     """Rows whose descending rank <= k_top or ascending rank <= k_bottom.
 
     Output keeps every input column plus ``top_name`` / ``bottom_name``; a rank
-    beyond its bound is NULL.  Input rows must be unique (one row per
-    group and item), as after a GROUP BY.
+    beyond its bound is NULL.
     """
-    cols = df.columns
-    w_top = Window.partitionBy(*group_cols).orderBy(F.col(value_col).desc_nulls_first())
-    w_bot = Window.partitionBy(*group_cols).orderBy(F.col(value_col).asc_nulls_last())
-    top = (df.withColumn(top_name, F.rank().over(w_top))
-             .where(F.col(top_name) <= k_top)
-             .withColumn(bottom_name, F.lit(None).cast("int")))
-    bottom = (df.withColumn(bottom_name, F.rank().over(w_bot))
-                .where(F.col(bottom_name) <= k_bottom)
-                .withColumn(top_name, F.lit(None).cast("int")))
-    both = top.unionByName(bottom)
-    # A row in both lists appears twice; fold it back to one row.  The keys
-    # are unique per input row, so this groups at most two rows per key.
-    return (both.groupBy(*cols)
-                .agg(F.min(top_name).alias(top_name), F.min(bottom_name).alias(bottom_name)))
+    value = F.col("_value")
+    histogram = (df.groupBy(*group_cols, F.col(value_col).alias("_value"))
+                   .agg(F.count(F.lit(1)).alias("_rows")))
+    top = _cut(histogram, group_cols, value.desc_nulls_first(), k_top, top_name)
+    bottom = _cut(histogram, group_cols, value.asc_nulls_last(), k_bottom, bottom_name)
+    # at most k_top + k_bottom values per group; a value in both lists is one row
+    both = (top.withColumn(bottom_name, F.lit(None).cast("int"))
+            .unionByName(bottom.withColumn(top_name, F.lit(None).cast("int")))
+            .groupBy(*group_cols, "_value").agg(F.min(top_name).alias(top_name), F.min(bottom_name).alias(bottom_name)))
+    cuts = both.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_value", top_name, bottom_name)
+    same = df[value_col].eqNullSafe(cuts["_value"])
+    for c in group_cols:
+        same = same & df[c].eqNullSafe(cuts[f"_g_{c}"])
+    return df.join(cuts, same).select(*df.columns, top_name, bottom_name)

@@ -11,28 +11,25 @@ from pyspark.sql import functions as F
 
 from tessera.contracts import CONTRACTS
 from tessera.operators.profile import profile
+from tessera.plans.bronze import rejects
 from tessera.plans.layers import Layers
 from tessera.session import scratch_dir
 from tessera.sources import csv_ingest as ci
 from tessera.sources import exports
+from tessera.sources.fs import HadoopFS
+from tessera.sources.partitioned import PartitionedTable
 from tessera.sources.testdata import raw_tables
 from tessera.streaming.file_ingest import ingest_stream
-from tessera.streaming.upsert import upsert_stream
+from tessera.streaming.upsert import intake, upsert_stream
 
 ORDER_NAMES = CONTRACTS["orders_raw"].names
 
-_LAKES: dict[tuple[int, str, str], str] = {}
-
-
 def _ingested_orders(spark: SparkSession, sf_dir: str) -> str:
-    """Deliver orders as CSV and ingest them once per session and data set."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        root = scratch_dir(spark, "ingest")
-        exports.export_orders(spark, sf_dir, f"{root}/landing")
-        ci.ingest(spark, f"{root}/landing", f"{root}/lake")
-        _LAKES[key] = f"{root}/lake"
-    return _LAKES[key]
+    """Deliver orders as CSV and ingest them."""
+    root = scratch_dir(spark, "ingest")
+    exports.export_orders(spark, sf_dir, f"{root}/landing")
+    ci.ingest(spark, f"{root}/landing", f"{root}/lake")
+    return f"{root}/lake"
 
 
 def q_ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +41,44 @@ def q_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select(*ORDER_NAMES, "reject_reason"))
 
 
+def q_ingest_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the manifest says of a delivery: reordered orders files, statuses
+    under the preferences stem, an empty members file, an unknown table."""
+    root = scratch_dir(spark, "manifest")
+    landing = f"{root}/landing"
+    exports.export_orders(spark, sf_dir, landing)
+    status = raw_tables(spark, sf_dir)["order_status_raw"].select(*CONTRACTS["order_status_raw"].names)
+    exports.write_csv(status, f"{landing}/preferences")
+    HadoopFS(spark).touch(f"{landing}/members.csv")
+    HadoopFS(spark).write_text(f"{landing}/stores.csv", "storeid\n")
+    ci.ingest(spark, landing, f"{root}/lake")
+    return (ci.read_manifest(spark, f"{root}/lake")
+            .select("table_name", "columns", "accepted", "reason").distinct())
+
+
+def q_bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that do not parse: statuses of clicks with dots for slashes,
+    ISO expiry dates of suspended members, an impossible campaign start."""
+    raw = raw_tables(spark, sf_dir)
+    status, members, marketing = (raw[t] for t in ("order_status_raw", "members_raw", "marketing_raw"))
+    bad = {
+        "order_status_raw": status.withColumn("statustimestamp", F.when(
+            F.col("status") == "click", F.replace(F.col("statustimestamp"), F.lit("/"), F.lit("."))).otherwise(F.col("statustimestamp"))),
+        "members_raw": members.withColumn("expirationdate", F.when(
+            F.col("membershiptype") == "SUSPENDED", F.concat_ws("-", *[F.split("expirationdate", "/")[i] for i in (2, 1, 0)]))
+            .otherwise(F.col("expirationdate"))),
+        "marketing_raw": marketing.withColumn("campaignstartdate", F.when(
+            F.col("targetaudience") == "Gold", F.lit("31/02/2023")).otherwise(F.col("campaignstartdate"))),
+    }
+    return rejects(bad)
+
+
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the upsert stream did not merge: rejected and late rows."""
+    table = _upserted_orders(spark, sf_dir)
+    return ci.read_quarantine(spark, intake(table), "orders_raw").select(*ORDER_NAMES, "reject_reason")
+
+
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream-ingest")
     folder = exports.export_order_status(spark, sf_dir, f"{root}/landing")
@@ -53,15 +88,18 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         *CONTRACTS["order_status_raw"].names)
 
 
-def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _upserted_orders(spark: SparkSession, sf_dir: str) -> PartitionedTable:
     root = scratch_dir(spark, "stream-upsert")
     landing = f"{root}/landing"
     # Two daily drops; the stream runs after each, like a scheduled job.
     exports.export_orders(spark, sf_dir, f"{landing}/day1", before="2000-01-01")
     table = upsert_stream(spark, f"{landing}/*/orders", f"{root}/orders", f"{root}/checkpoint")
     exports.export_orders(spark, sf_dir, f"{landing}/day2", revision=True)
-    table = upsert_stream(spark, f"{landing}/*/orders", f"{root}/orders", f"{root}/checkpoint")
-    return table.read().drop("insert_date", "source_name", "order_year")
+    return upsert_stream(spark, f"{landing}/*/orders", f"{root}/orders", f"{root}/checkpoint")
+
+
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted_orders(spark, sf_dir).read().drop("insert_date", "source_name", "order_year")
 
 
 def q_contract_profile(spark: SparkSession, sf_dir: str) -> DataFrame:

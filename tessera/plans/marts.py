@@ -28,17 +28,17 @@ def mart_popular_items(build_orders: DataFrame, build_order_items: DataFrame) ->
     """Top-2 and bottom-2 items by line count per month, ties kept (RANK)."""
     o = build_orders.select("orderid", "orderdate")
     i = build_order_items.select("orderid", "itemname")
-    counts = (o.join(i, "orderid")
-               .groupBy(month_label("orderdate").alias("month_year"), "itemname")
-               .agg(F.count(F.lit(1)).alias("order_count")))
-    ranked = rank_top_bottom(counts, ["month_year"], "order_count", 2, 2,
+    # The month is truncated once per order and labelled once per result row.
+    counts = (o.select("orderid", month_start("orderdate").alias("_month")).join(i, "orderid")
+               .groupBy("_month", "itemname").agg(F.count(F.lit(1)).alias("order_count")))
+    ranked = rank_top_bottom(counts, ["_month"], "order_count", 2, 2,
                              "most_popular_rank", "least_popular_rank")
     most, least = F.col("most_popular_rank"), F.col("least_popular_rank")
     label = (F.when(most == 1, POPULARITY_LABELS[0])
               .when(most == 2, POPULARITY_LABELS[1])
               .when(least == 1, POPULARITY_LABELS[2])
               .when(least == 2, POPULARITY_LABELS[3]))
-    return ranked.select("month_year", "itemname", "order_count",
+    return ranked.select(month_label("_month").alias("month_year"), "itemname", "order_count",
                          label.alias("popularity_label"))
 
 

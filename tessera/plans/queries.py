@@ -28,6 +28,9 @@ def layers(spark: SparkSession, sf_dir: str) -> Layers:
 def _model(name: str, columns: list[str] | None = None) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = layers(spark, sf_dir).model(name)
+        if "avg_delivery_time" in df.columns:  # the published interval, in microseconds
+            seconds = F.col("avg_delivery_time").cast("interval second").cast("decimal(38,6)")
+            df = df.withColumn("avg_delivery_micros", (seconds * 1_000_000).cast("bigint"))
         return df.select(*columns) if columns else df.drop("insert_date")
     run.__name__ = f"q_{name}"
     return run
@@ -55,7 +58,7 @@ MODEL_QUERIES: dict[str, tuple[str, list[str] | None]] = {
     "mart_popular_items": ("mart_popular_items", None),
     "mart_spending_members": ("mart_spending_members", None),
     "mart_order_processing_times": ("mart_order_processing_times",
-                                    ["storeid", "avg_delivery_seconds"]),
+                                    ["storeid", "avg_delivery_seconds", "avg_delivery_micros"]),
 }
 
 
@@ -209,14 +212,45 @@ _STREAM_UPSERT_SQL = osql.with_models(
     "SELECT * FROM stream_day1 t WHERE NOT EXISTS (SELECT 1 FROM stream_day2 c WHERE c.orderid = t.orderid) "
     "UNION ALL SELECT * FROM stream_day2")
 
+_REASON = ("CASE WHEN orderid IS NULL THEN 'orderid: required value missing' "
+           "ELSE 'orderdate: not a DD/MM/YYYY value' END")
+
 LANDING_QUERIES = {
     "ingest_csv": (lq.q_ingest_csv, osql.with_models(
         "SELECT orderid, memberid, storeid, campaignid, orderdate, subtotal, total "
         "FROM delivered_orders WHERE o_orderstatus <> 'P'")),
     "ingest_quarantine": (lq.q_ingest_quarantine, osql.with_models(
         "SELECT orderid, memberid, storeid, campaignid, strftime(orderdate, '%Y-%m-%d') AS orderdate, "
-        "subtotal, total, 'orderdate: not a DD/MM/YYYY value' AS reject_reason "
-        "FROM delivered_orders WHERE o_orderstatus = 'P'")),
+        "subtotal, total, " + _REASON + " AS reject_reason FROM delivered_orders WHERE o_orderstatus = 'P'")),
+    "ingest_manifest": (lq.q_ingest_manifest, """
+SELECT * FROM (VALUES
+  ('orders_raw', 'orderid,memberid,storeid,campaignid,orderdate,subtotal,total', TRUE, 'accepted'),
+  ('orders_raw', 'total,subtotal,orderdate,campaignid,storeid,memberid,orderid', TRUE, 'accepted'),
+  ('preferences_raw', 'orderid,status,statustimestamp', FALSE,
+   'columns mismatch: missing [''memberid'', ''preference''], unexpected [''orderid'', ''status'', ''statustimestamp'']'),
+  ('members_raw', '', FALSE, 'empty file'), ('stores_raw', 'storeid', FALSE, 'no contract for table stores_raw')
+) v(table_name, columns, accepted, reason)"""),
+    "bronze_rejects": (lq.q_bronze_rejects, osql.with_models("""
+SELECT 'order_status_raw' AS table_name, 'statustimestamp' AS column_name,
+       replace(statustimestamp, '/', '.') AS cell, source_name
+FROM order_status_raw WHERE status = 'click' AND statustimestamp IS NOT NULL
+UNION ALL
+SELECT 'members_raw', 'expirationdate',
+       strftime(strptime(expirationdate, '%d/%m/%Y'), '%Y-%m-%d'), source_name
+FROM members_raw WHERE membershiptype = 'SUSPENDED' AND expirationdate IS NOT NULL
+UNION ALL
+SELECT 'marketing_raw', 'campaignstartdate', '31/02/2023', source_name
+FROM marketing_raw WHERE targetaudience = 'Gold'""")),
+    "stream_quarantine": (lq.q_stream_quarantine, osql.with_models(
+        "SELECT orderid, memberid, storeid, campaignid, strftime(orderdate, '%Y-%m-%d') AS orderdate, subtotal, total, "
+        + _REASON + " AS reject_reason FROM delivered_orders "
+        "WHERE o_orderstatus = 'P' AND orderdate < DATE '2000-01-01' "
+        "UNION ALL SELECT orderid, memberid, storeid, campaignid, strftime(orderdate + 1, '%Y-%m-%d'), subtotal, "
+        "CAST(CAST(subtotal AS DECIMAL(12,2)) + 1 AS VARCHAR), " + _REASON +
+        " FROM delivered_orders WHERE o_orderstatus = 'P' "
+        "UNION ALL SELECT orderid, memberid, storeid, campaignid, strftime(orderdate, '%Y-%m-%d'), subtotal, "
+        "CAST(CAST(subtotal AS DECIMAL(12,2)) + 1 AS VARCHAR), 'late' FROM delivered_orders "
+        "WHERE o_orderstatus <> 'P' AND orderdate < (SELECT MAX(orderdate) FROM stream_day1)")),
     "stream_ingest": (lq.q_stream_ingest, osql.with_models(
         "SELECT orderid, status, statustimestamp FROM order_status_raw")),
     "stream_upsert": (lq.q_stream_upsert, _STREAM_UPSERT_SQL),

@@ -64,10 +64,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one run."""
+    """A fresh sub-folder of the shared checkpoint folder for one run.
+
+    It goes with the driver: results read from it are lazy until then."""
+    from tessera.sources.fs import HadoopFS
     root = ensure_checkpoint_dir(spark)
     sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
+    HadoopFS(spark).delete_on_exit(path)
+    return path
 
 
 def local_fs_path(path: str) -> str:

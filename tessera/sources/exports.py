@@ -5,7 +5,8 @@ files, header in each), with the source system's dialect: comma, ``"``
 quotes, doubled quotes as escape.  Data-driven irregularities, so ingestion
 has real work: finished orders (status ``F``) arrive with the columns in
 reverse order, and pending orders (status ``P``) carry ISO dates instead of
-the contract's DD/MM/YYYY (they must be quarantined).
+the contract's DD/MM/YYYY (they must be quarantined), the urgent ones among
+them without an order id.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ def orders_delivery(spark: SparkSession, sf_dir: str, revision: bool = False,
                  .otherwise(F.date_format(day, "dd/MM/yyyy"))
     price = o.o_totalprice + 1 if revision else o.o_totalprice
     return o.select(
-        o.o_orderkey.cast("string").alias("orderid"),
+        F.when(~((o.o_orderstatus == "P") & (o.o_orderpriority == "1-URGENT")),
+               o.o_orderkey.cast("string")).alias("orderid"),
         o.o_custkey.cast("string").alias("memberid"),
         F.concat(F.lit("S"), (o.o_orderkey % 20).cast("string")).alias("storeid"),
         F.when(o.o_orderpriority != "4-NOT SPECIFIED", o.o_orderpriority).alias("campaignid"),

@@ -45,6 +45,11 @@ class HadoopFS:
     def delete(self, path: str, recursive: bool = True) -> bool:
         return bool(self._fs(path).delete(self._path(path), recursive))
 
+    def delete_on_exit(self, path: str) -> None:
+        """Make a folder that goes when the driver's JVM ends."""
+        self.mkdirs(path)
+        self._fs(path).deleteOnExit(self._path(path))
+
     def rename(self, src: str, dst: str) -> None:
         """Move a file or folder; ``dst`` must not exist."""
         fs = self._fs(src)

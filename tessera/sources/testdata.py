@@ -55,21 +55,29 @@ def _money_text(c) -> F.Column:
     return c.cast("decimal(12,2)").cast("string")
 
 
+def _member(o: DataFrame) -> F.Column:
+    """The customer; pending orders (status ``P``) name members nobody knows."""
+    key = F.col("o_custkey").cast("string")
+    return F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("X"), key)).otherwise(key)
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders")
 
-    def delivery(frame, day_shift: int, extra, source: str) -> DataFrame:
-        return frame.select(
-            frame.o_orderkey.cast("string").alias("orderid"),
-            frame.o_custkey.cast("string").alias("memberid"),
-            F.concat(F.lit("S"), (frame.o_orderkey % 20).cast("string")).alias("storeid"),
-            F.when(frame.o_orderpriority != "4-NOT SPECIFIED", frame.o_orderpriority).alias("campaignid"),
-            F.date_add(frame.o_orderdate.cast("date"), day_shift).alias("orderdate"),
-            _money_text(frame.o_totalprice).alias("subtotal"),
-            _money_text(frame.o_totalprice + extra).alias("total"),
-            *_lineage(source))
-    resent = o.where(o.o_orderstatus == "O")
-    return delivery(o, 0, 0, "orders.csv").unionByName(delivery(resent, 1, 1, "orders_resend.csv"))
+    def sent(shift: int, source: str) -> F.Column:
+        return F.struct(F.lit(shift).alias("shift"), F.lit(source).alias("source"))
+
+    first, again = sent(0, "orders.csv"), sent(1, "orders_resend.csv")
+    twice = o.select("*", F.explode(F.when(o.o_orderstatus == "O", F.array(first, again))
+                                    .otherwise(F.array(first))).alias("d"))
+    return twice.select(
+        F.col("o_orderkey").cast("string").alias("orderid"), _member(o).alias("memberid"),
+        F.concat(F.lit("S"), (F.col("o_orderkey") % 20).cast("string")).alias("storeid"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_orderpriority")).alias("campaignid"),
+        F.date_add(F.col("o_orderdate").cast("date"), F.col("d.shift")).alias("orderdate"),
+        _money_text(F.col("o_totalprice")).alias("subtotal"),
+        _money_text(F.col("o_totalprice") + F.col("d.shift")).alias("total"),
+        F.col("d.source").alias("source_name"), _lineage("")[1])
 
 
 def raw_orders_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +88,7 @@ def raw_orders_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = F.when(o.o_orderstatus == "P", 1).otherwise(0)
     return o.select(
         o.o_orderkey.cast("string").alias("orderid"),
-        o.o_custkey.cast("string").alias("memberid"),
+        _member(o).alias("memberid"),
         F.concat(F.lit("S"), (o.o_orderkey % 20).cast("string")).alias("storeid"),
         F.when(o.o_orderpriority != "4-NOT SPECIFIED", o.o_orderpriority).alias("campaignid"),
         F.date_add(o.o_orderdate.cast("date"), shift).alias("orderdate"),
@@ -129,7 +137,7 @@ def raw_order_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _table(spark, sf_dir, "customer")
     join = F.date_add(F.lit("2023-01-01").cast("date"), (c.c_custkey % 300).cast("int"))
-    members = c.where(c.c_mktsegment != "MACHINERY").select(
+    members = c.select(
         c.c_custkey.cast("string").alias("id"),
         c.c_name.alias("name"),
         c.c_mktsegment.alias("membershiptype"),
