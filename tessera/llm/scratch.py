@@ -2,13 +2,11 @@
 
 Writing a table cuts lineage: a lost executor re-reads files instead of
 recomputing earlier stages.  Tables that a query no longer needs are dropped
-as soon as possible, the rest when the driver exits.
+as soon as possible, the rest when the driver's JVM ends.
 """
 
 from __future__ import annotations
 
-import atexit
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.ship import ship
@@ -22,7 +20,6 @@ class Scratch:
         self.spark = spark
         self.root = scratch_dir(spark, name)
         self._n = 0
-        atexit.register(self.drop_all)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -39,5 +36,4 @@ class Scratch:
         HadoopFS(self.spark).delete(df._scratch_path)
 
     def drop_all(self) -> None:
-        if self.spark.sparkContext._jsc is not None:
-            HadoopFS(self.spark).delete(self.root)
+        HadoopFS(self.spark).delete(self.root)

@@ -17,7 +17,7 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
-from tessera.llm.words import SPACE, U64, segment_hash, text_bytes
+from tessera.llm.words import LOWER, SPACE, U64, segment_hash, text_bytes
 
 LETTER = np.zeros(256, bool)
 LETTER[65:91] = LETTER[97:123] = True
@@ -50,10 +50,13 @@ def cut(data: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 class PieceCache:
-    """Ids of texts; at most about ``limit`` pieces are remembered."""
+    """Ids of texts; at most about ``limit`` pieces are remembered.
 
-    def __init__(self, encode_many: Callable[[list[str]], list], limit: int = 1_000_000):
-        self.encode_many, self.limit = encode_many, limit
+    ``fold`` is for tokenisers that drop white space and ignore case: pieces
+    are then looked up without their leading space and in lower case."""
+
+    def __init__(self, encode_many: Callable[[list[str]], list], limit: int = 700_000, fold: bool = False):
+        self.encode_many, self.limit, self.fold = encode_many, limit, fold
         self.clear()
 
     def clear(self) -> None:
@@ -79,7 +82,12 @@ class PieceCache:
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
         end = np.append(start[1:], len(data))
-        uniq, one, back = np.unique(segment_hash(data, start, end), return_index=True, return_inverse=True)
+        first = start
+        if self.fold:
+            if b"<|" not in data.tobytes():  # special tokens keep their case
+                data = LOWER[data]
+            first = start + (SPACE[data[start]] & (end - start > 1))
+        uniq, one, back = np.unique(segment_hash(data, first, end), return_index=True, return_inverse=True)
         if len(self.keys) + len(uniq) > self.limit or len(self.flat) > 8 * self.limit:
             self.clear()
         pos = np.searchsorted(self.keys, uniq)
@@ -89,7 +97,7 @@ class PieceCache:
         if new.any():
             raw = data.tobytes()
             self._learn(uniq[new], [raw[a:b].decode("utf-8", "replace")
-                                    for a, b in zip(start[one[new]].tolist(), end[one[new]].tolist())])
+                                    for a, b in zip(first[one[new]].tolist(), end[one[new]].tolist())])
             pos = np.searchsorted(self.keys, uniq)
         lens = self.len[pos][back]
         ends = np.cumsum(lens)
@@ -107,13 +115,17 @@ def library_cache(path: str) -> PieceCache:
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
-        kind = json.load(f)["pre_tokenizer"]
-    if kind["type"] not in KNOWN:
+        spec = json.load(f)
+    steps = (spec["normalizer"] or {}).get("normalizers", [])
+    splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    fold = (any(x["type"] == "Lowercase" for x in steps) and bool(splits)
+            and splits[0]["type"] == "Split" and splits[0]["behavior"] == "Removed")
+    if (spec["pre_tokenizer"] or {}).get("type") not in KNOWN:
         raise ValueError(f"no exact cuts are known for the pre-tokenizer of {path}")
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    return PieceCache(lambda pieces: [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)])
+    return PieceCache(lambda pieces: [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)], fold=fold)
 
 
 def vocab_size(path: str) -> int:
