@@ -29,9 +29,14 @@ def shuffle_records(log_dir: str) -> int:
             if e.get("Event") == "SparkListenerTaskEnd":
                 m = (e.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
                 total += m.get("Shuffle Records Written", 0)
+                nodes = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics") or {}
+                MOST[0] = max(MOST[0], nodes.get("Total Records Read", 0))
     return total
 
 
+MOST = [0]  # records that one task read from shuffles
+
+
 def main() -> None:
     log_dir, case, limit_on = sys.argv[1], sys.argv[2], sys.argv[3] == "1"
     extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_dir}",
@@ -48,6 +53,13 @@ def main() -> None:
                         F.lit("f.csv").alias("source_name"), F.col("id").alias("v"))
         out = keep_latest(df, ["k"], "d")
         expect_rows = n - n // 3 + 1
+    elif case == "tied":
+        # one month holds a third of the items, and all of them tie at 1
+        hot = F.col("id") % 3 == 0
+        df = ids.select(F.when(hot, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("m"),
+                        F.col("id").cast("string").alias("item"), F.when(hot, F.lit(1)).otherwise(F.col("id") % 997).alias("n"))
+        out = rank_top_bottom(df, ["m"], "n", 2, 2).where("m = 'hot'")
+        expect_rows = n // 3
     else:
         # one month holds a third of the (month, item) rows
         df = ids.select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("m"),
@@ -57,7 +69,7 @@ def main() -> None:
     rows = out.count()
     spark.stop()
     print(json.dumps({"rows": rows, "expect_rows": expect_rows,
-                      "shuffle_records": shuffle_records(log_dir)}))
+                      "shuffle_records": shuffle_records(log_dir), "most_in_a_task": MOST[0]}))
 
 
 if __name__ == "__main__":
