@@ -26,17 +26,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Every node has one edge to a smaller node, or none and only takes."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                             F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    node = edges.select(ends.alias("e")).groupBy("e.node").agg(F.sum("e.up").alias("up"), F.sum("e.down").alias("down"))
+    return node.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component): the smallest node reachable, for every node that has
-    an edge and is not its component's smallest.  ``edges`` has longs a, b."""
-    now = scratch.save(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                       .where("a != b").distinct(), "edges")
-    mark = None
+    an edge and is not its component's smallest.  ``edges`` has longs a, b, and
+    is read more than once: pass a written table."""
+    now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
     while True:
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        mark = tuple(seen)
         step = scratch.save(_star(_star(now, True), False), "star")
-        scratch.drop(now)
+        if hasattr(now, "_scratch_path"):
+            scratch.drop(now)
         now = step
+        if _is_star_forest(now):
+            return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

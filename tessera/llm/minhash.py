@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, size: int, percent: int, scratch: Scratch |
 
     one = scratch.save(named.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "signature", "bands"), "reps")
     tasks = in_blocks(one.select("doc_id", F.explode("bands").alias("bucket")), "bucket", 4 * BLOCK).select("doc_id", "task", "side")
-    pairs = scratch.save(similar_signatures(tasks.join(one.select("doc_id", "signature"), "doc_id"), percent).distinct(), "similar")
+    pairs = scratch.save(similar_signatures(tasks.join(one.select("doc_id", "signature"), "doc_id"), percent), "similar")
     group = components(pairs, scratch)
     group = scratch.save(group.union(group.select("component", "component").distinct()).toDF("doc_id", "comp"), "groups")
     cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, size: int, percent: int, scratch: Scratch |
     texts = (docs.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left_semi")  # at most CELLS rows
              .select("doc_id", "text").dropDuplicates(["doc_id"]))
     tasks = in_blocks(group, "comp").select("doc_id", "task", "side")
-    links = scratch.save(linked_texts(tasks.join(texts, "doc_id"), size, percent).distinct(), "links")
+    links = scratch.save(linked_texts(tasks.join(texts, "doc_id"), size, percent), "links")
     comp = components(links, scratch)
 
     member = all_rows.join(classes, key, "left")
