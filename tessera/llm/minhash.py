@@ -251,7 +251,7 @@ def near_duplicates(docs: DataFrame, size: int, percent: int, scratch: Scratch |
 def distinct_documents(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """The rows of ``docs`` that stand for their groups, with all columns."""
     kept = near_duplicates(docs, size, percent, scratch).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].cast("long") == F.col("kept_id"), "left_semi").union(docs.where("doc_id is null"))
+    return docs.join(kept, docs["doc_id"].cast("long") == kept["kept_id"], "left_semi").union(docs.where("doc_id is null"))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch
 from tessera.llm.ship import ship
-from tessera.llm.tokens import library_cache
+from tessera.llm.tokens import library_cache, vocab_size
 from tessera.llm.words import U64, mix, slices, text_column
 
 K1, B = 1.2, 0.75  # usual BM25 constants
@@ -36,15 +36,22 @@ QUERY_TERMS = 24   # a seed asks with its rarest terms
 SHARD_DOCS, SHARD_IDS = 2048, 1 << 21
 
 
+def id_width(tokenizer: str, end_id: int) -> int:
+    return 2 if max(vocab_size(tokenizer) - 1, end_id) < 1 << 16 else 4
+
+
 def encode_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """doc_id, ids (little-endian u32), key: a min-hash of the text's ids."""
+    """doc_id, ids (little-endian, two bytes each if all ids fit, else four),
+    key: a min-hash of the text's ids."""
+    width = id_width(tokenizer, end_id)
+
     def encode(batches):
         cache = library_cache(tokenizer)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, off = cache.encode(part.column("text"))
                 n = len(off) - 1
-                out = np.empty(len(ids) + n, "<u4")
+                out = np.empty(len(ids) + n, f"<u{width}")
                 doc = np.repeat(np.arange(n), np.diff(off))
                 out[np.arange(len(ids)) + doc] = ids
                 out[off[1:] + np.arange(n)] = end_id
@@ -147,8 +154,9 @@ def pack_shard(docs: list[np.ndarray], window: int) -> list[list[tuple[int, int,
     return out
 
 
-def pack(encoded: DataFrame, window: int = 2048, parts: int | None = None) -> DataFrame:
-    """Pieces of all documents of ``encoded`` (see ``encode_table``)."""
+def pack(encoded: DataFrame, width: int, window: int = 2048, parts: int | None = None) -> DataFrame:
+    """Pieces of all documents of ``encoded`` (see ``encode_table``), whose
+    ids have ``width`` bytes."""
     def task(batches):
         part, made = TaskContext.get().partitionId(), 0
         ids, docs, held = [], [], 0
@@ -159,7 +167,7 @@ def pack(encoded: DataFrame, window: int = 2048, parts: int | None = None) -> Da
             for seq in pack_shard(docs, window):
                 at = 0
                 for i, start, n in seq:
-                    rows.append((ids[i], start, n, zlib.crc32(docs[i][start:start + n].tobytes()), len(docs[i]),
+                    rows.append((ids[i], start, n, zlib.crc32(docs[i][start:start + n].astype("<u4").tobytes()), len(docs[i]),
                                  (part << 40) + made, at))
                     at += n
                 made += 1
@@ -171,7 +179,7 @@ def pack(encoded: DataFrame, window: int = 2048, parts: int | None = None) -> Da
         for batch in batches:
             for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
                 ids.append(doc_id)
-                docs.append(np.frombuffer(raw.as_py(), "<u4"))
+                docs.append(np.frombuffer(raw.as_py(), f"<u{width}"))
                 held += len(docs[-1])
                 if len(docs) >= SHARD_DOCS or held >= SHARD_IDS:
                     yield from flush()
@@ -186,7 +194,7 @@ def pack(encoded: DataFrame, window: int = 2048, parts: int | None = None) -> Da
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, scratch: Scratch | None = None) -> DataFrame:
     scratch = scratch or Scratch(docs.sparkSession, "packing")
-    return pack(scratch.save(encode_table(docs, tokenizer, end_id), "ids"), window)
+    return pack(scratch.save(encode_table(docs, tokenizer, end_id), "ids"), id_width(tokenizer, end_id), window)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch
-from tessera.llm.words import text_column
+from tessera.llm.words import text_column, unpacked, whole
 
 KINDS = ("email", "ip", "card", "phone")
 EXTRA = {"card?": "card", "phone?": "phone", "email?": "email", "secret": "secret"}
@@ -279,12 +279,13 @@ def masked(text: str, spans: str) -> Column:
 
 def without_personal_data(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with every span masked; ``n_chars``, if any, follows the text."""
-    found = detect(docs.withColumn("text", F.col("text").cast("string")), scratch, keep_text=True)
+    found = detect(docs.select(F.col("text").cast("string").alias("text"), whole(docs)), scratch, keep_text=True)
     some = F.size("spans") > 0
-    out = found.withColumn("text", F.when(some, masked("text", "spans")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(some, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    found = found.withColumn("text", F.when(some, masked("text", "spans")).otherwise(F.col("text")))
+    return unpacked(found, docs.columns, {
+        "text": F.col("text"),
+        **({"n_chars": F.when(some, F.length("text").cast("long")).otherwise(F.col("whole")["n_chars"])}
+           if "n_chars" in docs.columns else {})})
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

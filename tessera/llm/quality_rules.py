@@ -92,20 +92,20 @@ def features(docs: DataFrame) -> DataFrame:
                     [part.column(c) for c in ("doc_id", "key", "lang", "source")] + [pa.array(m[k], pa.int64()) for k in MEASURES],
                     ["doc_id", "key", "lang", "source", *MEASURES])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), row_key().alias("key"),
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs), row_key(docs).alias("key"),
                         *(F.col(c).cast("string").alias(c) for c in ("lang", "source")))
             .mapInArrow(run, "doc_id long, key long, lang string, source string, " + ", ".join(f"{k} long" for k in MEASURES))
             .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
 
 
-def row_key() -> F.Column:
-    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("lang").cast("string"), F.col("source").cast("string"))
+def row_key(docs: DataFrame) -> F.Column:
+    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")), docs["lang"].cast("string"), docs["source"].cast("string"))
 
 
 def good_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
     good = judge(docs, scratch).where("kept").select(F.col("doc_id").alias("good_id"), F.col("key").alias("good_key"))
-    return docs.join(good, docs["doc_id"].cast("long").eqNullSafe(F.col("good_id")) & (row_key() == F.col("good_key")), "left_semi")
+    return docs.join(good, docs["doc_id"].cast("long").eqNullSafe(good["good_id"]) & (row_key(docs) == good["good_key"]), "left_semi")
 
 
 def ratios() -> dict[str, F.Column]:

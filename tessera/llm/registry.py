@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, forest, html_main, minhash, packing, pii, quality_rules, records, substring
+from tessera.llm import bpe, chat, forest, html_main, minhash, oracles, packing, pii, quality_rules, records, substring
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op3_chat": chat.ORACLE}
+    return {"op2_forest": oracles.OP2, "op3_chat": chat.ORACLE, "op7_substring": oracles.OP7, "op9_minhash": oracles.OP9}

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch
-from tessera.llm.words import U64, Words, find_words, mix, slices, text_column, windows
+from tessera.llm.words import U64, Words, find_words, mix, slices, text_column, unpacked, whole, windows
 
 GRAM = 6
 CELLS = 1 << 20  # ids hash into so few cells that a set of them can be broadcast
@@ -285,11 +285,13 @@ def without_repeats(docs: DataFrame, width: int = 20, scratch: Scratch | None =
     such a column, follows the text."""
     out, cut = parse(docs, width, scratch)
     gone = out.where("copy").select("id", "no", F.lit("").alias("new_text")).union(cut)
-    done = (numbered(docs).join(gone.dropDuplicates(["id", "no"]), ["id", "no"], "left")
-            .withColumn("text", F.coalesce("new_text", "text")))
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.when(F.col("new_text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return done.select(*docs.columns)
+    done = (numbered(docs.select("doc_id", "text", whole(docs))).select("id", "no", "whole")
+            .join(gone.dropDuplicates(["id", "no"]), ["id", "no"], "left"))
+    new = F.col("new_text")
+    return unpacked(done, docs.columns, {
+        "text": F.coalesce(new, F.col("whole")["text"]),
+        **({"n_chars": F.when(new.isNull(), F.col("whole")["n_chars"]).otherwise(F.length(new).cast("long"))}
+           if "n_chars" in docs.columns else {})})
 
 
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 from collections.abc import Callable
 
 import numpy as np
@@ -107,11 +108,13 @@ class PieceCache:
 
 #: Pre-tokenisers for which the cuts of ``cut`` are exact (fixed values).
 KNOWN = ("ByteLevel", "Sequence")
+CHUNK = 8192  # pieces that the library encodes at once
 
 
 @functools.cache
 def library_cache(path: str) -> PieceCache:
     """One cache per worker around the tokenizers library's file ``path``."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
@@ -125,7 +128,12 @@ def library_cache(path: str) -> PieceCache:
     tok = Tokenizer.from_file(path)
     tok.no_truncation()
     tok.no_padding()
-    return PieceCache(lambda pieces: [e.ids for e in tok.encode_batch_fast(pieces, add_special_tokens=False)], fold=fold)
+
+    def encode_many(pieces: list[str]) -> list[list[int]]:
+        return [e.ids for k in range(0, len(pieces), CHUNK)  # the library's results are large until read
+                for e in tok.encode_batch_fast(pieces[k:k + CHUNK], add_special_tokens=False)]
+
+    return PieceCache(encode_many, fold=fold)
 
 
 def vocab_size(path: str) -> int:

@@ -140,6 +140,19 @@ def shingles(w: Words, h: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return w.doc[:len(h) - k + 1][inside], mix(windows(h, k)[inside])
 
 
+def whole(df):
+    """All columns of each row as the struct ``whole``: operators that add
+    columns of their own put them beside it, so no name can clash."""
+    from pyspark.sql import functions as F
+    return F.struct(*(df[c] for c in df.columns)).alias("whole")
+
+
+def unpacked(df, columns: list[str], changed: dict):
+    """The columns that ``whole`` holds, in their order, some replaced."""
+    from pyspark.sql import functions as F
+    return df.select(*(changed.get(c, F.col("whole")[c]).alias(c) for c in columns))
+
+
 def text_column(df, name: str = "text"):
     """``name`` as a string column that is never null."""
     from pyspark.sql import functions as F
