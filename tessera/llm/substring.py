@@ -115,8 +115,9 @@ def survey(docs: DataFrame, width: int) -> DataFrame:
 
 
 def candidate_windows(docs: DataFrame, width: int) -> DataFrame:
-    """One row per occurrence of an anchor that is among the text's ``grams``:
-    gram, row, start of its first window, the hashes of its windows."""
+    """One row per run of windows whose anchor is the same one of the text's
+    ``grams``: gram, row, start of the first window, the windows' hashes.  A
+    text that repeats a few words over and over is one run."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -136,13 +137,13 @@ def candidate_windows(docs: DataFrame, width: int) -> DataFrame:
                 if not len(at):
                     continue
                 small = (mix(windows(h, width)[at]) >> U64(32)).astype("<u4")
-                place = best[at]
-                new = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)))
+                mine = gram[best[at]]
+                new = np.flatnonzero(np.append(True, (mine[1:] != mine[:-1]) | (at[1:] != at[:-1] + 1)))
                 raw, ends = small.tobytes(), np.append(new[1:], len(at))
                 first = at[new]
                 doc = w.doc[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[place[new]].astype(np.int64)), part.column("id").take(pa.array(doc)),
+                    [pa.array(mine[new].astype(np.int64)), part.column("id").take(pa.array(doc)),
                      part.column("no").take(pa.array(doc)), pa.array((first - w.first[doc]).astype(np.int64)),
                      pa.array([raw[4 * a:4 * b] for a, b in zip(new.tolist(), ends.tolist())], pa.binary())],
                     ["gram", "id", "no", "start", "windows"])
