@@ -119,12 +119,19 @@ def test_relationships_ignores_null_child_keys(spark):
 
 
 def test_bronze_dates_and_truncation(spark):
-    raw = spark.createDataFrame([("x" * 120, "N", "Gold" * 20, "7/2/2023", "31/02/2023", "f")],
+    raw = spark.createDataFrame([("x" * 120, "N", "Gold" * 20, "7/2/2023", None, "f"),
+                                 ("1", "N", "Gold", "7/2/2023", "31/02/2023", "f"),   # no such day
+                                 ("2", "N", "Gold", "2022-01-01", "07/02/2024", "g"),  # not the contract's format
+                                 ("2", "N", "Gold", "07/02/2023", "07/02/2024", "f")],
                                 "id string, name string, membershiptype string, joindate string, "
                                 "expirationdate string, source_name string")
-    r = bronze.base_members(raw).collect()[0]
-    assert len(r["memberid"]) == 100 and len(r["membershiptype"]) == 50
+    got = {r["memberid"]: r for r in bronze.base_members(raw).collect()}
+    r = got.pop("x" * 100)
+    assert len(r["membershiptype"]) == 50
     assert r["joindate"] == D(2023, 2, 7) and r["expirationdate"] is None
+    assert [r["joindate"] for r in got.values()] == [D(2023, 2, 7)]  # bad text never wins as a missing date
+    bad = bronze.rejects({"members_raw": raw}).collect()
+    assert {(r["column_name"], r["cell"]) for r in bad} == {("expirationdate", "31/02/2023"), ("joindate", "2022-01-01")}
 
 
 def test_member_preferences_keep_orphans(spark):
