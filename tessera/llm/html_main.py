@@ -50,6 +50,7 @@ NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising adbox s
                         "consent gdpr notice notices alert popup modal overlay comment comments reply replies respond disqus share "
                         "sharing social related recommended newsletter subscribe signup login pagination pager widget "
                         "toolbar skip".split())
+MODIFIERS = frozenset("has with no without is js hide show".split())
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
@@ -59,7 +60,8 @@ CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl
 @functools.lru_cache(1 << 14)
 def style(tag: str, classes: str, role: str, ident: str) -> tuple[str, bool]:
     """The style's name, and whether it is noise by its tag, role or names."""
-    names = re.findall(r"[a-z0-9]+", f"{classes} {ident}".lower())
+    parts = [re.findall(r"[a-z0-9]+", x) for x in f"{classes} {ident}".lower().split()]
+    names = [n for p in parts if p and p[0] not in MODIFIERS for n in p]  # "has-sidebar" is no sidebar
     key = tag + "".join("." + c for c in sorted(set(re.findall(r"[a-z_-]+", classes.lower())))[:4])
     noise = (tag in NOISE_TAGS or role.lower() in NOISE_ROLES
              or tag not in ("html", "body", "article", "main") and not NOISE_WORDS.isdisjoint(names)

@@ -25,6 +25,7 @@ def test_page_parts():
     assert html_main.read(PAGE).text() == "One & two First line bold x a b 1 2"
     assert html_main.read(None).text() == "" and html_main.read("plain &lt; text &#233;").text() == "plain < text é"
     assert html_main.read("<p>a < b<p>c<div>d</p>e").text() == "a < b c d e"
+    assert html_main.read("<div class='page has-sidebar'><p>Text</p><div id=left-sidebar>Links</div></div>").text() == "Text"
     assert html_main.read("<article>" + "<p>word" * 5000 + "</article>").text().count("word") == 5000
 
 
