@@ -19,7 +19,8 @@ a factor of at least ``width`` words that also starts earlier in it.
    reference text; windows across a factor's boundary were looked up like all
    others, so passages that jump between references are covered whole.
 
-Windows are told apart by 96 bits: 64 of their anchor, 32 of their words.
+Windows of one anchor are told apart by a 64-bit hash of their words, which is
+shipped whole; windows of different anchors are never compared.
 Null, empty and blank texts have no words; texts under ``width`` words lose
 none.  Equal doc_ids are taken in the order of their texts; null doc_ids come
 last.  Empty tables give no rows.
@@ -136,16 +137,16 @@ def candidate_windows(docs: DataFrame, width: int) -> DataFrame:
                 at = np.flatnonzero((known[at] == mine) & whole_windows(w, width))
                 if not len(at):
                     continue
-                small = (mix(windows(h, width)[at]) >> U64(32)).astype("<u4")
+                hashes = mix(windows(h, width)[at]).astype("<u8")
                 mine = gram[best[at]]
                 new = np.flatnonzero(np.append(True, (mine[1:] != mine[:-1]) | (at[1:] != at[:-1] + 1)))
-                raw, ends = small.tobytes(), np.append(new[1:], len(at))
+                raw, ends = hashes.tobytes(), np.append(new[1:], len(at))
                 first = at[new]
                 doc = w.doc[first]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(mine[new].astype(np.int64)), part.column("id").take(pa.array(doc)),
                      part.column("no").take(pa.array(doc)), pa.array((first - w.first[doc]).astype(np.int64)),
-                     pa.array([raw[4 * a:4 * b] for a, b in zip(new.tolist(), ends.tolist())], pa.binary())],
+                     pa.array([raw[8 * a:8 * b] for a, b in zip(new.tolist(), ends.tolist())], pa.binary())],
                     ["gram", "id", "no", "start", "windows"])
 
     return docs.mapInArrow(run, f"gram long, {ROW}, start long, windows binary")
@@ -156,25 +157,29 @@ def first_places(found: DataFrame) -> DataFrame:
     the reference's row and start."""
     def run(batches):
         none = np.zeros(0, np.int64)
-        held, keys, refs = None, np.zeros(0, U64), [none, none, none]  # of the anchor at the last batch's end
+        held, keys, refs = None, np.zeros(0, U64), [none, none, none]  # windows of the anchor at the last batch's end
         for batch in batches:
             if not batch.num_rows:
                 continue
             gram, ids, no, start = (batch.column(c).to_numpy().astype(np.int64) for c in ("gram", "id", "no", "start"))
             raw = batch.column("windows").to_pylist()
-            n = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+            n = np.fromiter(map(len, raw), np.int64, len(raw)) // 8
             row = np.repeat(np.arange(len(raw)), n)
             at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            key = mix(mix(gram.astype(U64))[row] + np.frombuffer(b"".join(raw), "<u4").astype(U64))
-            uniq, first, back = np.unique(key, return_index=True, return_inverse=True)
+            key, of = np.frombuffer(b"".join(raw), "<u8"), gram[row]
+            order = np.lexsort((key, of))  # stable: equal windows stay in corpus order
+            fresh = np.append(True, (key[order[1:]] != key[order[:-1]]) | (of[order[1:]] != of[order[:-1]]))
+            first, back = order[fresh], np.empty(len(order), np.int64)
+            back[order] = np.cumsum(fresh) - 1
+            uniq, of = key[first], of[first]
             ref = [ids[row][first], no[row][first], at[first]]
             if held == gram[0] and len(keys):
                 spot = np.searchsorted(keys, uniq)
                 spot[spot == len(keys)] = 0
-                old = keys[spot] == uniq
+                old = (keys[spot] == uniq) & (of == held)
                 for mine, kept in zip(ref, refs):
                     mine[old] = kept[spot[old]]
-            last = gram[row][first] == gram[-1]
+            last = of == gram[-1]
             if held == gram[-1]:
                 fresh = last & ~np.isin(uniq, keys)
                 keys = np.concatenate([keys, uniq[fresh]])

@@ -7,12 +7,14 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tessera.llm import minhash, packing, quality_rules, substring
 from tessera.llm.scratch import Scratch
+from tessera.llm.words import find_words, mix, windows
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -155,6 +157,21 @@ def test_factors_run_on_and_break_at_boundaries():
     assert substring.factor(runs, 20) == [(0, 24, ref, 10), (5, 20, other, 0), (40, 20, ref, 50)]
 
 
+def test_windows_that_agree_in_half_their_hash_are_no_repeat(spark):
+    """Windows of one anchor, pairs of which share the upper 32 bits of their
+    hashes: nothing repeats."""
+    rest = " ".join([f"v{j}" for j in range(13)] + [f"s{61448 + j}" for j in range(6)])
+    pairs = [(33713, 36248), (40003, 53892), (47520, 57821), (85330, 118553), (44801, 129907)]
+    rows = [(k, f"w{i} {rest}") for k, i in enumerate(x for p in pairs for x in p)]
+    w = find_words(pa.array([t for _, t in rows]))
+    best, gram = substring.anchors(w, w.hashes(), 20)
+    inside = substring.whole_windows(w, 20)
+    upper = mix(windows(w.hashes(), 20)[inside]) >> np.uint64(32)
+    assert (upper[::2] == upper[1::2]).all() and len(set(gram[best[inside]].tolist())) == 1
+    out, _ = substring.parse(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.id: r.n_removed for r in out.collect()} == dict.fromkeys(range(len(rows)), 0)
+
+
 def encoded(rows):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
