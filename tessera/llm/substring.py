@@ -9,11 +9,14 @@ a factor of at least ``width`` words that also starts earlier in it.
    ``GRAM``-word run of least hash (a minimizer).  Equal windows have equal
    anchors at equal places, so a window can repeat only if its anchor does.
    Anchors found in one place only are dropped.
-3. The index is sharded by anchor.  An occurrence of a repeated anchor ships
-   the hashes of the windows it stands for as one short record; a shard reads
-   its anchors in corpus order and gives each window the first place that had
-   it.  It remembers the distinct windows of one anchor at a time, so a
-   passage that very many documents share streams through.
+3. The index is sharded by anchor, and an anchor with more than ``SHARD``
+   places further by the hashes of its windows, into so many shards that each
+   has windows of about ``SHARD`` places.  A text ships the hashes of the
+   windows that a repeated anchor stands for as one short record per shard; a
+   shard reads its records in corpus order and gives each window the
+   first place that had it.  It remembers the distinct windows of one shard at
+   a time: at most ``SHARD`` times the windows of a place, however many
+   documents share a passage.
 4. Each document is factored greedily, left to right: a factor runs on as long
    as the next window's first occurrence is the next word of the same
    reference text; windows across a factor's boundary were looked up like all
@@ -39,6 +42,7 @@ from tessera.llm.scratch import Scratch
 from tessera.llm.words import U64, Words, find_words, mix, slices, text_column, unpacked, whole, windows
 
 GRAM = 6
+SHARD = 1024  # places of an anchor that one shard takes
 CELLS = 1 << 20  # ids hash into so few cells that a set of them can be broadcast
 
 
@@ -90,8 +94,7 @@ ROW = "id long, no int"
 
 def survey(docs: DataFrame, width: int) -> DataFrame:
     """Per text: its words, the hash of their sequence (that of the kept text
-    if nothing is removed), and its anchors; one that it holds more than once
-    is listed twice."""
+    if nothing is removed), and its anchors with the number of their places."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -102,23 +105,25 @@ def survey(docs: DataFrame, width: int) -> DataFrame:
                 doc, g = w.doc[place], gram[place]
                 order = np.lexsort((g, doc))
                 doc, g = doc[order], g[order]
-                keep = np.ones(len(g), bool)  # at most two of each
-                keep[2:] = (g[2:] != g[:-2]) | (doc[2:] != doc[:-2])
-                doc, g = doc[keep], g[keep].astype(np.int64)
+                new = np.flatnonzero(np.append(True, (g[1:] != g[:-1]) | (doc[1:] != doc[:-1]))[:len(g)])
+                times = np.diff(np.append(new, len(g)))
+                doc, g = doc[new], g[new].astype(np.int64)
                 ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(g))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(
+                    [pa.array(g), pa.array(times, pa.int64())], ["gram", "times"]))
                 sha = [hashlib.sha256(kept_text(w, i)).digest() for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("no"), pa.array(w.counts, pa.int64()), pa.array(sha, pa.binary()), lists],
                     ["id", "no", "n_words", "sha", "anchors"])
 
-    return docs.mapInArrow(run, f"{ROW}, n_words long, sha binary, anchors array<long>")
+    return docs.mapInArrow(run, f"{ROW}, n_words long, sha binary, anchors array<struct<gram:long,times:long>>")
 
 
 def candidate_windows(docs: DataFrame, width: int) -> DataFrame:
-    """One row per run of windows whose anchor is the same one of the text's
-    ``grams``: gram, row, start of the first window, the windows' hashes.  A
-    text that repeats a few words over and over is one run."""
+    """One row per text, one of its ``grams`` and shard of it: gram, shard,
+    row, start of the first window, the others' distances from it (empty if
+    each follows the one before), the windows' hashes.  A text that repeats a
+    few words over and over is one row per shard."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -126,30 +131,39 @@ def candidate_windows(docs: DataFrame, width: int) -> DataFrame:
                 h = w.hashes()
                 best, gram = anchors(w, h, width)
                 grams = part.column("grams")
-                flat = grams.flatten().to_numpy(zero_copy_only=False).astype(np.int64).astype(U64)
+                flat = grams.flatten()
+                mask = flat.field("mask").to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = flat.field("gram").to_numpy(zero_copy_only=False).astype(np.int64).astype(U64)
                 if not len(best) or not len(flat):
                     continue
                 owner = np.repeat(np.arange(part.num_rows), grams.value_lengths().to_numpy(zero_copy_only=False))
-                known = np.unique(mix(flat + mix(owner.astype(U64) + U64(1))))
+                known, spot = np.unique(mix(flat + mix(owner.astype(U64) + U64(1))), return_index=True)
                 mine = mix(gram[best] + mix(w.doc[:len(best)].astype(U64) + U64(1)))
                 at = np.searchsorted(known, mine)
                 at[at == len(known)] = 0
+                mask = mask[spot[at]]
                 at = np.flatnonzero((known[at] == mine) & whole_windows(w, width))
                 if not len(at):
                     continue
                 hashes = mix(windows(h, width)[at]).astype("<u8")
-                mine = gram[best[at]]
-                new = np.flatnonzero(np.append(True, (mine[1:] != mine[:-1]) | (at[1:] != at[:-1] + 1)))
+                mine, shard = gram[best[at]], hashes.astype(np.int64) & mask[at]
+                order = np.lexsort((at, shard, mine, w.doc[at]))
+                mine, shard, at, hashes = mine[order], shard[order], at[order], hashes[order]
+                new = np.flatnonzero(np.append(True, (mine[1:] != mine[:-1]) | (shard[1:] != shard[:-1])
+                                               | (w.doc[at[1:]] != w.doc[at[:-1]])))
                 raw, ends = hashes.tobytes(), np.append(new[1:], len(at))
                 first = at[new]
                 doc = w.doc[first]
+                far = (at - np.repeat(first, ends - new)).astype("<u4").tobytes()
+                run_on = at[ends - 1] - first == ends - new - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mine[new].astype(np.int64)), part.column("id").take(pa.array(doc)),
+                    [pa.array(mine[new].astype(np.int64)), pa.array(shard[new]), part.column("id").take(pa.array(doc)),
                      part.column("no").take(pa.array(doc)), pa.array((first - w.first[doc]).astype(np.int64)),
+                     pa.array([b"" if c else far[4 * a:4 * b] for a, b, c in zip(new.tolist(), ends.tolist(), run_on.tolist())], pa.binary()),
                      pa.array([raw[8 * a:8 * b] for a, b in zip(new.tolist(), ends.tolist())], pa.binary())],
-                    ["gram", "id", "no", "start", "windows"])
+                    ["gram", "shard", "id", "no", "start", "far", "windows"])
 
-    return docs.mapInArrow(run, f"gram long, {ROW}, start long, windows binary")
+    return docs.mapInArrow(run, f"gram long, shard long, {ROW}, start long, far binary, windows binary")
 
 
 def first_places(found: DataFrame) -> DataFrame:
@@ -157,37 +171,43 @@ def first_places(found: DataFrame) -> DataFrame:
     the reference's row and start."""
     def run(batches):
         none = np.zeros(0, np.int64)
-        held, keys, refs = None, np.zeros(0, U64), [none, none, none]  # windows of the anchor at the last batch's end
+        held, keys, refs = None, np.zeros(0, U64), [none, none, none]  # windows of the shard at the last batch's end
         for batch in batches:
             if not batch.num_rows:
                 continue
-            gram, ids, no, start = (batch.column(c).to_numpy().astype(np.int64) for c in ("gram", "id", "no", "start"))
+            gram, shard, ids, no, start = (batch.column(c).to_numpy().astype(np.int64) for c in ("gram", "shard", "id", "no", "start"))
+            new = np.append(True, (gram[1:] != gram[:-1]) | (shard[1:] != shard[:-1]))
+            group = np.cumsum(new) - 1
+            begins, ends = (gram[0], shard[0]), (gram[-1], shard[-1])
             raw = batch.column("windows").to_pylist()
             n = np.fromiter(map(len, raw), np.int64, len(raw)) // 8
             row = np.repeat(np.arange(len(raw)), n)
             at = start[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-            key, of = np.frombuffer(b"".join(raw), "<u8"), gram[row]
+            far = batch.column("far").to_pylist()
+            apart = np.fromiter(map(bool, far), bool, len(far))[row]
+            at[apart] = start[row[apart]] + np.frombuffer(b"".join(far), "<u4")
+            key, of = np.frombuffer(b"".join(raw), "<u8"), group[row]
             order = np.lexsort((key, of))  # stable: equal windows stay in corpus order
             fresh = np.append(True, (key[order[1:]] != key[order[:-1]]) | (of[order[1:]] != of[order[:-1]]))
             first, back = order[fresh], np.empty(len(order), np.int64)
             back[order] = np.cumsum(fresh) - 1
             uniq, of = key[first], of[first]
             ref = [ids[row][first], no[row][first], at[first]]
-            if held == gram[0] and len(keys):
+            if held == begins and len(keys):
                 spot = np.searchsorted(keys, uniq)
                 spot[spot == len(keys)] = 0
-                old = (keys[spot] == uniq) & (of == held)
+                old = (keys[spot] == uniq) & (of == 0)
                 for mine, kept in zip(ref, refs):
                     mine[old] = kept[spot[old]]
-            last = of == gram[-1]
-            if held == gram[-1]:
+            last = of == group[-1]
+            if held == ends:
                 fresh = last & ~np.isin(uniq, keys)
                 keys = np.concatenate([keys, uniq[fresh]])
                 refs = [np.concatenate([k, m[fresh]]) for k, m in zip(refs, ref)]
                 order = np.argsort(keys)
                 keys, refs = keys[order], [r[order] for r in refs]
             else:
-                held, keys, refs = gram[-1], uniq[last], [m[last] for m in ref]
+                held, keys, refs = ends, uniq[last], [m[last] for m in ref]
             rid, rno, rat = (m[back] for m in ref)
             again = (rid != ids[row]) | (rno != no[row]) | (rat != at)
             r, t, a, b, c = row[again], at[again], rid[again], rno[again], rat[again]
@@ -200,7 +220,7 @@ def first_places(found: DataFrame) -> DataFrame:
                  pa.array(np.diff(np.append(new, len(r)))), pa.array(a[new]), pa.array(b[new].astype(np.int32)), pa.array(c[new])],
                 ["id", "no", "start", "n", "ref_id", "ref_no", "ref_start"])
 
-    return (found.repartition("gram").sortWithinPartitions("gram", "id", "no", "start")
+    return (found.repartition("gram", "shard").sortWithinPartitions("gram", "shard", "id", "no", "start")
             .mapInArrow(run, f"{ROW}, start long, n long, ref_id long, ref_no int, ref_start long"))
 
 
@@ -266,9 +286,11 @@ def parse(docs: DataFrame, width: int = 20, scratch: Scratch | None = None) -> t
         F.min(F.struct("id", "no")).alias("rep")), "classes")
     reps = classes.select("rep.id", "rep.no")
     places = (seen.select("id", "no", "anchors").join(reps, ["id", "no"], "left_semi").dropDuplicates(["id", "no"])
-              .select("id", "no", F.explode("anchors").alias("gram")))
-    again = scratch.save(places.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("gram"))).where("n > 1")
-                         .groupBy("id", "no").agg(F.collect_set("gram").alias("grams")), "repeated")
+              .select("id", "no", F.inline("anchors")))
+    # An anchor's shards are told by a mask on the hashes of its windows.
+    mask = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.col("n") / SHARD, F.lit(1.0))))).cast("long") - 1
+    again = scratch.save(places.withColumn("n", F.sum("times").over(Window.partitionBy("gram"))).where("n > 1")
+                         .groupBy("id", "no").agg(F.collect_list(F.struct("gram", mask.alias("mask"))).alias("grams")), "repeated")
     runs = first_places(candidate_windows(_with_texts(again, docs), width))
     hits = scratch.save(runs.groupBy("id", "no").agg(F.collect_list(
         F.struct("start", "n", "ref_id", "ref_no", "ref_start")).alias("found")), "hits")

@@ -172,6 +172,27 @@ def test_windows_that_agree_in_half_their_hash_are_no_repeat(spark):
     assert {r.id: r.n_removed for r in out.collect()} == dict.fromkeys(range(len(rows)), 0)
 
 
+def test_a_common_anchor_is_dealt_to_many_shards(docs, rows, spark, monkeypatch):
+    """A passage that very many documents share: its windows, and those that
+    straddle its edges, spread over shards that hold few of them each."""
+    monkeypatch.setattr(substring, "SHARD", 8)
+    shared = "the one passage that every site of this corpus prints below each of its own stories without any change to it".split()
+    many = [(k, " ".join([f"a{k}x{j}" for j in range(25)] + shared + [f"b{k}x{j}" for j in range(25)])) for k in range(300)]
+    found, first = [], substring.first_places
+    monkeypatch.setattr(substring, "first_places", lambda df: (found.append(df), first(df))[1])
+    out, _ = substring.parse(spark.createDataFrame(many, "doc_id long, text string"))
+    assert {r.id: (r.n_words, r.n_removed, r.sha.hex()) for r in out.collect()} == brute_repeats(many, 20)
+    held = {}  # distinct windows that a shard remembers
+    for r in found[0].collect():
+        held.setdefault((r.gram, r.shard), set()).update(r.windows[k:k + 8] for k in range(0, len(r.windows), 8))
+    assert max(Counter(g for g, _ in held).values()) >= 16
+    assert max(map(len, held.values())) <= 8 * 15
+    out, _ = substring.parse(docs)
+    assert {r.id: (r.n_words, r.n_removed, r.sha.hex()) for r in out.collect()} == brute_repeats(rows, 20)
+    keys = [(r.gram, r.shard, r.id, r.no) for r in found[1].collect()]
+    assert len(keys) == len(set(keys))  # a text that repeats a few words ships no row for each time
+
+
 def encoded(rows):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
