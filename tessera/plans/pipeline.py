@@ -205,7 +205,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     wh = Warehouse(spark, warehouse, grain)
     bad = bronze.rejects(raw)  # cells that do not parse: kept aside, each build anew
     if bad is not None:
-        bad.coalesce(1).write.mode("overwrite").parquet(f"{wh.root.rstrip('/')}/_rejects/bronze")
+        bad.write.mode("overwrite").parquet(f"{wh.root.rstrip('/')}/_rejects/bronze")
     chosen = downstream(select) if select else set(SPECS)
     missing = [i for n in chosen for i in SPECS[n].inputs
                if i in SPECS and i not in chosen and wh.read(i) is None]

@@ -93,3 +93,17 @@ def test_select_builds_only_downstream_models(spark):
     assert {t["model"] for t in out["tests"]} <= pipeline.downstream(["base_orders"])
     members = first["warehouse"].table("stg_members")
     assert members.current_version() == first["versions"]["stg_members"]  # untouched
+
+
+def test_rejects_are_written_by_the_tasks_that_scan(spark, monkeypatch):
+    """Bad cells of several partitions: no single task reads the raw tables."""
+    monkeypatch.setattr(pipeline, "LAYERS", ())
+    root = scratch_dir(spark, "t-pipeline-rejects")
+    raw = raw_tables(spark, SMALL)
+    status = raw["order_status_raw"]
+    bad = status.limit(40).withColumn("statustimestamp", F.lit("no time")).repartition(4)
+    raw["order_status_raw"] = status.unionByName(bad)
+    pipeline.build(spark, raw, root)
+    rejects = spark.read.parquet(f"{root}/_rejects/bronze")
+    assert rejects.where("cell = 'no time'").count() == 40
+    assert len(rejects.inputFiles()) >= 4
