@@ -45,7 +45,7 @@ PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 PHONE_LOOSE = r"(?<![0-9+A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 EMAIL_LOOSE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}+ ?(?:[\[(]dot[\])]|\.) ?[A-Za-z]{2,24}+"
 SECRET = (r"(?<=[\"'])(?<=(?:token|secret|password|passwd|pwd|api_?key|access_?key)[\"']?\s{0,3}[:=]\s{0,3}[\"'])"
-          r"[^\s\"']{8,512}+")
+          r"[^\s\"']{8,}+")
 
 # Gazetteers and context words (fixed values).
 TLDS = "com|org|net|edu|gov|info|io|de|fr|es|uk|it|nl|eu|ch|at|us|ca"

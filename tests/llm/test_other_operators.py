@@ -188,6 +188,13 @@ def test_personal_data(spark, private):
     assert pii.without_personal_data(df.limit(0)).count() == 0
 
 
+def test_long_secrets_are_masked_whole(spark):
+    rows = [(k, f'my token = "a{k:02d}f9e8d7c6b5a4938271605f" ok') for k in range(30)]
+    rows += [(100 + n, 'my token = "' + "aB3x" * (n // 4) + '" ok') for n in (600, 2000, 1_000_000)]
+    out = pii.detect(spark.createDataFrame(rows, "doc_id long, text string"), keep_text=True)
+    assert {r[0] for r in out.select(pii.masked("text", "spans")).collect()} == {'my token = "<SECRET>" ok'}
+
+
 def test_reliabilities_are_recovered():
     """Votes drawn from labelers of known accuracy; EM ranks them."""
     rng = np.random.default_rng(3)
