@@ -11,8 +11,10 @@ from each of its pages.
 Copies of a page count once.  Hosts with fewer than ``MIN_PAGES`` distinct
 pages say nothing about entropy.  Styles also carry a prior: navigation,
 headers, footers, forms and the like have importance 0 by their tag, role or
-class; ``article`` and ``main`` have importance 1, so titles that many pages
-share stay, and beside them only they count as the page's content.
+class.  Low branches inside ``article`` and ``main`` are removed too, but for
+headings, so titles that many pages share stay.  ``article`` and ``main`` are
+the page's content unless, on a host with known entropies, more of the page's
+text that is left (links aside) is beside them: then all that is left is.
 
 Counts per (host, path, value) are aggregated before they are shuffled, so a
 host with a third of all pages is no hot task.  A null, empty or broken html
@@ -72,9 +74,11 @@ def style(tag: str, classes: str, role: str, ident: str) -> tuple[str, bool]:
 class Page(HTMLParser):
     """One pass over a page: its kept text, and the style nodes it has."""
 
-    def __init__(self, low: frozenset[str] = frozenset()):
+    def __init__(self, low: frozenset[str] | None = None):
+        """``low``: the low branches of the page's host, None if not known."""
         super().__init__(convert_charrefs=True)
-        self.low = low
+        self.low, self.known = low or frozenset(), low is not None
+        self.inside = self.beside = 0  # characters of kept text in and beside article and main, without links
         # tag, path, dropped, inside main, inside a header of main, children, own text
         self.stack: list[tuple] = [("", "", False, False, False, [], [])]
         self.nodes: dict[str, tuple[list, list]] = {}
@@ -109,10 +113,11 @@ class Page(HTMLParser):
         path = f"{path}/{key}"
         if main and tag == "header":  # the article's own header: its headings stay
             noise, head = False, True
-        is_main = tag in MAIN_TAGS and not noise and not dropped
+        low = path in self.low and not head and not (main and tag in HEADINGS)
+        is_main = tag in MAIN_TAGS and not noise and not dropped and not low
         self.has_main |= is_main
         main = main or is_main
-        drop = dropped or noise or (path in self.low and not main) or (head and tag not in HEADINGS and tag != "header"
+        drop = dropped or noise or low or (head and tag not in HEADINGS and tag != "header"
                                                                         and tag not in INLINE and tag not in ("div", "hgroup"))
         self.stack.append((tag, path, drop, main, head, [], []))
 
@@ -138,6 +143,9 @@ class Page(HTMLParser):
         self.all.append(data)
         if main:
             self.main.append(data)
+        if not any(x[0] == "a" for x in self.stack):
+            size = sum(map(len, data.split()))
+            self.inside, self.beside = self.inside + size * main, self.beside + size * (not main)
 
     def _break(self):
         self.all.append(" ")
@@ -155,10 +163,11 @@ class Page(HTMLParser):
         self._pop(1)
 
     def text(self) -> str:
-        return " ".join("".join(self.main if self.has_main else self.all).split())
+        only_main = self.has_main and not (self.known and self.beside > self.inside)
+        return " ".join("".join(self.main if only_main else self.all).split())
 
 
-def read(html: str | None, low: frozenset[str] = frozenset()) -> Page:
+def read(html: str | None, low: frozenset[str] | None = None) -> Page:
     page = Page(low)
     page.feed(html or "")
     page.close()
@@ -217,8 +226,9 @@ def main_text(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html")).withColumn("host", host())
     tree = importance(style_nodes(pages.select("host", "html")))
-    low = scratch.save(tree.where((F.col("importance") < LOW) & (F.col("n") >= MIN_PAGES))
-                       .groupBy("host").agg(F.collect_list("path").alias("low")), "low")
+    # One row per host with known entropies, even if it has no low branches.
+    low = scratch.save(tree.where(F.col("n") >= MIN_PAGES).groupBy("host").agg(
+        F.collect_list(F.when(F.col("importance") < LOW, F.col("path"))).alias("low")), "low")
     size = low.agg(F.sum(F.length(F.array_join("low", " ")) + F.length("host"))).first()[0] or 0
     if size <= BROADCAST_CHARS:
         low = F.broadcast(low)
@@ -226,11 +236,11 @@ def main_text(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
-                lows = [frozenset(x or ()) for x in part.column("low").to_pylist()]
+                lows = [None if x is None else frozenset(x) for x in part.column("low").to_pylist()]
                 text = [read(h, x).text() for h, x in zip(part.column("html").to_pylist(), lows)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(text, pa.string()),
-                     pa.array(list(map(len, text)), pa.int64()), pa.array(list(map(len, lows)), pa.int64())],
+                     pa.array(list(map(len, text)), pa.int64()), pa.array([len(x or ()) for x in lows], pa.int64())],
                     ["page_id", "url", "text", "n_chars", "low_branches"])
 
     return (pages.join(low, "host", "left").select("page_id", "url", "html", "low")

@@ -44,6 +44,20 @@ def test_site_branches_that_repeat_are_removed(spark):
     assert html_main.main_text(df.limit(0)).count() == 0
 
 
+def test_the_style_tree_counts_inside_and_beside_articles(spark):
+    """A box that repeats in every article goes, a title that repeats stays;
+    a story beside teasers in <article> is content."""
+    pages = [(k, f"http://a.example/{k}", f"<body><article><h1>Daily news</h1><p>Story {k} {k * 7}</p>"
+              f"<div class=q7><h3>Like it?</h3><p>Get our letter</p></div></article></body>") for k in range(12)]
+    pages += [(100 + k, f"http://b.example/{k}", f"<body><div class=post><p>A long story of {k} and {k * 3} words</p></div>"
+               f"<article><a href=/x>Teaser {k} with many more words than all of the story beside it</a> New</article></body>") for k in range(12)]
+    pages += [(200, "http://c.example/", pages[15][2])]  # a lone page: the tag decides
+    got = {r.page_id: r.text for r in html_main.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Daily news Story 3 21"
+    assert got[103].startswith("A long story of 3 and 9 words")
+    assert got[200].startswith("Teaser 3")
+
+
 # ---------------------------------------------------------------- embeddings
 
 def brute_links(rows, cosine):
