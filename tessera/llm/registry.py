@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, chat, forest, html_main, minhash, oracles, packing, pii, quality_rules, records, substring
+from tessera.llm import (bpe, centroids, chat, forest, html_main, minhash, oracles, packing, pii, quality_rules, ranked_search, records,
+                         substring, url_rules)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +22,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_records": records.op4_records,
         "op6_bpe": bpe.op6_bpe,
         "op10_packing": packing.op10_packing,
+        "op11_url_rules": url_rules.op11_url_rules,
+        "op12_nra": ranked_search.op12_nra,
+        "op13_centroids": centroids.op13_centroids,
     }
 
 
 def oracle() -> dict[str, str]:
-    return {"op2_forest": oracles.OP2, "op3_chat": chat.ORACLE, "op7_substring": oracles.OP7, "op9_minhash": oracles.OP9}
+    return {"op2_forest": oracles.OP2, "op3_chat": chat.ORACLE, "op7_substring": oracles.OP7, "op9_minhash": oracles.OP9,
+            "op11_url_rules": url_rules.ORACLE, "op12_nra": ranked_search.ORACLE, "op13_centroids": centroids.ORACLE}

@@ -97,11 +97,12 @@ class Words:
         return segment_hash(self.data, self.start, self.end)
 
 
-def find_words(col: pa.Array, lower: bool = False) -> Words:
+def find_words(col: pa.Array, lower: bool = False, gap: np.ndarray = SPACE) -> Words:
+    """The words of all texts; ``gap`` says which bytes stand between words."""
     data, off = text_bytes(col)
     if lower:
         data = LOWER[data]
-    word = ~SPACE[data]
+    word = ~gap[data]
     full = off[:-1] < off[1:]
     begin, last = word.copy(), word.copy()
     begin[1:] &= ~word[:-1]
