@@ -9,7 +9,8 @@ does not depend on how the rows are dealt to tasks.
   centroid a step, and computes the whole distance of a centroid when it first
   meets it.  A centroid that was met nowhere is at least as far, in every
   dimension, as the frontier; once the sum of squared frontier distances is
-  strictly greater than the best distance none of them can win or tie.
+  strictly greater than the best distance none of them can win or tie.  A vector
+  that has met all centroids stops too.
 * A round broadcasts the centroids (``k`` x ``dim`` numbers, whatever the rows)
   and adds up each task's vectors by centroid; Spark sums those partial sums,
   of which ``k`` x ``dim`` rows reach the driver for the new means.  No group of
@@ -83,7 +84,7 @@ class SortedCentroids:
             wins = (dist < best[row]) | ((dist == best[row]) & (new < which[row]))
             best[row[wins]], which[row[wins]] = dist[wins], new[wins]
             left, right = left - go_left, right + ~go_left
-            walks = (frontier ** 2).sum(axis=1) <= best[at]
+            walks = ((frontier ** 2).sum(axis=1) <= best[at]) & ~met[at].all(axis=1)
             at, left, right = at[walks], left[walks], right[walks]
         return which, best, steps
 
