@@ -74,7 +74,8 @@ def main(argv: list[str] | None = None) -> int:
     try:
         out = pipeline.build(spark, raw, args.warehouse, full_refresh=args.full_refresh,
                              fail_on_error=not args.no_fail, grain=args.grain,
-                             select=args.select.split(",") if args.select else None)
+                             select=args.select.split(",") if args.select else None,
+                             raw_versions=pipeline.lake_versions(spark, args.lake))
     except DataQualityError as ex:
         print(str(ex), file=sys.stderr)
         return 1

@@ -228,7 +228,10 @@ class DataQualityError(RuntimeError):
 
 def enforce(summary: DataFrame, fail_on: Sequence[str] = ("error",)) -> list[dict]:
     """Collect the (bounded: one row per test) summary; raise on failing errors."""
-    rows = [r.asDict() for r in summary.collect()]
+    return enforce_rows([r.asDict() for r in summary.collect()], fail_on)
+
+
+def enforce_rows(rows: list[dict], fail_on: Sequence[str] = ("error",)) -> list[dict]:
     for r in rows:
         if r["failures"] and r["severity"] not in fail_on:
             logging.getLogger(__name__).warning(

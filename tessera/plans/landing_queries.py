@@ -169,3 +169,32 @@ def q_pipeline_incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame
     pipeline.build(spark, dict(raw, orders_raw=raw_orders_revision(spark, sf_dir)), root,
                    fail_on_error=False)
     return pipeline.Warehouse(spark, root).read("build_orders").drop("insert_date")
+
+
+_AFTER_DELIVERIES: dict[tuple[str, str], str] = {}
+
+
+def _after_deliveries(spark: SparkSession, sf_dir: str) -> str:
+    """A warehouse after three orders deliveries, the last two of which change
+    dates, stores and totals of earlier orders; built once per application."""
+    from tessera.plans import pipeline
+    from tessera.sources.testdata import raw_orders_relocation, raw_orders_revision
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _AFTER_DELIVERIES:
+        root = scratch_dir(spark, "deliveries")
+        raw = raw_tables(spark, sf_dir)
+        first = raw["orders_raw"].where(F.col("orderdate") < F.lit("2000-01-01").cast("date"))
+        for day, orders in enumerate((first, raw_orders_revision(spark, sf_dir), raw_orders_relocation(spark, sf_dir))):
+            states = {t: "first" for t in raw} | {"orders_raw": f"day-{day}"}
+            pipeline.build(spark, dict(raw, orders_raw=orders), root, fail_on_error=False, raw_versions=states)
+        _AFTER_DELIVERIES[key] = root
+    return _AFTER_DELIVERIES[key]
+
+
+def incremental_mart(name: str, columns: list[str] | None = None):
+    """The stored mart after the deliveries, kept up to date by retraction."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tessera.plans import pipeline
+        df = pipeline.Warehouse(spark, _after_deliveries(spark, sf_dir)).read(name)
+        return df.select(*columns) if columns else df
+    return run

@@ -31,6 +31,11 @@ def mart_popular_items(build_orders: DataFrame, build_order_items: DataFrame) ->
     # The month is truncated once per order and labelled once per result row.
     counts = (o.select("orderid", month_start("orderdate").alias("_month")).join(i, "orderid")
                .groupBy("_month", "itemname").agg(F.count(F.lit(1)).alias("order_count")))
+    return popular_items_of(counts)
+
+
+def popular_items_of(counts: DataFrame) -> DataFrame:
+    """The mart from ``_month``, ``itemname``, ``order_count``."""
     ranked = rank_top_bottom(counts, ["_month"], "order_count", 2, 2,
                              "most_popular_rank", "least_popular_rank")
     most, least = F.col("most_popular_rank"), F.col("least_popular_rank")
@@ -47,6 +52,11 @@ def mart_spending_members(build_orders: DataFrame) -> DataFrame:
     monthly = (build_orders.where(F.col("membername").isNotNull())
                .groupBy(month_start("orderdate").alias("month"), "membername")
                .agg(F.sum("total").cast(MONEY_SUM).alias("total_spent")))
+    return spending_members_of(monthly)
+
+
+def spending_members_of(monthly: DataFrame) -> DataFrame:
+    """The mart from ``month``, ``membername``, ``total_spent``."""
     ranked = rank_top_bottom(monthly, ["month"], "total_spent", 1, 1,
                              "highest_rank", "lowest_rank")
     label = (F.when(F.col("highest_rank") == 1, SPENDING_LABELS[0])
@@ -66,17 +76,26 @@ def mart_order_processing_times(build_orders: DataFrame,
     are left out.  The mean is exact: an integer microsecond sum (DECIMAL, no
     overflow) over the count.
     """
+    o = build_orders.select("orderid", "storeid")
+    per_store = (o.join(delivery_micros(build_order_status), "orderid")
+                  .groupBy("storeid")
+                  .agg(F.sum("micros").alias("_sum_us"), F.count(F.lit(1)).alias("_n")))
+    return processing_times_of(per_store)
+
+
+def delivery_micros(build_order_status: DataFrame) -> DataFrame:
+    """Per order with both statuses: first Submitted to first Delivered."""
     s = build_order_status
     per_order = (s.where(F.col("status").isin("Submitted", "Delivered"))
                   .groupBy("orderid")
                   .agg(F.min(F.when(s.status == "Submitted", s.statustimestamp)).alias("submitted_time"),
                        F.min(F.when(s.status == "Delivered", s.statustimestamp)).alias("delivered_time"))
                   .where(F.col("submitted_time").isNotNull() & F.col("delivered_time").isNotNull()))
-    o = build_orders.select("orderid", "storeid")
-    per_store = (o.join(per_order, "orderid")
-                  .groupBy("storeid")
-                  .agg(F.sum(micros_between("submitted_time", "delivered_time")).alias("_sum_us"),
-                       F.count(F.lit(1)).alias("_n")))
+    return per_order.select("orderid", micros_between("submitted_time", "delivered_time").alias("micros"))
+
+
+def processing_times_of(per_store: DataFrame) -> DataFrame:
+    """The mart from ``storeid``, ``_sum_us``, ``_n``."""
     avg_us = F.col("_sum_us") / F.col("_n")
     return per_store.select(
         "storeid",

@@ -226,6 +226,30 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY orderid ORDER BY orderdate DESC
       FROM inc_new WHERE orderid IS NOT NULL) WHERE rn = 1""",
 }
 
+#: The delivery after the revision, merged into what the revision left.
+RELOCATION = {
+    "relocation": """
+SELECT CAST(o_orderkey AS VARCHAR) AS orderid,
+       CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE '' END || CAST(o_custkey AS VARCHAR) AS memberid,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'T' || CAST(o_orderkey % 7 AS VARCHAR)
+            ELSE 'S' || CAST(o_orderkey % 20 AS VARCHAR) END AS storeid,
+       CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS campaignid,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(CAST(o_orderdate AS DATE) + INTERVAL 120 MONTH AS DATE)
+            ELSE CAST(o_orderdate AS DATE) END AS orderdate,
+       CAST(o_totalprice AS DECIMAL(10,2)) AS subtotal,
+       CASE WHEN o_orderkey % 20 <> 3 THEN CAST(CAST(o_totalprice + 2 AS DECIMAL(12,2)) AS DECIMAL(10,2)) END AS total,
+       'orders_relocation.csv' AS source_name
+FROM orders""",
+    "revised": """
+SELECT * FROM inc_target_stg t WHERE NOT EXISTS (SELECT 1 FROM inc_changes c WHERE c.orderid = t.orderid)
+UNION ALL SELECT * FROM inc_changes""",
+    "relocated": """
+SELECT * FROM relocation WHERE orderdate >= (SELECT MAX(orderdate) FROM revised)""",
+    "stg_orders": """
+SELECT * FROM revised t WHERE NOT EXISTS (SELECT 1 FROM relocated c WHERE c.orderid = t.orderid)
+UNION ALL SELECT * FROM relocated""",
+}
+
 LANDING = {
     "delivered_orders": """
 SELECT CASE WHEN o_orderstatus <> 'P' OR o_orderpriority <> '1-URGENT' THEN CAST(o_orderkey AS VARCHAR) END AS orderid, CAST(o_custkey AS VARCHAR) AS memberid,
@@ -257,5 +281,12 @@ def with_models(final_select: str) -> str:
     return f"WITH {ctes}\n{final_select.strip()}"
 
 
+def after_deliveries(name: str, columns: str = "*") -> str:
+    """A mart over the orders as three deliveries have left them."""
+    ctes = {**RAW, **BRONZE, **INCREMENTAL, **{k: v for k, v in SILVER.items() if k != "stg_orders"}, **RELOCATION, **GOLD, **MARTS}
+    body = ",\n".join(f"{n} AS ({sql.strip()})" for n, sql in ctes.items())
+    return f"WITH {body}\nSELECT {columns} FROM {name}"
+
+
 def model_select(name: str, columns: str = "*") -> str:
     return with_models(f"SELECT {columns} FROM {name}")

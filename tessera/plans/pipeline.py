@@ -1,4 +1,5 @@
-"""Build the 20 models as materialised tables, layer by layer.
+"""Build the 20 models as materialised tables, layer by layer: write, audit,
+publish.
 
 Each model reads the *written* versions of its inputs, so every layer cuts
 the lineage (a lost executor recomputes at most one model's stages, from
@@ -6,17 +7,27 @@ Parquet).  Full-refresh models are :class:`SnapshotTable`s (a new version
 folder per build) under ``<warehouse>/<layer>/``.  The three order models
 are incremental :class:`PartitionedTable`s partitioned by year: on later
 runs only input rows at or after the table's high-water mark are
-transformed, then merged on orderid by rewriting just the affected years.
+transformed, then merged on orderid, touching just the affected years.
 The high-water predicate carries a year predicate too, so earlier years are
 pruned at scan time.
 
-After each layer its declared data tests run on the written tables: bronze
-tests warn, silver and gold tests fail the build (stopping dependants)
-unless ``fail_on_error=False``.
+What a layer's models write stays unseen until its declared data tests have
+passed on it: bronze tests warn, silver and gold tests fail the build (stopping
+dependants) unless ``fail_on_error=False``.  Then one commit in
+``<warehouse>/_published`` names the new version of each of them, so readers
+see a layer change at once, and after a failed build what they saw before.
+
+A commit also records what each model was built from.  A model whose inputs
+have not changed is not built again, and a test whose tables have not changed
+keeps its result.  A mart whose only change is a merge into ``build_orders``
+takes the old rows of the changed orders out of its state and adds the new ones
+(:mod:`tessera.plans.mart_states`), whatever the size of the orders table.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -25,7 +36,11 @@ from pyspark.sql import functions as F
 
 from tessera.operators import incremental as inc
 from tessera.operators import quality as dq
+from tessera.operators import retraction as rt
 from tessera.plans import bronze, gold, marts, silver
+from tessera.plans.mart_states import STATES
+from tessera.session import scratch_dir
+from tessera.sources.commits import CommitLog
 from tessera.sources.partitioned import PartitionedTable
 from tessera.sources.snapshots import SnapshotTable
 
@@ -73,6 +88,9 @@ GRAINS = {
 }
 
 
+STATE_PART = "state_part"
+
+
 def _grain_value(grain: str, day) -> int:
     return day.year if grain == "year" else day.year * 100 + day.month
 
@@ -87,6 +105,11 @@ class Warehouse:
     root: str
     grain: str = "year"
     tables: dict = field(default_factory=dict)
+    staged: dict = field(default_factory=dict)  # versions written by a build that are not published yet
+    pinned: dict | None = None                  # the commit that a build works on
+
+    def __post_init__(self):
+        self.log = CommitLog(self.spark, self.root, "_published")
 
     @property
     def part_col(self) -> str:
@@ -97,15 +120,42 @@ class Warehouse:
 
     def table(self, name: str):
         if name not in self.tables:
-            spec = SPECS[name]
-            path = f"{self.root.rstrip('/')}/{spec.layer}/{name}"
+            path = f"{self.root.rstrip('/')}/{SPECS[name].layer}/{name}"
             self.tables[name] = (PartitionedTable(self.spark, path, self.part_col, self._derive)
-                                 if spec.date_partitioned else SnapshotTable(self.spark, path))
+                                 if SPECS[name].date_partitioned else SnapshotTable(self.spark, path))
         return self.tables[name]
 
+    def state_table(self, name: str):
+        """The state of a mart, partitioned as the orders are where its ranks
+        are by month."""
+        key = f"{name}__state"
+        if key not in self.tables:
+            path = f"{self.root.rstrip('/')}/states/{name}"
+            month = STATES[name].month
+            self.tables[key] = SnapshotTable(self.spark, path) if month is None else PartitionedTable(
+                self.spark, path, STATE_PART, lambda df: df.withColumn(STATE_PART, GRAINS[self.grain][1](F.col(month))))
+        return self.tables[key]
+
+    def published(self) -> dict:
+        """What the last commit names: versions of the models and their states,
+        what they were built from, and test results."""
+        if self.pinned is not None:
+            return self.pinned
+        n = self.log.latest()
+        return {} if n is None else self.log.read(n)
+
+    def version(self, name: str) -> int | None:
+        """The staged version in a build, else the published one."""
+        if name in self.staged:
+            return self.staged[name]
+        return self.published().get("models", {}).get(name)
+
     def read(self, name: str) -> DataFrame | None:
-        df = self.table(name).read()
-        return None if df is None else (df.drop(self.part_col) if SPECS[name].date_partitioned else df)
+        version = self.version(name)
+        if version is None:
+            return None
+        df = self.table(name).read(version)
+        return df.drop(self.part_col) if SPECS[name].date_partitioned else df
 
     def high_water(self, name: str):
         """``MAX(orderdate)`` of a model table.  For the date-partitioned order
@@ -114,9 +164,10 @@ class Warehouse:
         their partition value)."""
         if not SPECS[name].date_partitioned:
             return inc.high_water(self.read(name), "orderdate")
-        df = self.table(name).read()
-        if df is None:
+        version = self.version(name)
+        if version is None:
             return None
+        df = self.table(name).read(version)
         top = df.agg(F.max(self.part_col).alias("p")).first()["p"]
         if top is None:
             return None
@@ -124,7 +175,7 @@ class Warehouse:
 
     def read_since(self, name: str, hw) -> DataFrame:
         """Rows of ``name`` with orderdate >= hw, pruning earlier partitions."""
-        df = self.table(name).read()
+        df = self.table(name).read(self.version(name))
         if hw is not None and SPECS[name].date_partitioned:
             df = df.where((F.col(self.part_col) >= F.lit(_grain_value(self.grain, hw)))
                           & (F.col("orderdate") >= F.lit(hw)))
@@ -133,43 +184,119 @@ class Warehouse:
         return df.drop(self.part_col) if SPECS[name].date_partitioned else df
 
 
-def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str,
-                full_refresh: bool = False, keep_versions: int = 2):
-    """Build one model; returns its new version (snapshot tables) or the
-    rewritten partitions (incremental order tables)."""
+def build_model(wh: Warehouse, raw: dict[str, DataFrame], name: str, run_id: str, built_from: dict | None = None,
+                full_refresh: bool = False) -> tuple[dict[str, int], object]:
+    """Write one model; returns the versions written (of its state too) and
+    what to report: the version, or the rewritten partitions of an order table.
+
+    ``built_from`` has the input versions of the model's published version."""
     spec = SPECS[name]
     # label this thread's jobs in the event log / history server
     wh.spark.sparkContext.setLocalProperty("spark.job.description", f"build {spec.layer}.{name}")
-    table = wh.table(name)
-    target = None if full_refresh else wh.read(name)
+    table, now = wh.table(name), wh.version(name)
 
     def source(i: str, hw=None) -> DataFrame:
         if i in raw:
             return raw[i] if hw is None else inc.since(raw[i], "orderdate", hw)
         return wh.read(i) if hw is None else wh.read_since(i, hw)
 
-    if spec.incremental and target is not None:
+    if name in STATES:
+        return build_mart(wh, name, None if full_refresh else built_from)
+    if spec.incremental and now is not None and not full_refresh:
         hw = wh.high_water(name)
         first, *rest = spec.inputs
         if first in raw:  # rows below the mark are skipped: record how many
             (inc.load_metrics(raw[first], "orderdate", hw)
-             .select(F.lit(name).alias("model"), "*", F.current_timestamp().alias("run_at"))
-             .write.mode("append").parquet(f"{wh.root.rstrip('/')}/_metrics/incremental_loads"))
+             .select(F.lit(name).alias("model"), "*", F.current_timestamp().alias("run_at"), F.lit(run_id).alias("build_run"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("build_run", "model")
+             .parquet(f"{wh.root.rstrip('/')}/_metrics/incremental_loads"))
         new = spec.fn(source(first, hw), *[source(i) for i in rest])
-        return {"rewritten_partitions": table.merge(new, "orderid", "orderdate")}
+        touched = table.merge(new, "orderid", "orderdate", base=now)
+        return {name: table.current_version()}, {"rewritten_partitions": touched}
     result = spec.fn(*[source(i) for i in spec.inputs])
     if isinstance(table, PartitionedTable):
-        table.overwrite(result)
-        return {"rewritten_partitions": "all"}
+        return {name: table.overwrite(result)}, {"rewritten_partitions": "all"}
     version = table.write(result)
-    table.vacuum(keep=keep_versions)
-    return version
-
-
-def run_layer_tests(wh: Warehouse, layer: str, models: set[str] | None = None) -> DataFrame | None:
-    checks = [c for c in dq.DECLARED_CHECKS
-              if c.layer == layer and (models is None or c.model in models)]
-    return dq.run_checks(wh.read, checks) if checks else None
+    return {name: version}, version
+
+
+def build_mart(wh: Warehouse, name: str, built_from: dict | None) -> tuple[dict[str, int], int]:
+    """A mart and its state, by the changes of ``build_orders`` where those
+    are all that has changed, else from all orders."""
+    mart, (orders, *rest) = STATES[name], SPECS[name].inputs
+    states, table = wh.state_table(name), wh.table(name)
+    state_now, mart_now = wh.version(f"{name}__state"), wh.version(name)
+    others = [wh.read(i) for i in rest]
+    changes = None
+    if built_from and state_now is not None and mart_now is not None and all(built_from.get(i) == wh.version(i) for i in rest):
+        changes = wh.table(orders).changes(built_from[orders], wh.version(orders))
+    if changes is None:
+        fresh = mart.state(wh.read(orders), *others)
+        version = states.overwrite(fresh) if mart.month else states.write(fresh)
+        out = mart.result(_state_rows(states, version, mart))
+    else:
+        delta = mart.state(changes, *others)
+        if mart.month is None:
+            version = states.write(rt.fold(states.read(state_now), delta, mart.keys))
+            out = mart.result(states.read(version))
+        else:
+            version, out = _fold_months(wh, mart, states, state_now, delta, table.read(mart_now))
+    version_of_mart = table.write(out)
+    return {name: version_of_mart, f"{name}__state": version}, version_of_mart
+
+
+def _state_rows(states, version: int, mart) -> DataFrame:
+    df = states.read(version)
+    return df if mart.month is None else df.drop(STATE_PART)
+
+
+def _fold_months(wh: Warehouse, mart, states: PartitionedTable, state_now: int, delta: DataFrame,
+                 shown_now: DataFrame) -> tuple[int, DataFrame]:
+    """Fold ``delta`` into the partitions of its months; rank those months
+    again and keep what the mart shows of the others."""
+    path = f"{scratch_dir(wh.spark, 'mart-delta')}/rows"  # bounded by the changed orders; read twice
+    delta.write.parquet(path)
+    delta = wh.spark.read.parquet(path)
+    month = F.col(mart.month)
+    touched = delta.select(month, mart.label(mart.month).alias("label"), GRAINS[wh.grain][1](month).alias("part")).distinct().collect()
+    if not touched:
+        return state_now, shown_now
+    parts = list({r["part"]: r["part"] for r in touched}.values())
+    before = states.read(state_now).where(states._in(parts)).drop(STATE_PART)
+    version = states.replace(rt.fold(before, delta, mart.keys), parts, base=state_now)
+    months = [r[0] for r in touched if r[0] is not None]
+    undated = len(months) < len(touched)
+    due = month.isin(months) if months else F.lit(False)
+    due = due | month.isNull() if undated else due
+    again = states.read(version).where(states._in(parts)).drop(STATE_PART).where(due)
+    labels, shown = [r["label"] for r in touched if r[0] is not None], F.col(mart.shown_as)
+    gone = F.when(shown.isNull(), F.lit(undated)).otherwise(shown.isin(labels) if labels else F.lit(False))
+    return version, shown_now.where(~gone).unionByName(mart.result(again))
+
+
+def layer_checks(layer: str, models: set[str] | None = None) -> list[dq.Check]:
+    return [c for c in dq.DECLARED_CHECKS if c.layer == layer and (models is None or c.model in models)]
+
+
+def run_tests(wh: Warehouse, checks: list[dq.Check], known: dict) -> tuple[list[dict], dict]:
+    """The summary rows of ``checks`` and what to record of them.  A check is
+    run only if a version that it reads is not the one of its known result."""
+    def reads(c: dq.Check) -> list:
+        return [wh.version(c.model)] + ([wh.version(c.args["to"])] if c.test == "relationships" else [])
+
+    def key(c: dq.Check) -> str:
+        return f"{c.model}.{c.test}.{c.column}"
+
+    due = [c for c in checks if known.get(key(c), {}).get("reads") != reads(c)]
+    ran = {(r["model"], r["test_name"], r["column_name"]): r["failures"] for r in
+           (r.asDict() for r in dq.run_checks(wh.read, due).collect())} if due else {}
+    rows, record = [], {}
+    for c in checks:
+        failures = ran[(c.model, c.test, c.column)] if c in due else known[key(c)]["failures"]
+        record[key(c)] = {"reads": reads(c), "failures": failures}
+        rows.append({"layer": c.layer, "model": c.model, "test_name": c.test, "column_name": c.column,
+                     "severity": c.severity, "failures": failures})
+    return rows, record
 
 
 def downstream(selected: list[str]) -> set[str]:
@@ -190,41 +317,87 @@ def downstream(selected: list[str]) -> set[str]:
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
           full_refresh: bool = False, fail_on_error: bool = True, threads: int = 4,
-          grain: str = "year", select: list[str] | None = None) -> dict:
+          grain: str = "year", select: list[str] | None = None,
+          raw_versions: dict[str, str] | None = None, run_id: str | None = None, keep_versions: int = 2) -> dict:
     """Build every layer; returns model versions and the data-test summary.
 
     Models of one layer depend only on earlier layers, so they are submitted
     as concurrent Spark jobs (``threads`` at a time) and share the cluster;
     layers run in order, each followed by the data tests of the models it
-    built.  ``select`` builds only the named models and everything
-    downstream of them (e.g. ``["base_orders"]`` after an orders delivery);
-    the other models keep their current tables, which must exist.
+    built and, if they pass, by the commit that makes them current.
+
+    ``select`` builds only the named models and everything downstream of them
+    (e.g. ``["base_orders"]`` after an orders delivery); the other models keep
+    their current tables, which must exist.  ``raw_versions`` names the state of
+    the raw tables (for a lake, :func:`lake_versions`): models of which no input
+    has changed since their last build are left as they are.  A raw table that
+    it does not name counts as changed.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     wh = Warehouse(spark, warehouse, grain)
-    bad = bronze.rejects(raw)  # cells that do not parse: kept aside, each build anew
-    if bad is not None:
-        bad.write.mode("overwrite").parquet(f"{wh.root.rstrip('/')}/_rejects/bronze")
+    run_id = run_id or uuid.uuid4().hex
+    head = wh.log.latest()
+    entry = {"models": {}, "inputs": {}, "tests": {}, "rejects": None} | wh.published()
+    wh.pinned = entry
+    raw_versions = {t: (raw_versions or {}).get(t) or f"unknown-{run_id}" for t in raw}
+
+    seen = {t: raw_versions[t] for t in sorted(bronze.PARSED) if t in raw}
+    if entry["rejects"] != seen:
+        bad = bronze.rejects(raw)  # cells that do not parse: kept aside, written anew
+        if bad is not None:
+            bad.write.mode("overwrite").parquet(f"{wh.root.rstrip('/')}/_rejects/bronze")
+        entry["rejects"] = seen
     chosen = downstream(select) if select else set(SPECS)
     missing = [i for n in chosen for i in SPECS[n].inputs
-               if i in SPECS and i not in chosen and wh.read(i) is None]
+               if i in SPECS and i not in chosen and wh.version(i) is None]
     if missing:
         raise ValueError(f"inputs not built yet: {sorted(set(missing))}")
     versions, tests = {}, []
     for layer in LAYERS:
         names = [n for n, spec in SPECS.items() if spec.layer == layer and n in chosen]
-        for n in names:
-            wh.table(n)  # create table handles before the threads share them
+        inputs = {n: {i: raw_versions[i] if i in raw else wh.version(i) for i in SPECS[n].inputs} for n in names}
+        due = [n for n in names if full_refresh or wh.version(n) is None or entry["inputs"].get(n) != inputs[n]]
+        for n in due:  # create table handles before the threads share them
+            wh.table(n)
+
+        def one(n: str):
+            return n, build_model(wh, raw, n, run_id, entry["inputs"].get(n), full_refresh)
+
         if threads > 1:
             with ThreadPoolExecutor(max_workers=threads) as pool:
-                done = pool.map(lambda n: (n, build_model(wh, raw, n, full_refresh)), names)
-                versions.update(dict(done))
+                done = list(pool.map(one, due))
         else:
-            for n in names:
-                versions[n] = build_model(wh, raw, n, full_refresh)
-        summary = run_layer_tests(wh, layer, chosen)
-        if summary is not None:
-            rows = dq.enforce(summary, ("error",) if fail_on_error else ())
-            tests.extend(rows)
+            done = [one(n) for n in due]
+        for n, (written, report) in done:
+            wh.staged.update(written)
+            versions[n] = report
+        for n in names:
+            versions.setdefault(n, wh.version(n) if not SPECS[n].date_partitioned else {"rewritten_partitions": []})
+        rows, record = run_tests(wh, layer_checks(layer, chosen), entry["tests"])
+        tests.extend(dq.enforce_rows(rows, ("error",) if fail_on_error else ()))
+        if done:  # audited: publish
+            before = dict(entry["models"])
+            entry = {**entry, "models": entry["models"] | wh.staged, "inputs": entry["inputs"] | {n: inputs[n] for n in due},
+                     "tests": entry["tests"] | record}
+            head = wh.log.commit(head, entry)
+            wh.pinned = entry
+            for n in {n for _, (written, _) in done for n in written}:
+                kept = tuple(v for v in (before.get(n), entry["models"][n]) if v is not None)
+                wh.tables[n].vacuum(keep=keep_versions, protect=kept)
+    wh.staged.clear()
+    wh.pinned = None
     return {"versions": versions, "tests": tests, "warehouse": wh}
+
+
+def lake_versions(spark: SparkSession, lake: str) -> dict[str, str]:
+    """The state of each raw table of a lake: the load runs that it holds."""
+    from tessera.contracts import CONTRACTS
+    from tessera.sources.fs import HadoopFS
+    fs, out = HadoopFS(spark), {}
+    for table in CONTRACTS:
+        runs = sorted(p.rstrip("/").rsplit("ingest_run=", 1)[1] for p, is_dir in fs.list(f"{lake.rstrip('/')}/{table}")
+                      if is_dir and "ingest_run=" in p)
+        if runs:
+            out[table] = hashlib.sha256("\n".join(runs).encode()).hexdigest()
+    return out

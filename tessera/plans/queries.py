@@ -281,9 +281,18 @@ LEFT JOIN stg_marketing mk ON o.campaignid = mk.campaignid""")),
 }
 
 
+INCREMENTAL_MARTS = {
+    "mart_incremental_revenue": (lq.incremental_mart("mart_gross_revenue"), osql.after_deliveries("mart_gross_revenue")),
+    "mart_incremental_items": (lq.incremental_mart("mart_popular_items"), osql.after_deliveries("mart_popular_items")),
+    "mart_incremental_spending": (lq.incremental_mart("mart_spending_members"), osql.after_deliveries("mart_spending_members")),
+    "mart_incremental_times": (lq.incremental_mart("mart_order_processing_times", ["storeid", "avg_delivery_seconds"]),
+                               osql.after_deliveries("mart_order_processing_times", "storeid, avg_delivery_seconds")),
+}
+
+
 # ---------------------------------------------------------------- registry
 def _extra_registries() -> list[dict]:
-    return [DQ_QUERIES, INCREMENTAL_QUERIES, LANDING_QUERIES]
+    return [DQ_QUERIES, INCREMENTAL_QUERIES, INCREMENTAL_MARTS, LANDING_QUERIES]
 
 
 def queries() -> dict[str, QueryFn]:

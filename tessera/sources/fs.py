@@ -7,11 +7,15 @@ listings, one header line per input file, version markers.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
 class HadoopFS:
     def __init__(self, spark: SparkSession):
+        self._gateway = spark.sparkContext._gateway
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
@@ -73,6 +77,25 @@ class HadoopFS:
         finally:
             out.close()
 
+    def write_new(self, path: str, text: str) -> bool:
+        """Write a small file that must not exist yet: it appears whole, by a
+        rename that does not replace.  False if another writer was first."""
+        path_ = self._path(path)
+        part = f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}.part"
+        self.write_text(part, text)
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(path_.toUri(), self._conf)
+        rename = getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = self._gateway.new_array(rename, 1)
+        how[0] = rename.NONE
+        try:
+            context.rename(self._path(part), path_, how)
+        except Py4JJavaError as ex:
+            self.delete(part)
+            if "FileAlreadyExists" in str(ex.java_exception.getClass().getName()) or self.exists(path):
+                return False
+            raise
+        return True
+
     def read_text(self, path: str) -> str:
         stream = self._fs(path).open(self._path(path))
         try:

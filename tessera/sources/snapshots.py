@@ -72,9 +72,11 @@ class SnapshotTable:
             self.fs.write_text(f"{self.path(v)}/{SCHEMA_FILE}", df.schema.json())
         return v
 
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Delete all but the newest ``keep`` committed versions."""
-        old = self.versions()[:-keep] if keep > 0 else self.versions()
+    def vacuum(self, keep: int = 2, protect: tuple[int, ...] = ()) -> list[int]:
+        """Delete all but the newest ``keep`` committed versions and those of
+        ``protect``."""
+        versions = self.versions()
+        old = [v for v in (versions[:-keep] if keep > 0 else versions) if v not in protect]
         for v in old:
             self.fs.delete(self.path(v))
         return old

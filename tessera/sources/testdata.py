@@ -97,6 +97,24 @@ def raw_orders_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_lineage("orders_revision.csv"))
 
 
+def raw_orders_relocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery after the revision: urgent orders move ten years on and to
+    another store with a higher total; totals of store ``S3`` are blank."""
+    o = _table(spark, sf_dir, "orders")
+    urgent = o.o_orderpriority == "1-URGENT"
+    day = o.o_orderdate.cast("date")
+    return o.select(
+        o.o_orderkey.cast("string").alias("orderid"),
+        _member(o).alias("memberid"),
+        F.when(urgent, F.concat(F.lit("T"), (o.o_orderkey % 7).cast("string")))
+         .otherwise(F.concat(F.lit("S"), (o.o_orderkey % 20).cast("string"))).alias("storeid"),
+        F.when(o.o_orderpriority != "4-NOT SPECIFIED", o.o_orderpriority).alias("campaignid"),
+        F.when(urgent, F.add_months(day, 120)).otherwise(day).alias("orderdate"),
+        _money_text(o.o_totalprice).alias("subtotal"),
+        F.when(o.o_orderkey % 20 != 3, _money_text(o.o_totalprice + 2)).alias("total"),
+        *_lineage("orders_relocation.csv"))
+
+
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem")
     p = _table(spark, sf_dir, "part")

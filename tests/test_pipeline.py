@@ -1,13 +1,16 @@
 """Materialised build: full run, then an incremental run on a new delivery."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.contracts import CONTRACTS
 from tessera.operators import quality as dq
-from tessera.plans import pipeline
+from tessera.plans import marts, pipeline
 from tessera.plans.layers import Layers
-from tessera.session import scratch_dir
-from tessera.sources.testdata import raw_orders_revision, raw_tables
+from tessera.session import local_fs_path, scratch_dir
+from tessera.sources.testdata import raw_orders_relocation, raw_orders_revision, raw_tables
 from tests.conftest import SMALL
 
 
@@ -107,3 +110,108 @@ def test_rejects_are_written_by_the_tasks_that_scan(spark, monkeypatch):
     rejects = spark.read.parquet(f"{root}/_rejects/bronze")
     assert rejects.where("cell = 'no time'").count() == 40
     assert len(rejects.inputFiles()) >= 4
+
+
+# ---------------------------------------------------------------- increments
+
+def deliveries(spark):
+    """Later ones move orders to other months and stores and blank totals."""
+    raw = raw_tables(spark, SMALL)
+    early = raw["orders_raw"].where(F.col("orderdate") < F.lit("2000-01-01").cast("date"))
+    return [dict(raw, orders_raw=o) for o in (early, raw_orders_revision(spark, SMALL), raw_orders_relocation(spark, SMALL))]
+
+
+@pytest.fixture(scope="module")
+def built(spark):
+    """A warehouse after the first delivery."""
+    root = scratch_dir(spark, "t-built")
+    pipeline.build(spark, deliveries(spark)[0], root, fail_on_error=False, raw_versions=states(0))
+    return root
+
+
+def states(day):
+    return {t: "1" for t in CONTRACTS} | {"orders_raw": str(day)}
+
+
+def copy_of(spark, root, name):
+    """Commits name folders relative to the warehouse, so it can be copied."""
+    new = local_fs_path(scratch_dir(spark, name))
+    shutil.copytree(local_fs_path(root), new, dirs_exist_ok=True)
+    return new
+
+
+MARTS = ("mart_gross_revenue", "mart_popular_items", "mart_spending_members", "mart_order_processing_times")
+
+
+def test_marts_follow_the_changed_orders(spark, monkeypatch, built):
+    """Each delivery changes dates, stores and totals of earlier orders: the
+    marts equal those of all orders, and no mart reads all orders again."""
+    root = copy_of(spark, built, "t-retract")
+    full_states = []
+    for name, mart in pipeline.STATES.items():
+        def state(orders, *others, mart=mart, name=name):
+            full_states.append((name, "_sign" in orders.columns))
+            return mart.state(orders, *others)
+        monkeypatch.setitem(pipeline.STATES, name, pipeline.STATES[name].__class__(**{**mart.__dict__, "state": state}))
+    for day, raw in enumerate(deliveries(spark)[1:], 1):
+        full_states.clear()
+        out = pipeline.build(spark, raw, root, fail_on_error=False, raw_versions=states(day))
+        wh = out["warehouse"]
+        assert sorted(full_states) == sorted((m, True) for m in MARTS)
+        orders = wh.read("build_orders")
+        lazy = {"mart_gross_revenue": marts.mart_gross_revenue(orders),
+                "mart_popular_items": marts.mart_popular_items(orders, wh.read("build_order_items")),
+                "mart_spending_members": marts.mart_spending_members(orders),
+                "mart_order_processing_times": marts.mart_order_processing_times(orders, wh.read("build_order_status"))}
+        for name in MARTS:
+            assert rows(wh.read(name)) == rows(lazy[name]), (day, name)
+        assert len(out["tests"]) == 37
+        known = {(t["model"], t["test_name"], t["column_name"]): t["failures"] for t in out["tests"]}
+        fresh = {(r["model"], r["test_name"], r["column_name"]): r["failures"] for r in dq.run_checks(wh.read).collect()}
+        assert known == fresh
+    models = wh.published()["models"]
+    again = pipeline.build(spark, raw, root, fail_on_error=False, raw_versions=states(2))
+    assert wh.published()["models"] == models and len(again["tests"]) == 37  # nothing was delivered: nothing is built
+
+
+def test_failing_tests_publish_nothing_of_their_layer(spark, built):
+    root = copy_of(spark, built, "t-audit")
+    second, wh = deliveries(spark)[1], pipeline.Warehouse(spark, root)
+    silver, reader = rows(wh.read("stg_orders")), wh.read("stg_orders")
+    before = wh.published()["models"]
+    with pytest.raises(dq.DataQualityError):
+        pipeline.build(spark, second, root, raw_versions=states(1))  # silver tests fail on this data
+    now = pipeline.Warehouse(spark, root)
+    after = now.published()["models"]
+    assert after["base_orders"] > before["base_orders"]  # bronze only warns
+    assert {m: v for m, v in after.items() if not m.startswith("base_")} == {m: v for m, v in before.items() if not m.startswith("base_")}
+    assert rows(now.read("stg_orders")) == silver == rows(reader)
+    assert now.table("stg_orders").current_version() > after["stg_orders"]  # written, never current
+    out = pipeline.build(spark, second, root, fail_on_error=False, raw_versions=states(1))
+    lazy = pipeline.Warehouse(spark, root)
+    assert lazy.read("stg_orders").count() == lazy.read("base_orders").select("orderid").distinct().count()
+    assert rows(lazy.read("mart_gross_revenue")) == rows(marts.mart_gross_revenue(lazy.read("build_orders")))
+    assert out["versions"]["build_orders"]["rewritten_partitions"]
+
+
+def test_a_failed_build_leaves_marts_and_a_retry_repairs(spark, monkeypatch, built):
+    root = copy_of(spark, built, "t-dead-build")
+    second, wh = deliveries(spark)[1], pipeline.Warehouse(spark, root)
+    revenue = rows(wh.read("mart_gross_revenue"))
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "build_mart", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            pipeline.build(spark, second, root, fail_on_error=False, raw_versions=states(1))
+    assert rows(pipeline.Warehouse(spark, root).read("mart_gross_revenue")) == revenue
+    wh = pipeline.build(spark, second, root, fail_on_error=False, raw_versions=states(1))["warehouse"]
+    for name, lazy in (("mart_gross_revenue", marts.mart_gross_revenue), ("mart_spending_members", marts.mart_spending_members)):
+        assert rows(wh.read(name)) == rows(lazy(wh.read("build_orders")))
+
+
+def test_lake_versions_name_the_load_runs(spark):
+    lake = scratch_dir(spark, "t-lake-versions")
+    fs = pipeline.CommitLog(spark, lake).fs
+    fs.mkdirs(f"{lake}/orders_raw/ingest_run=a")
+    one = pipeline.lake_versions(spark, lake)
+    fs.mkdirs(f"{lake}/orders_raw/ingest_run=b")
+    assert set(one) == {"orders_raw"} and pipeline.lake_versions(spark, lake) != one
