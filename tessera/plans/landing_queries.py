@@ -171,6 +171,23 @@ def q_pipeline_incremental_orders(spark: SparkSession, sf_dir: str) -> DataFrame
     return pipeline.Warehouse(spark, root).read("build_orders").drop("insert_date")
 
 
+def q_ingest_csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as CSV, whose cells hold quotes, commas and newlines, read
+    back in splits far smaller than a file."""
+    from tessera.sources import csv_split
+    root = scratch_dir(spark, "csv-split")
+    columns = ["doc_id", "lang", "source", "text"]
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(F.col("doc_id").cast("string"), *columns[1:])
+    (docs.write.option("header", True).option("quote", '"').option("escape", '"').option("nullValue", "").option("emptyValue", '""')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{root}/documents"))
+    files = [p for p, is_dir in HadoopFS(spark).list(f"{root}/documents") if not is_dir and p.endswith(".csv")]
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    options = {"sep": ",", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+               "mode": "PERMISSIVE", "columnNameOfCorruptRecord": ci.CORRUPT, "maxCharsPerColumn": "-1"}
+    return csv_split.read_split(reader, files, columns, options, ci.CORRUPT).drop("source_name")
+
+
 _AFTER_DELIVERIES: dict[tuple[str, str], str] = {}
 
 

@@ -219,6 +219,8 @@ LANDING_QUERIES = {
     "ingest_csv": (lq.q_ingest_csv, osql.with_models(
         "SELECT orderid, memberid, storeid, campaignid, orderdate, subtotal, total "
         "FROM delivered_orders WHERE o_orderstatus <> 'P'")),
+    "ingest_csv_split": (lq.q_ingest_csv_split,
+                         "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, text, CAST(NULL AS VARCHAR) AS _corrupt_record FROM documents"),
     "ingest_quarantine": (lq.q_ingest_quarantine, osql.with_models(
         "SELECT orderid, memberid, storeid, campaignid, strftime(orderdate, '%Y-%m-%d') AS orderdate, "
         "subtotal, total, " + _REASON + " AS reject_reason FROM delivered_orders WHERE o_orderstatus = 'P'")),

@@ -42,6 +42,7 @@ from pyspark.sql import types as T
 
 from tessera.contracts import CONTRACTS, Contract
 from tessera.functions.dates import spark_pattern
+from tessera.sources.csv_split import read_split
 from tessera.sources.fs import HadoopFS
 
 # Accepted file suffixes and lineage columns.
@@ -159,14 +160,21 @@ def file_schema(header: tuple[str, ...]) -> T.StructType:
                         + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def read_files(spark: SparkSession, contract: Contract, entries: list[InputFile]) -> DataFrame | None:
-    """Accepted files of one table, columns mapped by name, all text."""
+def read_files(spark: SparkSession, contract: Contract, entries: list[InputFile], split: bool = False) -> DataFrame | None:
+    """Accepted files of one table, columns mapped by name, all text.
+
+    ``split`` reads files with quoted newlines by many tasks
+    (:mod:`tessera.sources.csv_split`), else each of them is one task's."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for e in entries:
         if e.accepted and e.table == contract.table:
             groups[tuple(h.lower() for h in e.header)].append(e.path)
     frames = []
     for header, paths in sorted(groups.items()):
+        if split and contract.multi_line:
+            df = read_split(spark, paths, list(header), csv_options(contract), CORRUPT)
+            frames.append(df.select(*contract.names, CORRUPT, "source_name"))
+            continue
         df = spark.read.schema(file_schema(header)).options(**csv_options(contract)).csv(paths)
         frames.append(df.select(*[F.col(c) for c in contract.names], F.col(CORRUPT),
                                 F.col("_metadata.file_name").alias("source_name")))
@@ -293,14 +301,15 @@ def write_landed(rows: DataFrame, contract: Contract, lake: str, run_id: str) ->
 
 
 def ingest(spark: SparkSession, landing: str, lake: str,
-           contracts: dict[str, Contract] = CONTRACTS, run_id: str | None = None) -> dict:
+           contracts: dict[str, Contract] = CONTRACTS, run_id: str | None = None, split: bool = False) -> dict:
     """Ingest every accepted file under ``landing`` into ``<lake>/<table>``.
 
     Each run writes its own ``ingest_run=<run_id>`` partition with dynamic
     partition overwrite: retrying a run (same ``run_id``) after a failure
     replaces that run's output instead of appending a second copy, and
     never touches earlier runs.  The manifest (one row per file: accepted or
-    why not) is appended to ``<lake>/_manifest`` as an audit trail.  Returns
+    why not) is appended to ``<lake>/_manifest`` as an audit trail.  ``split``
+    lets many tasks read one file whose cells hold newlines.  Returns
     the run id, the manifest entries and the tables written.
     """
     run_id = run_id or new_run_id()
@@ -310,7 +319,7 @@ def ingest(spark: SparkSession, landing: str, lake: str,
     write_manifest(spark, lake, run_id, entries)
     written = []
     for contract in contracts.values():
-        df = read_files(spark, contract, entries)
+        df = read_files(spark, contract, entries, split)
         if df is not None:
             write_landed(validate(df, contract), contract, lake, run_id)
             written.append(contract.table)
