@@ -8,7 +8,8 @@ distinct values are enough, which Catalyst limits before the shuffle
 (``WindowGroupLimit``), so a window task gets at most k rows per group and
 map task.  A value's rank is one more than the rows before it; values within
 their bound are joined back to the rows, where skewed groups are split by the
-adaptive join like any other.
+adaptive join like any other.  For one place at either end the greatest and the
+smallest value are all that is needed: one aggregate, without a window.
 
 NULL ordering follows the source system: NULL sorts as the largest value,
 i.e. first under DESC and last under ASC.
@@ -31,6 +32,31 @@ def _cut(histogram: DataFrame, group_cols: Sequence[str], order, k: int, name: s
             .where(F.col(name) <= k).select(*group_cols, "_value", name))
 
 
+def _histogram_cuts(df: DataFrame, group_cols: Sequence[str], value_col: str, k_top: int, k_bottom: int,
+                    top_name: str, bottom_name: str) -> DataFrame:
+    value = F.col("_value")
+    histogram = (df.groupBy(*group_cols, F.col(value_col).alias("_value"))
+                   .agg(F.count(F.lit(1)).alias("_rows")))
+    top = _cut(histogram, group_cols, value.desc_nulls_first(), k_top, top_name)
+    bottom = _cut(histogram, group_cols, value.asc_nulls_last(), k_bottom, bottom_name)
+    # at most k_top + k_bottom values per group; a value in both lists is one row
+    return (top.withColumn(bottom_name, F.lit(None).cast("int"))
+            .unionByName(bottom.withColumn(top_name, F.lit(None).cast("int")))
+            .groupBy(*group_cols, "_value").agg(F.min(top_name).alias(top_name), F.min(bottom_name).alias(bottom_name)))
+
+
+def _extremes(df: DataFrame, group_cols: Sequence[str], value_col: str, top_name: str, bottom_name: str) -> DataFrame:
+    """The cuts for one place at either end: greatest and smallest value, from
+    a single aggregate that is reduced before its shuffle."""
+    v = F.col(value_col)
+    ends = df.groupBy(*group_cols).agg(F.max(v).alias("_max"), F.min(v).alias("_low"),
+                                       (F.count(v) < F.count(F.lit(1))).alias("_null"))
+    top, value = F.when(~F.col("_null"), F.col("_max")), F.col("_value")
+    return (ends.withColumn("_top", top).withColumn("_value", F.explode(F.array_distinct(F.array("_top", "_low"))))
+            .select(*group_cols, "_value", F.when(value.eqNullSafe(F.col("_top")), 1).alias(top_name),
+                    F.when(value.eqNullSafe(F.col("_low")), 1).alias(bottom_name)))
+
+
 def rank_top_bottom(df: DataFrame, group_cols: Sequence[str], value_col: str,
                     k_top: int, k_bottom: int,
                     top_name: str = "top_rank",
@@ -40,15 +66,10 @@ def rank_top_bottom(df: DataFrame, group_cols: Sequence[str], value_col: str,
     Output keeps every input column plus ``top_name`` / ``bottom_name``; a rank
     beyond its bound is NULL.
     """
-    value = F.col("_value")
-    histogram = (df.groupBy(*group_cols, F.col(value_col).alias("_value"))
-                   .agg(F.count(F.lit(1)).alias("_rows")))
-    top = _cut(histogram, group_cols, value.desc_nulls_first(), k_top, top_name)
-    bottom = _cut(histogram, group_cols, value.asc_nulls_last(), k_bottom, bottom_name)
-    # at most k_top + k_bottom values per group; a value in both lists is one row
-    both = (top.withColumn(bottom_name, F.lit(None).cast("int"))
-            .unionByName(bottom.withColumn(top_name, F.lit(None).cast("int")))
-            .groupBy(*group_cols, "_value").agg(F.min(top_name).alias(top_name), F.min(bottom_name).alias(bottom_name)))
+    if k_top == k_bottom == 1:
+        both = _extremes(df, group_cols, value_col, top_name, bottom_name)
+    else:
+        both = _histogram_cuts(df, group_cols, value_col, k_top, k_bottom, top_name, bottom_name)
     cuts = both.select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_value", top_name, bottom_name)
     same = df[value_col].eqNullSafe(cuts["_value"])
     for c in group_cols:
