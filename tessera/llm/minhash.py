@@ -2,8 +2,8 @@
 
 1. One pass hashes the word shingles of each whole text: the set's size, a
    128-bit sum that names the set, and minima of many universal hashes.
-2. Texts with equal sets form a class; its smallest doc_id stands for it, so
-   copies, however many, cost one row from here on.
+2. Texts with equal sets form a class, named by the number of one of its rows
+   in the written table, so copies, however many, cost one row from here on.
 3. Bands of the minima put classes into buckets.  Inside a bucket signatures
    are compared, and what agrees well enough is joined by a spanning forest:
    a bucket gives fewer edges than it has rows, never its pairs.  Components
@@ -22,8 +22,11 @@ beyond 5.5 standard deviations only.
 
 Null, empty and blank texts have no set: no links, a component of their own.
 Texts of fewer than ``size`` words have their whole sequence as one shingle.
-Repeated rows (same doc_id) stay rows; a null doc_id is kept and links with
-nothing.  Empty tables give no rows.
+Rows of equal doc_id are texts of their own, which may belong to different
+groups; each keeps its row, and ``kept`` is true for all that carry the smallest
+doc_id of their group.  ``distinct_documents`` keeps one row of each group and of
+repeated rows.  A null doc_id is kept and links with nothing.  Empty tables give
+no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import components
 from tessera.llm.scratch import Scratch
-from tessera.llm.words import U64, find_words, mix, shingles, slices, text_column, windows
+from tessera.llm.words import U64, find_words, mix, shingles, slices, text_column, unpacked, whole, windows
 
 BANDS, ROWS = 48, 6
 BLOCK = 256
@@ -74,8 +77,8 @@ def signatures(doc: np.ndarray, s: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, set_lo and set_hi (null without a set), signature
-    (8 bits a function), bands."""
+    """doc_id, text_hash, n_shingles, set_lo and set_hi (null without a set),
+    signature (8 bits a function), bands."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -98,11 +101,11 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
                         sig[i], bands[i] = x.tobytes(), y
                 none = count == 0
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(count, pa.int64()), pa.array(lo.astype(np.int64), mask=none),
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(count, pa.int64()), pa.array(lo.astype(np.int64), mask=none),
                      pa.array(hi.astype(np.int64), mask=none), pa.array(sig, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "set_lo", "set_hi", "signature", "bands"])
+                    ["doc_id", "text_hash", "n_shingles", "set_lo", "set_hi", "signature", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, set_lo long, set_hi long, signature binary, bands array<long>")
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set_lo long, set_hi long, signature binary, bands array<long>")
 
 
 def in_blocks(rows: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
@@ -113,7 +116,7 @@ def in_blocks(rows: DataFrame, key: str, block: int = BLOCK) -> DataFrame:
     its block with every block of the key."""
     n = F.count(F.lit(1)).over(Window.partitionBy(key))
     some = rows.withColumn("n", n).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    side = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.col("blocks")).cast("int")
+    side = F.pmod(F.xxhash64("class", F.lit(9)), F.col("blocks")).cast("int")
     return (some.withColumn("side", side).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .withColumn("task", F.xxhash64(key, F.least("side", "other"), F.greatest("side", "other"))).drop("n", "blocks", "other"))
 
@@ -157,7 +160,7 @@ def _edges(batch: pa.RecordBatch, near) -> pa.RecordBatch:
     """The edges of a spanning forest of ``near`` pairs of each group.
 
     ``near(lo, hi)`` yields (row, rows of the group that link with it)."""
-    ids, side = batch.column("doc_id").to_numpy(), batch.column("side").to_numpy()
+    ids, side = batch.column("class").to_numpy(), batch.column("side").to_numpy()
     keys = batch.column("task").to_numpy()
     cut = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     forest, a, b = Forest(len(ids)), [], []
@@ -218,40 +221,62 @@ def linked_texts(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int, percent: int, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    scratch = scratch or Scratch(docs.sparkSession, "minhash")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs))
-    all_rows = scratch.save(sketch(docs, size), "sketch")
+def _grouped(docs: DataFrame, size: int, percent: int, scratch: Scratch) -> DataFrame:
+    """doc_id, text_hash, n_shingles, group (null without a set) and
+    component_id of every row."""
+    all_rows = scratch.save(sketch(docs, size).withColumn("row", F.monotonically_increasing_id()), "sketch")
     named = all_rows.where("n_shingles > 0 and doc_id is not null")
     key = ["set_lo", "set_hi", "n_shingles"]
-    classes = scratch.save(named.groupBy(*key).agg(F.min("doc_id").alias("rep")), "classes")
-    reps = classes.select(F.col("rep").alias("doc_id"))
+    classes = scratch.save(named.groupBy(*key).agg(F.min("row").alias("class"), F.min("doc_id").alias("rep")), "classes")
 
-    one = scratch.save(named.join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "signature", "bands"), "reps")
-    tasks = in_blocks(one.select("doc_id", F.explode("bands").alias("bucket")), "bucket", 4 * BLOCK).select("doc_id", "task", "side")
-    pairs = scratch.save(similar_signatures(tasks.join(one.select("doc_id", "signature"), "doc_id"), percent), "similar")
+    one = scratch.save(named.join(classes.select("class"), named["row"] == F.col("class"), "left_semi")
+                       .select(F.col("row").alias("class"), "doc_id", "text_hash", "signature", "bands"), "reps")
+    tasks = in_blocks(one.select("class", F.explode("bands").alias("bucket")), "bucket", 4 * BLOCK).select("class", "task", "side")
+    pairs = scratch.save(similar_signatures(tasks.join(one.select("class", "signature"), "class"), percent), "similar")
     group = components(pairs, scratch)
-    group = scratch.save(group.union(group.select("component", "component").distinct()).toDF("doc_id", "comp"), "groups")
+    group = group.union(group.select("component", "component").distinct()).toDF("class", "comp")
+    group = scratch.save(group.join(one.select("class", "doc_id", "text_hash"), "class"), "groups")
     cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
     cells = group.select(cell.alias("cell")).distinct()
+    # a text is looked up by its id and hash: rows of one id may hold several
     texts = (docs.withColumn("cell", cell).join(F.broadcast(cells), "cell", "left_semi")  # at most CELLS rows
-             .select("doc_id", "text").dropDuplicates(["doc_id"]))
-    tasks = in_blocks(group, "comp").select("doc_id", "task", "side")
-    links = scratch.save(linked_texts(tasks.join(texts, "doc_id"), size, percent), "links")
+             .select("doc_id", F.xxhash64("text").alias("text_hash"), "text").dropDuplicates(["doc_id", "text_hash"]))
+    tasks = in_blocks(group, "comp").select("class", "doc_id", "text_hash", "task", "side")
+    links = scratch.save(linked_texts(tasks.join(texts, ["doc_id", "text_hash"]).select("class", "task", "side", "text"), size, percent), "links")
+
     comp = components(links, scratch)
+    comp = scratch.save(comp.union(comp.select("component", "component").distinct()).toDF("node", "root"), "linked")
+    # the smallest doc_id of each group of several classes
+    found = classes.join(comp, classes["class"] == comp["node"], "left")
+    low = found.where("root is not null").groupBy("root").agg(F.min("rep").alias("low")).select(F.col("root").alias("linked"), "low")
+    found = found.join(low, found["root"] == low["linked"], "left").select(
+        *key, F.coalesce("root", "class").alias("group"), F.coalesce("low", "rep").alias("component_id"))
+    return (all_rows.join(found, key, "left").select("doc_id", "text_hash", "n_shingles", "group", F.when(
+        F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
-    member = all_rows.join(classes, key, "left")
-    member = member.join(comp, member["rep"] == comp["node"], "left").withColumn("rep", F.coalesce("component", "rep"))
-    return member.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNull(), F.lit(None))
-                         .otherwise(F.coalesce("rep", "doc_id")).alias("component_id")) \
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+def near_duplicates(docs: DataFrame, size: int, percent: int, scratch: Scratch | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    scratch = scratch or Scratch(docs.sparkSession, "minhash")
+    out = _grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs)), size, percent, scratch)
+    return (out.select("doc_id", "n_shingles", "component_id")
+            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
 def distinct_documents(docs: DataFrame, size: int = 5, percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
-    """The rows of ``docs`` that stand for their groups, with all columns."""
-    kept = near_duplicates(docs, size, percent, scratch).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].cast("long") == kept["kept_id"], "left_semi").union(docs.where("doc_id is null"))
+    """One row of ``docs`` for each group, with all columns: of the rows that
+    carry the group's smallest doc_id the one of the smallest text hash."""
+    scratch = scratch or Scratch(docs.sparkSession, "minhash")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column(docs))
+    out = _grouped(narrow, size, percent, scratch).where("doc_id = component_id")
+    # texts without words are no group: each of them stays
+    alone = F.when(F.col("group").isNull(), F.col("text_hash"))
+    kept = out.groupBy("doc_id", "group", alone.alias("alone")).agg(F.min("text_hash").alias("kept_hash")).select(
+        F.col("doc_id").alias("kept_id"), "kept_hash")
+    rows = docs.select(whole(docs), F.col("doc_id").cast("long").alias("id"), F.xxhash64(text_column(docs)).alias("hash"))
+    stay = rows.join(kept, (F.col("id") == F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")), "left_semi")
+    stay = stay.dropDuplicates(["id", "hash"]).union(rows.where("id is null"))
+    return unpacked(stay.select("whole"), docs.columns, {})
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

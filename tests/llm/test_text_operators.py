@@ -1,6 +1,7 @@
 """Quality rules, MinHash, substring and packing against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -15,6 +16,7 @@ from hypothesis import strategies as st
 from tessera.llm import minhash, packing, quality_rules, substring
 from tessera.llm.scratch import Scratch
 from tessera.llm.words import find_words, mix, windows
+from tests.llm.conftest import prose
 
 W = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -114,6 +116,33 @@ def test_stage_forms_keep_columns(docs, rows, spark):
     assert sorted(r.doc_id for r in one.collect()) == sorted(set(brute_components(sets, 80).values()))
 
 
+def test_minhash_of_shared_ids(spark):
+    """Rows of one doc_id with different texts: each belongs to its own group;
+    of repeated rows and of each group one row stays."""
+    rng = random.Random(31)
+    a, b, c = (prose(rng, 150) for _ in range(3))
+    near = lambda t: t.replace(" ", " changed ", 1)
+    rows = [(1, a), (1, b), (2, near(b)), (3, near(a)), (5, c), (5, c), (6, c), (7, None), (7, ""), (7, ""), (None, a), (None, a)]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, class int").repartition(3)
+    got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in minhash.near_duplicates(df, 3, 85).collect())
+    assert got == [(0, 0, True), (0, 0, True), (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (5, 5, True), (5, 5, True),
+                   (6, 5, False), (7, 7, True), (7, 7, True), (7, 7, True)]
+    stay = minhash.distinct_documents(df, 3, 85)
+    assert stay.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in stay.collect()) == sorted([(0, a), (0, a), (1, a), (1, b), (5, c), (7, "")])
+
+
+def test_components_of_hubs(spark, monkeypatch):
+    """Hubs take the way of their own and give the same components."""
+    from tessera.llm import components as comp
+    monkeypatch.setattr(comp, "HUB", 3)
+    scratch = Scratch(spark, "t-hubs")
+    edges = [(0, k) for k in range(1, 40)] + [(39, 50), (50, 51), (60, 61), (61, 62)] + [(100, k) for k in range(70, 99)] + [(98, 200)]
+    df = scratch.save(spark.createDataFrame(edges, "a long, b long"), "edges")
+    got = {r.node: r.component for r in comp.components(df, scratch).collect()}
+    assert got == {**{k: 0 for k in [*range(1, 40), 50, 51]}, 61: 60, 62: 60, **{k: 70 for k in [*range(71, 99), 100, 200]}}
+
+
 def test_minhash_empty(empty):
     assert minhash.near_duplicates(empty, 3, 85).count() == 0
     assert minhash.distinct_documents(empty).columns == empty.columns
