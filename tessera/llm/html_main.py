@@ -1,7 +1,8 @@
 """Main text of web pages by site style trees (operator 1).
 
 The pages of a host are merged into one style tree: elements at the same path
-of styles (tag and classes, from the root) are one node.  A node's
+of styles (tag and classes, from the root) are one node, named by a 64-bit hash
+of its parent's name and its style.  A node's
 presentation importance is the entropy, over the host's pages, of the
 sequence of its children's styles; its content importance is the entropy of
 its own text; both are divided by their largest possible value.  A branch
@@ -18,7 +19,9 @@ text that is left (links aside) is beside them: then all that is left is.
 
 Counts per (host, path, value) are aggregated before they are shuffled, so a
 host with a third of all pages is no hot task.  A null, empty or broken html
-gives what text it holds (an empty string if none); a null url is a host of
+gives what text it holds (an empty string if none): comments, declarations and
+tags that are not closed are markup up to the end of the page, as in a browser;
+time and memory grow with a page's length, however deep it nests; a null url is a host of
 its own; repeated rows are extracted each; an empty table gives no rows; other
 columns are ignored.
 """
@@ -38,8 +41,8 @@ from tessera.llm.scratch import Scratch
 from tessera.llm.words import slices
 
 LOW, MIN_PAGES = 0.2, 8
-#: A model of up to this many characters is broadcast, a larger one joined.
-BROADCAST_CHARS = 8 << 20
+#: A model of up to this many bytes is broadcast, a larger one joined.
+BROADCAST_BYTES = 8 << 20
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small "
@@ -64,11 +67,23 @@ def style(tag: str, classes: str, role: str, ident: str) -> tuple[str, bool]:
     """The style's name, and whether it is noise by its tag, role or names."""
     parts = [re.findall(r"[a-z0-9]+", x) for x in f"{classes} {ident}".lower().split()]
     names = [n for p in parts if p and p[0] not in MODIFIERS for n in p]  # "has-sidebar" is no sidebar
-    key = tag + "".join("." + c for c in sorted(set(re.findall(r"[a-z_-]+", classes.lower())))[:4])
+    key = tag + "".join("." + c for c in sorted(set(re.findall(r"[a-z_-]+", classes.lower()))))
     noise = (tag in NOISE_TAGS or role.lower() in NOISE_ROLES
              or tag not in ("html", "body", "article", "main") and not NOISE_WORDS.isdisjoint(names)
              or tag in MAIN_TAGS and not NOISE_WORDS.isdisjoint(set(names) & {"comment", "comments", "ad", "ads", "related", "reply"}))
-    return key.replace("/", "_"), noise
+    return key, noise
+
+
+@functools.lru_cache(1 << 16)
+def node_id(parent: int, key: str) -> int:
+    """The 64-bit name of a style node, from its parent's."""
+    return number(f"{parent}/{key}")
+
+
+#: A declaration with its internal subset, and the end of a comment.
+DECLARATION = re.compile(r"[^>\[]*(?:\[[^\]]*\]\s*)?>")
+COMMENT_END = re.compile(r"--!?>")
+TAG_BEGINS = re.compile(r"<[A-Za-z/!?]")
 
 
 class Page(HTMLParser):
@@ -79,9 +94,11 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.low, self.known = low or frozenset(), low is not None
         self.inside = self.beside = 0  # characters of kept text in and beside article and main, without links
-        # tag, path, dropped, inside main, inside a header of main, children, own text
-        self.stack: list[tuple] = [("", "", False, False, False, [], [])]
-        self.nodes: dict[str, tuple[list, list]] = {}
+        # tag, style node, dropped, inside main, inside a header of main, children, own text
+        self.stack: list[tuple] = [("", 0, False, False, False, [], [])]
+        self.at: dict[str, list[int]] = {}  # places of the open elements of each tag
+        self.blocks: list[int] = []         # places of those that are not inline
+        self.nodes: dict[int, tuple[int, int, list, list]] = {}  # parent, depth, children, own text
         self.all: list[str] = []
         self.main: list[str] = []
         self.has_main = False
@@ -89,20 +106,13 @@ class Page(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self._break()
-            for k in range(len(self.stack) - 1, 0, -1):  # a block ends an open paragraph
-                if self.stack[k][0] == "p":
-                    self._pop(k)
-                    break
-                if self.stack[k][0] not in INLINE:
-                    break
+            if self.blocks and self.stack[self.blocks[-1]][0] == "p":  # a block ends an open paragraph
+                self._pop(self.blocks[-1])
         if tag in CLOSES:
             ends, stop = CLOSES[tag]
-            for k in range(len(self.stack) - 1, 0, -1):
-                if self.stack[k][0] in stop.split():
-                    break
-                if self.stack[k][0] in ends.split():
-                    self._pop(k)
-                    break
+            k = self._last(ends)
+            if k > self._last(stop):
+                self._pop(k)
         a = dict(attrs)
         key, noise = style(tag, a.get("class") or "", a.get("role") or "", a.get("id") or "")
         _, path, dropped, main, head, children, _ = self.stack[-1]
@@ -110,7 +120,7 @@ class Page(HTMLParser):
             children.append(key)
         if tag in VOID:
             return
-        path = f"{path}/{key}"
+        path = node_id(path, key)
         if main and tag == "header":  # the article's own header: its headings stay
             noise, head = False, True
         low = path in self.low and not head and not (main and tag in HEADINGS)
@@ -119,6 +129,9 @@ class Page(HTMLParser):
         main = main or is_main
         drop = dropped or noise or low or (head and tag not in HEADINGS and tag != "header"
                                                                         and tag not in INLINE and tag not in ("div", "hgroup"))
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if tag not in INLINE:
+            self.blocks.append(len(self.stack))
         self.stack.append((tag, path, drop, main, head, [], []))
 
     def handle_startendtag(self, tag, attrs):
@@ -129,21 +142,20 @@ class Page(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self._break()
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k][0] == tag:
-                self._pop(k)
-                break
+        k = self._last(tag)
+        if k:
+            self._pop(k)
 
     def handle_data(self, data):
         tag, _, dropped, main, head, _, own = self.stack[-1]
         if tag not in ("script", "style"):
             own.append(data)
-        if dropped or (head and not any(x[0] in HEADINGS for x in self.stack)):
+        if dropped or (head and not any(self.at.get(h) for h in HEADINGS)):
             return
         self.all.append(data)
         if main:
             self.main.append(data)
-        if not any(x[0] == "a" for x in self.stack):
+        if not self.at.get("a"):
             size = sum(map(len, data.split()))
             self.inside, self.beside = self.inside + size * main, self.beside + size * (not main)
 
@@ -151,12 +163,44 @@ class Page(HTMLParser):
         self.all.append(" ")
         self.main.append(" ")
 
+    def _last(self, tags: str) -> int:
+        """Place of the innermost open element of ``tags``, 0 if there is none."""
+        return max((self.at[t][-1] for t in tags.split() if self.at.get(t)), default=0)
+
     def _pop(self, k: int) -> None:
         while len(self.stack) > k:
-            _, path, _, _, _, children, own = self.stack.pop()
-            seen = self.nodes.setdefault(path, ([], []))
-            seen[0].extend(children)
-            seen[1].extend(own)
+            tag, path, _, _, _, children, own = self.stack.pop()
+            self.at[tag].pop()
+            if tag not in INLINE:
+                self.blocks.pop()
+            seen = self.nodes.get(path)
+            if seen is None:
+                seen = self.nodes[path] = (self.stack[-1][1], len(self.stack), [], [])
+            seen[2].extend(children)
+            seen[3].extend(own)
+
+    # Comments, declarations, marked sections and instructions are markup,
+    # closed or not; what is never closed ends with the page.
+
+    def parse_comment(self, i, report=True):
+        if self.rawdata.startswith(("<!-->", "<!--->"), i):
+            return self.rawdata.index(">", i) + 1
+        end = COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_html_declaration(self, i):
+        raw = self.rawdata
+        if raw.startswith("<!--", i):
+            return self.parse_comment(i)
+        end = raw.find("]]>", i) + 2 if raw.startswith("<![", i) and "]]>" in raw[i:] else -1
+        if end < 0:
+            whole = DECLARATION.match(raw, i + 2)
+            end = whole.end() - 1 if whole else raw.find(">", i)
+        return end + 1 if end >= 0 else len(raw)
+
+    def parse_pi(self, i):
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
 
     def close(self):
         super().close()
@@ -170,6 +214,8 @@ class Page(HTMLParser):
 def read(html: str | None, low: frozenset[str] | None = None) -> Page:
     page = Page(low)
     page.feed(html or "")
+    if TAG_BEGINS.match(page.rawdata):  # a tag that the page breaks off in
+        page.rawdata = ""
     page.close()
     return page
 
@@ -183,41 +229,60 @@ def host(url: str = "url") -> F.Column:
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:
-    """Per page and path: its children's styles and its own text, as hashes
-    (text null if it has none), and the hash of the whole page."""
+    """Per page and style node: its parent and depth, its children's styles and
+    its own text as hashes (null if it has none), and the whole page's hash."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "html"):
-                out = [[], [], [], [], []]
+                out = [[], [], [], [], [], [], []]
                 for site, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
                     whole = number(html or "")
-                    for path, (children, own) in read(html).nodes.items():
+                    for path, (parent, depth, children, own) in read(html).nodes.items():
                         text = " ".join("".join(own).split())
-                        for col, v in zip(out, (site, path, number(" ".join(children)) if children else None,
+                        for col, v in zip(out, (site, path, parent, depth, number(" ".join(children)) if children else None,
                                                 number(text) if text else None, whole)):
                             col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()),
-                                                  *(pa.array(c, pa.int64()) for c in out[2:])],
-                                                 ["host", "path", "children", "content", "page"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), *(pa.array(c, pa.int64()) for c in out[1:])],
+                                                 ["host", "path", "parent", "depth", "children", "content", "page"])
 
-    return pages.mapInArrow(run, "host string, path string, children long, content long, page long")
+    return pages.mapInArrow(run, "host string, path long, parent long, depth long, children long, content long, page long")
 
 
 def importance(nodes: DataFrame) -> DataFrame:
-    """host, path, n pages, importance of the node's branch (0 to 1)."""
-    once = nodes.groupBy("host", "path", "children", "content", "page").agg(F.lit(1).alias("one"))
+    """host, path, parent, depth, n (pages) and h, the node's own importance:
+    the greater of its presentation's and its content's."""
+    node = ["host", "path", "parent", "depth"]
+    once = nodes.groupBy(*node, "children", "content", "page").agg(F.lit(1).alias("one"))
     value = F.explode(F.array(F.struct(F.lit("p").alias("kind"), F.col("children").alias("v")),
                               F.struct(F.lit("c").alias("kind"), F.col("content").alias("v"))))
     counts = (once.withColumn("x", value).where("x.v is not null")
-              .groupBy("host", "path", F.col("x.kind").alias("kind"), F.col("x.v").alias("v")).agg(F.count(F.lit(1)).alias("c")))
+              .groupBy(*node, F.col("x.kind").alias("kind"), F.col("x.v").alias("v")).agg(F.count(F.lit(1)).alias("c")))
     n = F.sum("c")
     entropy = F.log2(n) - F.sum(F.col("c") * F.log2("c")) / n
-    each = (counts.groupBy("host", "path", "kind").agg(n.alias("n"), F.when(n > 1, entropy / F.log2(n)).otherwise(1.0).alias("h"))
-            .groupBy("host", "path").agg(F.max("n").alias("n"), F.max("h").alias("h")))
-    parts = F.split(F.col("path"), "/")
-    above = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
-    return (each.withColumn("branch", F.explode(above)).groupBy("host", F.col("branch").alias("path"))
-            .agg(F.max(F.when(F.col("path") == F.col("branch"), F.col("n"))).alias("n"), F.max("h").alias("importance")))
+    return (counts.groupBy(*node, "kind").agg(n.alias("n"), F.when(n > 1, entropy / F.log2(n)).otherwise(1.0).alias("h"))
+            .groupBy(*node).agg(F.max("n").alias("n"), F.max("h").alias("h")))
+
+
+def branches(own: DataFrame, scratch: Scratch) -> DataFrame:
+    """host, path, n and whether the node's branch is low: neither it nor a
+    node below it is important.
+
+    Important nodes mark all nodes above them.  After the step with links of
+    2^k levels all are marked that lie fewer than 2^(k + 1) levels above, so a
+    tree of any depth takes as many joins as its depth has binary digits."""
+    own = scratch.save(own, "nodes")
+    deepest = own.agg(F.max("depth")).first()[0] or 0
+    marks = own.where(F.col("h") >= LOW).select("host", "path")
+    up = own.where("parent != 0").select("host", "path", F.col("parent").alias("up"))
+    for k in range(int(deepest).bit_length()):
+        if k:  # links twice as long
+            higher = up.select(F.col("host").alias("site"), F.col("path").alias("mid"), F.col("up").alias("top"))
+            up = scratch.save(up.join(higher, (up["host"] == higher["site"]) & (up["up"] == higher["mid"]))
+                              .select("host", "path", F.col("top").alias("up")), "up")
+        above = marks.join(up, ["host", "path"]).select("host", F.col("up").alias("path"))
+        marks = scratch.save(marks.union(above).distinct(), "marks")
+    return own.join(marks.withColumn("marked", F.lit(True)), ["host", "path"], "left").select(
+        "host", "path", "n", F.col("marked").isNull().alias("low"))
 
 
 def main_text(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
@@ -225,12 +290,12 @@ def main_text(pages: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     scratch = scratch or Scratch(pages.sparkSession, "html")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html")).withColumn("host", host())
-    tree = importance(style_nodes(pages.select("host", "html")))
+    tree = branches(importance(style_nodes(pages.select("host", "html"))), scratch)
     # One row per host with known entropies, even if it has no low branches.
     low = scratch.save(tree.where(F.col("n") >= MIN_PAGES).groupBy("host").agg(
-        F.collect_list(F.when(F.col("importance") < LOW, F.col("path"))).alias("low")), "low")
-    size = low.agg(F.sum(F.length(F.array_join("low", " ")) + F.length("host"))).first()[0] or 0
-    if size <= BROADCAST_CHARS:
+        F.collect_list(F.when(F.col("low"), F.col("path"))).alias("low")), "low")
+    size = low.agg(F.sum(8 * F.size("low") + F.octet_length("host"))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
         low = F.broadcast(low)
 
     def run(batches):

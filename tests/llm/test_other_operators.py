@@ -29,6 +29,77 @@ def test_page_parts():
     assert html_main.read("<article>" + "<p>word" * 5000 + "</article>").text().count("word") == 5000
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<p>x</p><![foo[ y ]]>z", "x z"), ("<p>x</p><![CDATA[ a > b ]]>z", "x z"), ("<![if gte mso 9]><p>x<![endif]>y", "xy"),
+    ("<p>x<!-- a <b>", "x"), ("<!-->x<!--->y<!-- a --!>z", "xyz"), ("<!DOCTYPE html [ <!ENTITY a 'b'> ]>x", "x"),
+    ("x<![CDATA[ y", "x"), ("x<!DOCTYPE", "x"), ("x<?php echo 1", "x"), ("x<?xml a?>y", "xy"), ("x<div class='a", "x"), ("x</div", "x"),
+    ("x < y <", "x < y <"), ("a &lt;b&gt; &#x41;&nbsp;c", "a <b> A c"), ("<![", ""), ("<!", "")])
+def test_markup_never_reaches_the_text(html, text):
+    assert html_main.read(html).text() == text
+
+
+def test_deep_pages_take_linear_time_and_memory():
+    import time
+    import tracemalloc
+    tracemalloc.start()
+    t = time.time()
+    page = html_main.read("<div>" * 50_000 + "<ul><li>a</span>" + "<b>x</b></i>" * 1000 + "<td>y" * 1000)
+    assert "a" in page.text() and len(page.nodes) > 50_000
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20 and time.time() - t < 60
+    tracemalloc.stop()
+
+
+def test_styles_differ_by_all_their_classes():
+    names = [html_main.style("div", f"a b c d {x}", "", "")[0] for x in ("e", "f")]
+    assert names[0] != names[1]
+
+
+def brute_importance(pages):
+    """Own importance of every style path of a host, from whole paths."""
+    from math import log2
+    seen = {}
+    for html in set(pages):
+        tree = html_main.read(html).nodes
+        for path, (_, _, children, own) in tree.items():
+            text = " ".join("".join(own).split())
+            for kind, v in (("p", " ".join(children)), ("c", text)):
+                if v:
+                    seen.setdefault(path, {}).setdefault(kind, []).append(v)
+    def entropy(values):
+        n = len(values)
+        return 1.0 if n == 1 else -sum(c / n * log2(c / n) for c in Counter(values).values()) / log2(n)
+    return {path: (max(map(len, kinds.values())), max(map(entropy, kinds.values()))) for path, kinds in seen.items()}
+
+
+def test_importance_of_random_sites(spark):
+    """Importance and low branches against a walk over whole trees."""
+    import random
+    rng = random.Random(8)
+    def tree(depth, k):
+        if depth == 0 or rng.random() < 0.2:
+            return rng.choice(["same words", "", f"text {k} {rng.random()}", "either" if rng.random() < .5 else "or"])
+        return "".join(f"<div class={rng.choice('abc') if rng.random() < .2 else 'abc'[j % 3]}>{tree(depth - 1, k)}</div>" for j in range(rng.randint(1, 3)))
+    rows = [(f"h{k % 2}", "<div class=q>same</div>" * 2 + tree(6, k) + "<p><i><b><u>deep</u></b></i></p>") for k in range(30)]
+    df = spark.createDataFrame(rows + rows[:5], "host string, html string").repartition(4)
+    nodes = html_main.style_nodes(df)
+    got = {(r.host, r.path): r for r in html_main.importance(nodes).collect()}
+    low = {(r.host, r.path): r.low for r in html_main.branches(html_main.importance(nodes), Scratch(spark, "t-branches")).collect()}
+    for site in ("h0", "h1"):
+        want = brute_importance([h for s, h in rows if s == site])
+        assert {p for s, p in got if s == site} == set(want)
+        for path, (n, h) in want.items():
+            assert got[site, path].n == n and abs(got[site, path].h - h) < 1e-9
+        below = {}
+        for path in want:
+            at = path
+            while at:
+                below.setdefault(at, []).append(want[path][1])
+                at = got[site, at].parent
+        assert {p: low[site, p] for p in want} == {p: max(below[p]) < html_main.LOW for p in want}
+        assert any(low[site, p] for p in want) and not all(low[site, p] for p in want)
+    assert html_main.branches(html_main.importance(html_main.style_nodes(df.limit(0))), Scratch(spark, "t-none")).count() == 0
+
+
 def test_site_branches_that_repeat_are_removed(spark):
     """No tag or class says so: only the site's style tree does."""
     pages = [(k, f"http://a.example/{k}", f"<body><div class=x1><span>Our shop, since 1990</span></div>"
