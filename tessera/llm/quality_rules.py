@@ -8,15 +8,21 @@ merged into one for the language, and those into one for the corpus.  A group
 with fewer than ``min_rows`` texts takes the thresholds of its language, a
 language with too few those of the corpus.
 
-A ratio fails above ``median + spreads * (median - lower decile) + slack``
-(the mean word length also below the mirrored bound).  Only the lower half
-measures the spread, so junk in up to half of a source does not move its own
-threshold; ``slack`` keeps groups without any spread from rejecting small
-deviations.  A text is kept if it passes the base rules and every threshold.
+Only texts that pass the base rules are sketched.  A measure counts events
+(symbols, words in repeated windows, repeated lines, characters) against a base
+(words or lines).  Its group's highest rate lies ``SPREADS`` quantile ranges
+above the upper of the two quantiles: the middle half for symbols and word
+lengths, median to upper decile for repeats, which most texts lack.  A text
+fails if its count is more than chance adds at that rate: ``SIGMAS`` deviations
+of a count that comes in clumps (a repeated window covers six words), so a long
+text is held to the rate and a short one may hold a few events.  The mean word
+length also fails below the mirrored bound.  No cutoff is fixed.  A text is kept
+if it passes the base rules and every threshold.
 
 A null or empty text has no words and fails the base rules.  Null lang or
 source form groups of their own; repeated rows each count and get their own
-row; ties at a threshold are kept; an empty table gives no rows.
+row; ties at a threshold are kept; an empty table gives no rows.  Very long
+texts are measured whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +38,11 @@ from tessera.llm.words import find_words, segment_hash, shingles, slices, text_c
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
 
-#: ratio -> (spreads, slack)
-RULES = {"symbols": (6.0, 0.15), "repeats": (6.0, 0.40), "dup_lines": (6.0, 0.50), "word_chars": (6.0, 4.0)}
+#: rule -> (count, base, clump, the two quantiles whose range is the spread)
+RULES = {"symbols": ("n_symbols", "n_words", 1, (0.25, 0.75)), "repeats": ("n_repeat_words", "n_words", 6, (0.5, 0.9)),
+         "dup_lines": ("n_dup_lines", "n_lines", 1, (0.5, 0.9)), "word_chars": ("word_chars", "n_words", 1, (0.25, 0.75))}
+TWO_SIDED = ("word_chars",)
+SPREADS, SIGMAS = 6.0, 6.0
 MIN_ROWS = 50
 SKETCH_K = 400
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -109,15 +118,13 @@ def good_documents(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def ratios() -> dict[str, F.Column]:
-    words = F.greatest(F.col("n_words"), F.lit(1))
-    return {"symbols": F.col("n_symbols") / words, "repeats": F.col("n_repeat_words") / words,
-            "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-            "word_chars": F.col("word_chars") / words}
+    return {k: F.col(count) / F.greatest(F.col(base), F.lit(1)) for k, (count, base, _, _) in RULES.items()}
 
 
 def thresholds(found: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row per (lang, source): low and high bound of each ratio."""
-    made = found.select("lang", "source", *(r.alias(k) for k, r in ratios().items()))
+    """One row per (lang, source) with texts that pass the base rules: low and
+    high rate of each rule."""
+    made = found.where(~F.col("base_failed")).select("lang", "source", *(r.alias(k) for k, r in ratios().items()))
     group = made.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(k, SKETCH_K).alias(k) for k in RULES))
     lang = group.groupBy("lang").agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k).alias(k) for k in RULES))
@@ -125,10 +132,11 @@ def thresholds(found: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
 
     def bounds(df: DataFrame, tag: str, *keys: str) -> DataFrame:
         out = []
-        for k, (spreads, slack) in RULES.items():
-            q = F.kll_sketch_get_quantile_double(k, F.array(F.lit(0.1), F.lit(0.5)))
-            room = spreads * (q[1] - q[0]) + slack
-            out.append(F.struct((q[1] - room).alias("low"), (q[1] + room).alias("high")).alias(k))
+        for k, (_, _, _, at) in RULES.items():
+            # the corpus of no text has an empty sketch, which has no quantiles
+            q = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(k, F.array(*map(F.lit, at))))
+            room = SPREADS * (q[1] - q[0])
+            out.append(F.struct((q[0] - room).alias("low"), (q[1] + room).alias("high")).alias(k))
         return df.select(*keys, F.col("n").alias(f"n_{tag}"), F.struct(*out).alias(tag))
 
     g, a = bounds(group, "group", "lang", "source"), bounds(lang, "lang_", F.col("lang").alias("lang2"))
@@ -144,13 +152,18 @@ def judge(docs: DataFrame, scratch: Scratch, min_rows: int = MIN_ROWS) -> DataFr
     """The measures of every text with ``base_failed`` and ``kept``."""
     found = scratch.save(features(docs), "features")
     t = scratch.save(thresholds(found, min_rows), "thresholds").withColumnsRenamed({"lang": "lang_t", "source": "source_t"})
-    r = ratios()
     good = F.lit(True)
-    for k in RULES:
-        good = good & (r[k] <= F.col("t")[k]["high"])
-    good = good & (r["word_chars"] >= F.col("t")["word_chars"]["low"])
-    return (found.join(t, found["lang"].eqNullSafe(t["lang_t"]) & found["source"].eqNullSafe(t["source_t"]))
-            .withColumn("kept", ~F.col("base_failed") & good))
+    for k, (count, base, clump, _) in RULES.items():
+        def room(mean: F.Column, clump: int = clump) -> F.Column:
+            return SIGMAS * F.sqrt(clump * mean + clump * clump)
+        most = F.col("t")[k]["high"] * F.col(base)
+        good = good & (F.col(count) <= most + room(most))
+        if k in TWO_SIDED:
+            least = F.greatest(F.col("t")[k]["low"] * F.col(base), F.lit(0.0))
+            good = good & (F.col(count) >= least - room(least))
+    # a group without thresholds has no text that passes the base rules
+    return (found.join(t, found["lang"].eqNullSafe(t["lang_t"]) & found["source"].eqNullSafe(t["source_t"]), "left")
+            .withColumn("kept", ~F.col("base_failed") & F.coalesce(good, F.lit(True))))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -297,7 +297,7 @@ def test_reliabilities_are_recovered():
 # ---------------------------------------------------------------- registry and pipeline
 
 def test_registered_names():
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.queries()) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tessera.llm import minhash, packing, quality_rules, substring
 from tessera.llm.scratch import Scratch
@@ -57,6 +58,67 @@ def test_quality_thresholds_follow_their_group(spark):
     assert small == 1
 
 
+def exact_verdict(found, t):
+    """(kept, near): the rules by plain arithmetic; near a bound sketches may differ."""
+    kept, near = True, False
+    for k, (count, base, clump, _) in quality_rules.RULES.items():
+        n, size = found[count], found[base]
+        for bound, sign in ((t[k][1], 1), (t[k][0], -1)):
+            if sign < 0 and k not in quality_rules.TWO_SIDED:
+                continue
+            mean = max(bound * size, 0)
+            limit = mean + sign * quality_rules.SIGMAS * (clump * mean + clump * clump) ** 0.5
+            kept &= sign * n <= sign * limit
+            near |= abs(n - limit) <= 0.02 * max(n, limit, 1)
+    return kept, near
+
+
+def test_quality_verdicts_equal_exact_quantiles(spark):
+    """All texts of sf0.01 and a group below the row limit, judged by sorting."""
+    from tests.conftest import SMALL
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 97 == 0, "rare").otherwise("all")).union(
+        spark.createDataFrame([(-1, "short", "xx", "y"), (-2, None, None, None)], docs.schema))
+    rows = quality_rules.judge(docs, Scratch(spark, "t")).collect()
+    passed = [r for r in rows if not r.base_failed]
+
+    def bounds(some):
+        out = {}
+        for k, (count, base, _, at) in quality_rules.RULES.items():
+            low, high = np.quantile([r[count] / max(r[base], 1) for r in some], at, method="inverted_cdf")
+            out[k] = (low - quality_rules.SPREADS * (high - low), high + quality_rules.SPREADS * (high - low))
+        return out
+    made = {}
+    for r in passed:
+        levels = ([x for x in passed if (x.lang, x.source) == (r.lang, r.source)], [x for x in passed if x.lang == r.lang], passed)
+        at = next((k for k, some in enumerate(levels) if len(some) >= quality_rules.MIN_ROWS), 2)
+        key = (at, *(r.lang, r.source)[:2 - at])
+        if key not in made:
+            made[key] = bounds(levels[at])
+        kept, near = exact_verdict(r, made[key])
+        assert near or r.kept == kept, r.doc_id
+    assert len(made) > 2 and len({tuple(v["word_chars"]) for v in made.values()}) > 2
+    assert not any(r.kept for r in rows if r.base_failed)
+
+
+def test_quality_rules_without_good_texts(spark, empty):
+    assert quality_rules.judge(empty, Scratch(spark, "t")).count() == 0
+    one = spark.createDataFrame([(1, "too short", None, "a"), (1, "too short", None, "a")], "doc_id long, text string, lang string, source string")
+    assert [r.kept for r in quality_rules.judge(one, Scratch(spark, "t")).collect()] == [False, False]
+
+
+def test_quality_word_length_decides(spark):
+    """A source of long words keeps them; among common words they fail."""
+    rng = random.Random(8)
+
+    def text(length):
+        return " ".join("".join(rng.choices("abcdefgh", k=rng.randint(length - 1, length + 1))) for _ in range(120))
+    rows = [(k, text(9 if k % 2 else 5), "en", "terms" if k % 2 else "news") for k in range(160)] + [(999, text(9), "en", "news")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(df, Scratch(spark, "t")).collect()}
+    assert not kept.pop(999) and all(kept.values())
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet="ab \n\t#é", max_size=40), min_size=1, max_size=6))
 def test_measure_property(texts):
