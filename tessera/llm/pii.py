@@ -7,15 +7,18 @@ candidate, base ones included, labelers vote yes, no or abstain: the strict
 pattern, a gazetteer (domains, calling codes, issuers, address ranges), the
 words before the span, and its edges.  Expectation-maximisation over the vote
 patterns estimates each labeler's reliability per kind; its posteriors, as
-soft labels, train a naive Bayes classifier over the votes and the span's
-length and digits.  Candidates that it gives at least ``ACCEPT`` are added.
+soft labels, train a naive Bayes classifier per kind over the votes and the
+span's length and digits.  Candidates that it gives at least ``ACCEPT`` are added.
 
 Only counts per pattern of votes and features reach the driver: at most
 kinds * 3^labelers * buckets rows, whatever the corpus holds.  Everything else
 is row-wise, so hot sources and long texts move nothing.
 
 Patterns use possessive loops and start only where a match can, so they take
-linear time and no stack on long texts.  Offsets count code points.  A null or
+linear time and no stack on long texts.  Places come from running sums of the
+lengths between matches, a span's context from the text between it and its
+neighbours, overlaps from a binary search, and masking cuts the text from
+chunks, so time is near linear in a text's spans too.  Offsets count code points.  A null or
 empty text has no spans; repeated rows get the same result each; a null doc_id
 is kept; an empty table gives no rows; other columns are ignored.
 """
@@ -28,6 +31,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.arrays import add, bound, chunks, count_below, cut, largest, running
 from tessera.llm.scratch import Scratch
 from tessera.llm.words import text_column, unpacked, whole
 
@@ -43,13 +47,16 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}+(?![ -]?[0-9])"
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 PHONE_LOOSE = r"(?<![0-9+A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-EMAIL_LOOSE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}+ ?(?:[\[(]dot[\])]|\.) ?[A-Za-z]{2,24}+"
+EMAIL_LOOSE = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++ ?(?:[\[(]dot[\])]|\.) ?[A-Za-z]{2,}+"
 SECRET = (r"(?<=[\"'])(?<=(?:token|secret|password|passwd|pwd|api_?key|access_?key)[\"']?\s{0,3}[:=]\s{0,3}[\"'])"
           r"[^\s\"']{8,}+")
 
 # Gazetteers and context words (fixed values).
-TLDS = "com|org|net|edu|gov|info|io|de|fr|es|uk|it|nl|eu|ch|at|us|ca"
-CALLING = "1|7|20|27|30|31|32|33|34|36|39|40|41|43|44|45|46|47|48|49|52|55|61|81|86|91"
+# Top domains: the common generic ones and every two-letter country.  Calling
+# codes: all E.164 codes by their leading digits.
+TLDS = "com|org|net|edu|gov|mil|int|info|biz|name|app|dev|cloud|online|site|shop|[a-z]{2}"
+CALLING = ("1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]"
+           "|2[1-689][0-9]|3[578][0-9]|42[0-9]|50[0-9]|59[0-9]|6[789][0-9]|8[0578][0-9]|9[679][0-9]")
 CONTEXT = {"email": r"e-?mail|mail|contact|kontakt|correo|courriel", "ip": r"\bip\b|address|server|host|adresse",
            "card": r"card|visa|credit|kredit|carte|tarjeta|pay", "phone": r"phone|tel|call|mobile|fax|handy|m[oó]vil",
            "secret": r"token|secret|passw|pwd|key"}
@@ -72,19 +79,43 @@ def _luhn(digits: Column) -> Column:
     return total % 10 == 0
 
 
+PLACED = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
+NEAR = 40
+
+
 def _placed(text: str, match: str, pattern: str) -> Column:
-    """Structs (start, end, value) of the matches, from the texts between."""
+    """Structs (start, end, value, before, after) of the matches: their places,
+    the last characters before them (back to the start of the match before at
+    most) and the next one after them."""
     m = F.col(match)
-    gaps = F.split(F.col(text), pattern, -1)
-    ends = F.aggregate(
-        F.sequence(F.lit(1), F.size(m)), F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,value:string>>").alias("out")),
-        lambda acc, k: F.struct(
-            (acc["at"] + F.length(F.element_at("gaps_" + match, k)) + F.length(F.element_at(m, k))).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + F.length(F.element_at("gaps_" + match, k))).alias("start"),
-                (acc["at"] + F.length(F.element_at("gaps_" + match, k)) + F.length(F.element_at(m, k))).alias("end"),
-                F.element_at(m, k).alias("value")))).alias("out")))["out"]
-    return gaps, ends
+
+    def spans(gaps: Column) -> Column:
+        sizes = F.zip_with(gaps, m, lambda g, v: F.length(g) + F.coalesce(F.length(v), F.lit(0)))
+
+        def one(at: Column) -> Column:
+            def span(k: Column) -> Column:
+                gap, value, rest = F.get(gaps, k), F.get(m, k), F.get(gaps, k + 1)
+                start = F.get(at, k) + F.length(gap)
+                before = F.concat(F.right(F.coalesce(F.get(m, k - 1), F.lit("")), F.lit(NEAR)), F.right(gap, F.lit(NEAR)))
+                after = F.concat(F.left(rest, F.lit(1)), F.left(F.coalesce(F.get(m, k + 1), F.lit("")), F.lit(1)))
+                return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
+                                F.right(before, F.lit(NEAR)).alias("before"), F.left(after, F.lit(1)).alias("after"))
+            return F.transform(F.sequence(F.lit(0), F.size(m) - 1), span)
+        return bound(running(sizes, add), one)
+    none = F.array().cast(PLACED)
+    return F.when(F.size(m) > 0, bound(F.split(F.col(text), pattern, -1), spans)).otherwise(none)
+
+
+def _apart(extra: Column, base: Column) -> Column:
+    """The spans of ``extra`` that overlap none of ``base``."""
+    def by_start(b: Column) -> Column:
+        # the furthest end among the first n base spans
+        ends = F.concat(F.transform(b, lambda s: s["end"]), F.array(F.lit(0)))
+        return bound(running(ends, largest), lambda tops: bound(
+            F.transform(b, lambda s: s["start"]), lambda starts: F.filter(
+                extra, lambda x: F.get(tops, count_below(starts, x["end"])) <= x["start"])))
+    places = F.array_sort(F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return F.when((F.size(extra) > 0) & (F.size(base) > 0), bound(places, by_start)).otherwise(extra)
 
 
 def _votes(kind: str, base: bool, v: Column, before: Column, after: Column, luhn: Column) -> list[Column]:
@@ -114,11 +145,9 @@ def _votes(kind: str, base: bool, v: Column, before: Column, after: Column, luhn
 SPAN = "kind:string,start:int,end:int,base:boolean,strict:int,gazetteer:int,context:int,edges:int,size:int,digits:int"
 
 
-def _judged(text: Column, spans: Column, kind: str, name: str, base: bool) -> Column:
+def _judged(spans: Column, kind: str, name: str, base: bool) -> Column:
     def one(s: Column) -> Column:
-        v = s["value"]
-        before = F.substring(text, F.greatest(s["start"] - 39, F.lit(1)), F.least(s["start"], F.lit(40)))
-        after = F.substring(text, s["end"] + 1, F.lit(1))
+        v, before, after = s["value"], s["before"], s["after"]
         digits = F.regexp_replace(v, "[^0-9]", "")
         votes = _votes(kind, base, v, before, after, F.lit(base))
         size = F.least(F.floor(F.log2(F.length(v).cast("double"))), F.lit(6)).cast("int")
@@ -138,11 +167,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     out = docs
     for k, (pattern, cheap) in found.items():
         out = out.withColumn(k, _found(t, pattern, cheap))
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     for k, (pattern, _) in found.items():
-        gaps, placed = _placed("text", k, pattern)
-        out = out.withColumn("gaps_" + k, F.when(F.size(k) > 0, gaps))
-        out = out.withColumn(k, F.when(F.size(k) > 0, placed).otherwise(none)).drop("gaps_" + k)
+        out = out.withColumn(k, _placed("text", k, pattern))
 
     def digits(s: Column) -> Column:
         return F.regexp_replace(s["value"], "[^0-9]", "")
@@ -151,12 +177,11 @@ def candidates(docs: DataFrame) -> DataFrame:
         .withColumn("phone", F.filter("phone", lambda s: F.length(digits(s)).between(10, 15)))
         .withColumn("card2", F.filter("card", lambda s: ~_luhn(digits(s))))
         .withColumn("card", F.filter("card", lambda s: _luhn(digits(s)))))
-    base = F.concat(*(_judged(t, F.col(k), k, k, True) for k in KINDS))
-    extra = F.concat(*(_judged(t, F.col(c), EXTRA[k], k, False)
+    base = F.concat(*(_judged(F.col(k), k, k, True) for k in KINDS))
+    extra = F.concat(*(_judged(F.col(c), EXTRA[k], k, False)
                        for c, k in (("card2", "card?"), ("phone2", "phone?"), ("email2", "email?"), ("secret", "secret"))))
     return (out.withColumn("base_spans", base).withColumn("extra", extra)
-            .withColumn("cands", F.concat("base_spans", F.filter("extra", lambda x: ~F.exists(
-                "base_spans", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))))
+            .withColumn("cands", F.concat("base_spans", _apart(F.col("extra"), F.col("base_spans"))))
             .drop(*found, "card2", "base_spans", "extra"))
 
 
@@ -212,32 +237,36 @@ class Reliability:
 
 
 class SpanClassifier:
-    """Naive Bayes over the votes and features of a span, trained on the
-    posteriors of ``Reliability`` as soft labels."""
+    """Naive Bayes over the votes and features of a span, one model for each
+    kind, trained on the posteriors of ``Reliability`` as soft labels."""
 
     FEATURES = (*LABELERS, "size", "digits")
 
     def __init__(self, rows: list):
         truth = Reliability(rows)
-        total, seen = [1.0, 1.0], {}
+        total, seen = {}, {}
         for r in rows:
-            p = truth.table[EXTRA.get(r["kind"], r["kind"]), tuple(r[k] for k in LABELERS)]
+            kind = EXTRA.get(r["kind"], r["kind"])
+            p = truth.table[kind, tuple(r[k] for k in LABELERS)]
             for c, w in enumerate((1 - p, p)):
-                total[c] += w * r["n"]
+                total.setdefault(kind, [1.0, 1.0])[c] += w * r["n"]
                 for f in self.FEATURES:
-                    seen.setdefault((f, r[f]), [0.5, 0.5])[c] += w * r["n"]
-        self.bias = math.log(total[1] / total[0])
-        self.weight = {k: math.log(b / total[1]) - math.log(a / total[0]) for k, (a, b) in seen.items()}
+                    seen.setdefault((kind, f, r[f]), [0.5, 0.5])[c] += w * r["n"]
+        self.bias = {k: math.log(yes / no) for k, (no, yes) in total.items()}
+        self.weight = {(k, f, v): math.log(yes / total[k][1]) - math.log(no / total[k][0]) for (k, f, v), (no, yes) in seen.items()}
 
     def score(self, span: Column) -> Column:
         """The log-odds as a column expression."""
-        out = F.lit(self.bias)
-        for f in self.FEATURES:
-            part = F.lit(0.0)
-            for (g, value), w in self.weight.items():
-                if g == f:
-                    part = F.when(span[f] == value, F.lit(w)).otherwise(part)
-            out = out + part
+        out = F.lit(0.0)
+        for kind, bias in sorted(self.bias.items()):
+            odds = F.lit(bias)
+            for f in self.FEATURES:
+                part = F.lit(0.0)
+                for (k, g, value), w in self.weight.items():
+                    if (k, g) == (kind, f):
+                        part = F.when(span[f] == value, F.lit(w)).otherwise(part)
+                odds = odds + part
+            out = F.when(span["kind"].isin(kind, *(k for k, v in EXTRA.items() if v == kind)), odds).otherwise(out)
         return out
 
 
@@ -266,15 +295,15 @@ def _base_count(kind: str) -> Column:
 def masked(text: str, spans: str) -> Column:
     """The text with every span replaced by <KIND>; overlapping ones once."""
     t, s = F.col(text), F.col(spans)
-    acc = F.aggregate(
-        s, F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda a, x: F.struct(
-            F.greatest(a["at"], x["end"]).alias("at"),
-            F.when(x["start"] < a["at"], a["out"]).otherwise(F.concat(a["out"], F.array(
-                F.substring(t, a["at"] + 1, x["start"] - a["at"]),
-                F.concat(F.lit("<"), F.upper(F.regexp_replace(x["kind"], r"\?", "")), F.lit(">"))))).alias("out")))
-    return F.when(F.size(s) == 0, t).otherwise(
-        F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t))))
+    ends = F.transform(s, lambda x: x["end"])
+
+    def pieces(parts: Column) -> Column:
+        def one(x: Column, at: Column) -> Column:
+            name = F.concat(F.lit("<"), F.upper(F.regexp_replace(x["kind"], r"\?", "")), F.lit(">"))
+            return F.when(x["start"] < at, F.lit("")).otherwise(F.concat(cut(parts, at, x["start"] - at), name))
+        last = F.array_max(ends)
+        return F.concat(F.array_join(F.zip_with(s, running(ends, largest), one), ""), cut(parts, last, F.length(t) - last))
+    return F.when(F.size(s) == 0, t).otherwise(bound(chunks(t), pieces))
 
 
 def without_personal_data(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:

@@ -280,6 +280,67 @@ def test_long_secrets_are_masked_whole(spark):
     assert {r[0] for r in out.select(pii.masked("text", "spans")).collect()} == {'my token = "<SECRET>" ok'}
 
 
+def labelled_spans():
+    """(text, the added span as kind:value, or None for a decoy of its kind)."""
+    import random
+    rng = random.Random(12)
+    rows = []
+    for k in range(120):
+        n3, n4 = rng.randint(200, 999), rng.randint(1000, 9999)
+        name = rng.choice(["ann", "bob.lee", "q" * 90])
+        rows += [(f"my email is {name}{k} (at) mail{k % 7} (dot) com ok", f"email:{name}{k} (at) mail{k % 7} (dot) com"),
+                 (f"send mail: {name}{k} [at] site.org ok", f"email:{name}{k} [at] site.org"),
+                 (f"we met{k} (at) noon{k} (dot) we{k}x then", None),
+                 (f"'api_key': 'k{n4}Zq{n3}fX{n4}bb{k}'", f"secret:k{n4}Zq{n3}fX{n4}bb{k}"),
+                 (f"password = 'change me{k}'", None), (f"write to joe{k}@mail.com", None), (f"call +1 (234) {n3}-{n4} now", None)]
+    return rows
+
+
+def test_added_spans_of_a_labelled_fixture(spark):
+    rows = labelled_spans()
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    right, wrong, missed = Counter(), Counter(), Counter()
+    for r in pii.detect(df, keep_text=True).collect():
+        want = rows[r.doc_id][1]
+        got = {f"{s.kind.rstrip('?')}:{r.text[s.start:s.end]}" for s in r.spans if not s.base}
+        if want:
+            (right if want in got else missed)[want.split(":")[0]] += 1
+        for s in got - {want}:
+            wrong[s.split(":")[0]] += 1
+    for kind in ("email", "secret"):
+        assert right[kind] >= 0.95 * (right[kind] + missed[kind]) and wrong[kind] <= 0.05 * right[kind], (kind, right, wrong, missed)
+
+
+def test_spans_of_one_text_take_linear_time(spark):
+    import time
+    took = {}
+    for n in (100, 4000, 16_000):  # the first compiles
+        text = " ".join(f"mail joe{k}@mail.com now 4111111111111111 (at)" for k in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.time()
+        (row,) = pii.without_personal_data(df).collect()
+        took[n] = time.time() - begin
+        assert row.text == " ".join(["mail <EMAIL> now <CARD> (at)"] * n)
+    assert took[16_000] <= 5 * took[4000], took
+
+
+def test_running_arrays(spark):
+    import random
+    from tessera.llm import arrays
+    rng = random.Random(3)
+    rows = [([rng.randint(0, 9) for _ in range(n)],) for n in (0, 1, 63, 64, 65, 128, 4096, 4100, 9000)]
+    text = "".join(rng.choice("aé🙂\n") for _ in range(1500))
+    df = spark.createDataFrame(rows, "v array<int>")
+    for (v,), r in zip(rows, df.select("v", arrays.running(F.col("v"), arrays.add).alias("s"), arrays.running(F.col("v"), arrays.largest).alias("m"),
+                                       arrays.count_below(F.array_sort("v"), F.lit(5)).alias("n")).collect()):
+        assert r.v == v and r.s == [sum(v[:k]) for k in range(len(v))] if len(v) < 200 else r.s[-1] == sum(v[:-1]) and len(r.s) == len(v)
+        assert r.m == [max(v[:k], default=0) for k in range(len(v))] and r.n == sum(x < 5 for x in v)
+    spots = [(text, a, n) for a in (0, 1, 255, 256, 257, 1499, 1500) for n in (0, 1, 255, 256, 700) if a + n <= 1500]
+    df = spark.createDataFrame(spots, "t string, a int, n int")
+    got = df.select("a", "n", arrays.cut(arrays.chunks(F.col("t")), F.col("a"), F.col("n")).alias("c")).collect()
+    assert all(r.c == text[r.a:r.a + r.n] for r in got)
+
+
 def test_reliabilities_are_recovered():
     """Votes drawn from labelers of known accuracy; EM ranks them."""
     rng = np.random.default_rng(3)
