@@ -3,11 +3,12 @@ only.
 
 A conversation is written once with the template
 ``<|im_start|>role<|im_sep|>text<|im_end|>`` per turn.  Every assistant turn
-then becomes an example of its own: its context is all that stands before its
-text, its target the text, and only the target is trainable.  An example holds
-offsets (in code points) into the conversation's text instead of another copy
-of it, so the output grows with the turns and not with their square;
-``example_texts`` writes the examples out.
+then becomes an example of its own (``expand``: one row per example): its
+context is all that stands before its text, its target the text, and only the
+target is trainable.  An example names its context by its length in code points
+in the conversation's text, as copying it would make the output grow with the
+square of a conversation's turns; ``example_texts`` writes the contexts out.
+The digests of what is trained are taken from the example rows.
 
 Texts and roles are escaped reversibly: every backslash is doubled and a
 backslash goes behind the first character of each control string, so no
@@ -25,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.arrays import add, bound, chunks, cut, running
+
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 #: Control strings of common chat templates (fixed values).
 CONTROL = (START, SEP, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -58,28 +61,32 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     # role and text order equal turns; both live in head and body already
     per = per.select("conv_id", F.struct(F.col("order.turn").alias("turn"), "head", "body", "trained").alias("t"))
     talk = per.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    length = F.transform("turns", lambda t: F.length(t["head"]) + F.length(t["body"]) + len(END))
-    walk = F.aggregate(
-        F.arrays_zip(F.col("turns").alias("t"), F.col("length").alias("n")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("no"),
-                 F.array().cast("array<struct<target_turn:long,target_start:long,target_chars:long>>").alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["n"]).alias("at"), (a["no"] + 1).alias("no"),
-            F.when(x["t"]["trained"], F.concat(a["out"], F.array(F.struct(
-                a["no"].alias("target_turn"), (a["at"] + F.length(x["t"]["head"])).alias("target_start"),
-                F.length(x["t"]["body"]).cast("long").alias("target_chars"))))).otherwise(a["out"]).alias("out")))
-    return (talk.withColumn("length", length).select(
+    size = F.transform("turns", lambda t: F.length(t["head"]) + F.length(t["body"]) + len(END))
+    spots = F.transform(F.arrays_zip(F.col("turns").alias("t"), running(size, add).alias("at")), lambda x, k: F.struct(
+        k.cast("long").alias("target_turn"), (x["at"] + F.length(x["t"]["head"])).cast("long").alias("target_start"),
+        F.length(x["t"]["body"]).cast("long").alias("target_chars"), x["t"]["trained"].alias("trained")))
+    examples = F.transform(F.filter(spots, lambda x: x["trained"]), lambda x: F.struct(
+        *(x[c].alias(c) for c in ("target_turn", "target_start", "target_chars"))))
+    return talk.select(
         "conv_id", F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["body"], F.lit(END))), "").alias("formatted"),
-        walk["out"].alias("examples")))
+        examples.alias("examples"))
+
+
+def expand(formatted: DataFrame) -> DataFrame:
+    """One row per example: conv_id, target_turn, context_chars (the first so
+    many code points of the conversation's text), target."""
+    made = bound(chunks(F.col("formatted")), lambda parts: F.transform("examples", lambda e: F.struct(
+        e["target_turn"].alias("target_turn"), e["target_start"].alias("context_chars"),
+        cut(parts, e["target_start"].cast("int"), e["target_chars"].cast("int")).alias("target"))))
+    return formatted.select("conv_id", F.explode(made).alias("e")).select("conv_id", "e.*")
 
 
 def example_texts(formatted: DataFrame) -> DataFrame:
     """One row per example: conv_id, target_turn, context, target."""
-    e = F.col("e")
-    return formatted.select("conv_id", "formatted", F.explode("examples").alias("e")).select(
-        "conv_id", e["target_turn"].alias("target_turn"),
-        F.substring("formatted", F.lit(1), e["target_start"].cast("int")).alias("context"),
-        F.substring("formatted", (e["target_start"] + 1).cast("int"), e["target_chars"].cast("int")).alias("target"))
+    texts = formatted.select(F.col("conv_id").alias("of"), "formatted")
+    e = expand(formatted)
+    return e.join(texts, e["conv_id"].eqNullSafe(texts["of"])).select(
+        "conv_id", "target_turn", F.left("formatted", F.col("context_chars").cast("int")).alias("context"), "target")
 
 
 def parsed(formatted: str = "formatted") -> Column:
@@ -91,15 +98,18 @@ def parsed(formatted: str = "formatted") -> Column:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """Digests of what the formatted texts and their loss spans hold."""
-    losses = F.transform("examples", lambda e: unescaped(
-        F.substring(F.col("formatted"), (e["target_start"] + 1).cast("int"), e["target_chars"].cast("int"))))
-    read = formatted.withColumn("read", parsed()).withColumn("loss", F.array_join(losses, ""))
+    """Digests of what the formatted texts and the examples' targets hold."""
     lines = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    return read.select(
+    read = formatted.withColumn("read", parsed()).select(
         "conv_id", F.size("read").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+    trained = F.struct("target_turn", unescaped(F.col("target")).alias("text"))
+    loss = expand(formatted).groupBy(F.col("conv_id").alias("of")).agg(F.array_sort(F.collect_list(trained)).alias("parts")).select(
+        "of", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("loss"))
+    loss = loss.select("of", F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"))
+    return read.join(loss, read["conv_id"].eqNullSafe(loss["of"]), "left").select(
+        "conv_id", "n_turns", "turns_sha256", F.coalesce("loss_chars", F.lit(0).cast("long")).alias("loss_chars"),
+        F.coalesce("loss_sha256", F.sha2(F.lit(""), 256)).alias("loss_sha256"), "formatted_chars")
 
 
 def probe(spark: SparkSession) -> DataFrame:

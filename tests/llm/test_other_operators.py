@@ -211,6 +211,9 @@ def test_chat_round_trip(spark):
         assert r.context.endswith(chat.SEP) and r.context.count(chat.START) == r.target_turn + 1
         seen[r.conv_id] += 1
     assert seen == Counter(i for i, _, r, *_ in rows if r == "assistant")
+    for r in chat.expand(made).collect():
+        at = r.context_chars
+        assert texts[r.conv_id][at:at + len(r.target)] == r.target and texts[r.conv_id][:at].endswith(chat.SEP)
     for r in chat.digests(made).collect():
         loss = "".join(t for a, t in want[r.conv_id] if a == "assistant")
         turns = "".join(f"{a}\n{t}\n" for a, t in want[r.conv_id])
