@@ -9,7 +9,10 @@
    TREES * 2 * SAMPLE / FEW thresholds, whatever the data's size.
 3. Every class goes down all trees.  Near a threshold it goes down both sides
    (spill); the margin is the spread that a pair at the cosine threshold has
-   along a random direction.
+   along a random direction.  As many trees are used as a pair at the threshold
+   needs to share a leaf but for a chance of ``MISSED``, reckoned from the share
+   of vectors that spill on each level of the first tree (``FEWEST`` to
+   ``TREES``; one where a single leaf holds all).
 4. Leaves are compared in blocks: a leaf larger than ``BLOCK`` is split by
    hash, and each pair of its blocks is a group of its own, so no task holds
    a whole leaf however many vectors crowd into it.
@@ -34,11 +37,25 @@ from pyspark.sql import functions as F
 from tessera.llm.components import components
 from tessera.llm.scratch import Scratch
 
-TREES = 8
+TREES, FEWEST = 8, 4
+MISSED = 1e-3
 LEAF, BLOCK = 768, 1536
 SAMPLE, FEW = 20_000, 8
 
 
+def trees_needed(spilled: list[float]) -> int:
+    """How many trees a pair at the threshold needs, given the share of vectors
+    within the margin of a threshold on each level.
+
+    A pair parts where its projections lie beyond both margins.  Their distance
+    is normal with a deviation of the two margins' width, so of the pairs around
+    a threshold E[max(|z| - 1, 0)] = 1/6 parts for each one that spills."""
+    if not spilled:
+        return 1
+    together = float(np.prod([1 - s / 6 for s in spilled]))
+    return int(np.clip(np.ceil(np.log(MISSED) / np.log1p(-min(together, 0.9999))), FEWEST, TREES))
+
+
 class Forest:
     """Directions of each (tree, level), thresholds of the sampled nodes."""
 
@@ -51,23 +68,32 @@ class Forest:
         #: half the deviation of a pair at the threshold along a direction
         self.margin = 0.5 * float(np.sqrt(2 - 2 * cosine) / np.sqrt(d))
         self.cuts: list[dict[int, float]] = []
+        self.trees, spilled = TREES, []
         for t in range(TREES):
+            if t == self.trees:
+                break
             cuts, nodes = {}, {1: np.arange(len(sample))}
             for level in range(self.depth):
                 below = {}
+                near = total = 0
                 for node, rows_ in nodes.items():
                     if len(rows_) < FEW:
                         continue
                     p = sample[rows_] @ self.across[t, level]
                     cuts[node] = float(np.quantile(p, rng.uniform(0.4, 0.6)))
                     below[2 * node], below[2 * node + 1] = rows_[p <= cuts[node]], rows_[p > cuts[node]]
+                    near, total = near + int((np.abs(p - cuts[node]) <= self.margin).sum()), total + len(p)
                 nodes = below
+                # below the sampled levels, as many spill as on the last of them
+                spilled.append(near / total if total else spilled[-1] if spilled else 1.0)
             self.cuts.append(cuts)
+            if t == 0:
+                self.trees = trees_needed(spilled)
 
     def leaves(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, leaf code) of every leaf that each row of ``x`` reaches."""
         rows, codes = [], []
-        for t in range(TREES):
+        for t in range(self.trees):
             at, node = np.arange(len(x)), np.ones(len(x), np.int64)
             for level in range(self.depth):
                 p = x @ self.across[t, level]

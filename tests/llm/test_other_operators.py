@@ -181,6 +181,24 @@ def test_forest_finds_all_links(spark, monkeypatch):
     assert forest.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("depth", [0, 2, 11, 21])
+def test_pairs_at_the_threshold_share_leaves(depth):
+    """Recall of pairs at cosine 0.951 in forests as deep as for 1.6 * 10^9 vectors."""
+    rng = np.random.default_rng(depth)
+    x = rng.normal(size=(20_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    made = forest.Forest(x, forest.LEAF << depth, 0.95)
+    a, n = x[:800], rng.normal(size=(800, 64))
+    n -= (n * a).sum(axis=1, keepdims=True) * a
+    b = 0.951 * a + np.sqrt(1 - 0.951 ** 2) * n / np.linalg.norm(n, axis=1, keepdims=True)
+    met = [set() for _ in a]
+    for r, code in zip(*made.leaves(a)):
+        met[r].add(code)
+    both = {r for r, code in zip(*made.leaves(b)) if code in met[r]}
+    assert len(both) >= 0.99 * len(a)
+    assert made.trees == 1 if depth == 0 else forest.FEWEST <= made.trees <= forest.TREES
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(1, 60)] + [(100, 101), (101, 100), (5, 5)], "a long, b long")
     got = {r.node: r.component for r in components(edges, Scratch(spark, "t")).collect()}
