@@ -20,6 +20,7 @@ from tessera.sources.fs import HadoopFS
 from tessera.sources.partitioned import PartitionedTable
 from tessera.sources.testdata import raw_tables
 from tessera.streaming.file_ingest import ingest_stream
+from tessera.streaming.latest import status_stream
 from tessera.streaming.upsert import intake, upsert_stream
 
 ORDER_NAMES = CONTRACTS["orders_raw"].names
@@ -102,6 +103,15 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted_orders(spark, sf_dir).read().drop("insert_date", "source_name", "order_year")
 
 
+def q_stream_dedup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest statuses after three deliveries out of order, one of them twice."""
+    root = scratch_dir(spark, "stream-latest")
+    for day, k in enumerate((2, 0, 1, 0)):
+        exports.export_order_status(spark, sf_dir, f"{root}/landing/day{day}", (k, 3))
+        state = status_stream(spark, f"{root}/landing/*/order_status", f"{root}/status", f"{root}/checkpoint")
+    return state.read().drop("insert_date", "source_name")
+
+
 def q_contract_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     raws = raw_tables(spark, sf_dir)
     parts = [profile(raws[name], CONTRACTS[name]) for name in CONTRACTS]

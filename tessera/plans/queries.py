@@ -256,6 +256,8 @@ FROM marketing_raw WHERE targetaudience = 'Gold'""")),
     "stream_ingest": (lq.q_stream_ingest, osql.with_models(
         "SELECT orderid, status, statustimestamp FROM order_status_raw")),
     "stream_upsert": (lq.q_stream_upsert, _STREAM_UPSERT_SQL),
+    "stream_dedup_status": (lq.q_stream_dedup_status, osql.with_models(
+        "SELECT orderid, status, statustimestamp FROM stg_order_status")),
     "contract_profile": (lq.q_contract_profile, _profile_sql()),
     "normalize_dates": (lq.q_normalize_dates, """
 SELECT orderid, date_format, date_text,

@@ -61,11 +61,16 @@ def export_orders(spark: SparkSession, sf_dir: str, landing: str,
     return target
 
 
-def export_order_status(spark: SparkSession, sf_dir: str, landing: str) -> str:
+def export_order_status(spark: SparkSession, sf_dir: str, landing: str, part: tuple[int, int] | None = None) -> str:
+    """Deliver the statuses into ``<landing>/order_status/``; ``part`` (k, n):
+    the k-th of n deliveries that the rows are dealt to."""
     from tessera.sources.testdata import raw_order_status
     names = CONTRACTS["order_status_raw"].names
     target = f"{landing.rstrip('/')}/order_status"
-    write_csv(raw_order_status(spark, sf_dir).select(*names), target)
+    rows = raw_order_status(spark, sf_dir).select(*names)
+    if part is not None:
+        rows = rows.where(F.pmod(F.xxhash64(*names), F.lit(part[1])) == part[0])
+    write_csv(rows, target)
     return target
 
 

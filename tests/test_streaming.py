@@ -6,6 +6,8 @@ from tessera.session import scratch_dir
 from tessera.sources import csv_ingest as ci
 from tessera.sources import exports
 from tessera.streaming.file_ingest import ingest_stream, stream_run_id
+from tessera.operators.dedup import keep_latest
+from tessera.streaming.latest import LatestTable, status_stream
 from tessera.streaming.upsert import intake, merge_batch, upsert_stream
 from tests.test_ingest import write
 from tests.conftest import SMALL
@@ -96,3 +98,36 @@ def test_upsert_stream_keeps_rejected_late_and_later_deliveries(spark):
     assert aside == {"2": "orderdate: not a DD/MM/YYYY value", "4": "late", "5": "undated"}
     counts = spark.read.parquet(f"{intake(t)}/_metrics").agg(F.sum("late_rows"), F.sum("undated_rows")).first()
     assert tuple(counts) == (1, 1)
+
+
+def test_latest_table_equals_deduplication_in_any_order(spark):
+    """Ties, older news, repeated deliveries and rows without key or date."""
+    import itertools
+    import random
+    rng = random.Random(5)
+    rows = [(rng.choice(["1", "2", "3", "4", None]), rng.choice(["a", "b"]), rng.choice([f"20{y}-01-0{d} 00:00:00" for y in (21, 22) for d in (1, 2)] + [None]),
+             rng.choice(["f1", "f2", None]), rng.randint(0, 2)) for _ in range(90)]
+    df = spark.createDataFrame(rows, "orderid string, status string, t string, source_name string, part int").withColumn(
+        "statustimestamp", F.col("t").cast("timestamp")).drop("t")
+    dated = df.where("orderid is not null and statustimestamp is not null").drop("part")
+    want = sorted(keep_latest(dated, ["orderid", "status"], "statustimestamp").select(sorted(dated.columns)).collect(), key=str)
+    for order in list(itertools.permutations(range(3)))[::2]:
+        state = LatestTable(spark, scratch_dir(spark, "t-latest"), ["orderid", "status"], "statustimestamp")
+        for k in order:
+            state.fold(df.where(F.col("part") == k).drop("part"))
+        version = state.table.current_version()
+        assert not state.fold(df.where(F.col("part") == order[0]).drop("part")) and state.table.current_version() == version
+        assert sorted(state.read().select(sorted(dated.columns)).collect(), key=str) == want
+
+
+def test_status_stream_goes_on_from_its_table(spark):
+    root = scratch_dir(spark, "t-latest-stream")
+    head = "orderid,status,statustimestamp\n"
+    write(f"{root}/a/s.csv", head + "1,placed,02/01/2023 10:00:00\n1,placed,01/01/2023 10:00:00\n2,placed,bad\n,placed,01/01/2023 10:00:00\n")
+    status_stream(spark, f"{root}/a", f"{root}/status", f"{root}/ckpt")
+    write(f"{root}/b/s.csv", "statustimestamp,status,orderid\n01/02/2022 10:00:00,placed,1\n01/02/2024 10:00:00,sent,1\n")
+    state = status_stream(spark, f"{root}/b", f"{root}/status", f"{root}/ckpt2")  # a new checkpoint
+    got = sorted((r.orderid, r.status, str(r.statustimestamp)) for r in state.read().collect())
+    assert got == [("1", "placed", "2023-01-02 10:00:00"), ("1", "sent", "2024-02-01 10:00:00")]
+    report = {r["file_name"] for r in ci.read_manifest(spark, f"{root}/status_intake").collect()}
+    assert report == {"s.csv"}
