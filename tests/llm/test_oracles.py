@@ -11,7 +11,7 @@ from tools.check_oracle import normalize
 @pytest.mark.parametrize("name", sorted(registry.oracle()))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     df = registry.queries()[name](spark, SMALL)
     got = normalize(df.columns, [tuple(r) for r in df.collect()])
