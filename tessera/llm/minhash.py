@@ -67,6 +67,18 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[new], s[new]
 
 
+def sliced_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`shingle_sets` of a batch's texts, slice by slice: what hashing
+    needs for each byte of text is held for one slice only."""
+    docs, sets, row = [np.zeros(0, np.int64)], [np.zeros(0, U64)], 0
+    for part in slices(batch, "text"):
+        doc, s = shingle_sets(part.column("text"), size)
+        docs.append(doc + row)
+        sets.append(s)
+        row += part.num_rows
+    return np.concatenate(docs), np.concatenate(sets)
+
+
 def signatures(doc: np.ndarray, s: np.ndarray) -> np.ndarray:
     """Minima of all hash functions, a row for each text that has a set."""
     first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
@@ -199,7 +211,7 @@ def linked_texts(rows: DataFrame, size: int, percent: int) -> DataFrame:
     percent * union of their full sets."""
     def run(batches):
         for batch in groups(batches):
-            doc, s = shingle_sets(batch.column("text"), size)
+            doc, s = sliced_sets(batch, size)
             count = np.bincount(doc, minlength=batch.num_rows)
             start = np.concatenate([[0], np.cumsum(count)])
 

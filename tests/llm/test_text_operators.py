@@ -321,3 +321,20 @@ def test_neighbours_share_rare_terms():
 
 def test_packing_empty(empty):
     assert packing.pack_documents(empty, P.path("byte_bpe_50k.json")).count() == 0
+
+
+def test_linked_texts_hashes_a_slice_at_a_time(monkeypatch):
+    """A batch of many groups takes the working memory of one slice."""
+    import numpy as np
+    import pyarrow as pa
+    from tessera.llm import minhash, words
+    texts = [f"w{i} alpha beta gamma delta w{i % 7} omega" * 3 if i % 5 else None for i in range(400)] + ["", "one two"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    most, sets = [], minhash.shingle_sets
+    monkeypatch.setattr(minhash, "shingle_sets", lambda t, size: (most.append(int(words.text_bytes(t)[1][-1])), sets(t, size))[1])
+    monkeypatch.setattr(words.slices, "__defaults__", (2000,))
+    got = minhash.sliced_sets(batch, 5)
+    assert len(most) > 5 and max(most) <= 2000
+    for a, b in zip(got, sets(batch.column("text"), 5)):
+        assert np.array_equal(a, b)
+    assert not len(minhash.sliced_sets(batch.slice(0, 0), 5)[0])
