@@ -6,6 +6,11 @@ is broadcast, anything larger falls back to a shuffled sort-merge join, and
 AQE's skew-join handling splits an oversized partition (for instance all
 rows with a NULL or hot foreign key) into several tasks.  No join here hints
 a broadcast for data without a size bound.
+
+A broadcast side passes through the driver, where a few MB of compressed keys
+become a hash table of hundreds.  Sides that grow with the tables (keys of
+orders, members) are marked ``shuffled``, so a build of many joins sends
+the driver nothing that grows.
 """
 
 from __future__ import annotations
@@ -22,6 +27,11 @@ def star_except(df: DataFrame, exclude: Sequence[str]) -> list[Column]:
     return [df[c] for c in df.columns if c.lower() not in skip]
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that never passes through the driver."""
+    return df.hint("merge")
+
+
 def left_enrich(facts: DataFrame, dim: DataFrame, key: str,
                 dim_columns: Sequence[str], spread_nulls_by: str | None = None) -> DataFrame:
     """LEFT JOIN a many-to-one dimension on ``key``; keeps the fact grain.

@@ -22,6 +22,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import shuffled
+
 
 def unique(df: DataFrame, column: str) -> DataFrame:
     # The NULL group is dropped after the aggregation, in one expression over
@@ -49,7 +51,7 @@ def _orphan_key_counts(df: DataFrame, column: str, parent: DataFrame, field_name
               .groupBy(F.col(column).alias("_child_key"))
               .agg(F.count(F.lit(1)).alias("_rows")))
     parents = parent.select(F.col(field_name).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
-    return keys.join(parents, keys["_child_key"] == parents["_parent_key"], "left_anti")
+    return keys.join(shuffled(parents), keys["_child_key"] == parents["_parent_key"], "left_anti")
 
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, field_name: str) -> DataFrame:

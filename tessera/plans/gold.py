@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import utc_now
 
-from tessera.operators.joins import left_enrich, star_except
+from tessera.operators.joins import left_enrich, shuffled, star_except
 
 
 def _stamp() -> F.Column:
@@ -28,7 +28,7 @@ def build_orders(stg_orders: DataFrame, stg_members: DataFrame,
     then member and campaign attributes, as in the source model.
     """
     o_cols = [c for c in stg_orders.columns if c not in ("memberid", "insert_date")]
-    with_members = left_enrich(stg_orders, stg_members, "memberid", MEMBER_ATTRIBUTES,
+    with_members = left_enrich(stg_orders, shuffled(stg_members), "memberid", MEMBER_ATTRIBUTES,
                                spread_nulls_by="orderid")
     enriched = left_enrich(with_members, stg_marketing, "campaignid", CAMPAIGN_ATTRIBUTES,
                            spread_nulls_by="orderid")
@@ -49,5 +49,5 @@ def build_member_preferences(stg_preferences: DataFrame, stg_members: DataFrame)
     The source model projects only the member attributes; memberid and
     preference are kept here too, so its output is a projection of ours.
     """
-    joined = left_enrich(stg_preferences, stg_members, "memberid", MEMBER_ATTRIBUTES)
+    joined = left_enrich(stg_preferences, shuffled(stg_members), "memberid", MEMBER_ATTRIBUTES)
     return joined.select("memberid", "preference", *MEMBER_ATTRIBUTES, _stamp())

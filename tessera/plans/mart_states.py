@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import month_label, month_start
 from tessera.operators import retraction as rt
+from tessera.operators.joins import shuffled
 from tessera.plans import marts
 
 
@@ -40,7 +41,7 @@ def revenue(state: DataFrame) -> DataFrame:
 
 def items_state(orders: DataFrame, items: DataFrame) -> DataFrame:
     o = rt.signed(orders).select("orderid", month_start("orderdate").alias("month"), "_sign")
-    return rt.state(o.join(items.select("orderid", "itemname"), "orderid"), ["month", "itemname"])
+    return rt.state(shuffled(o).join(items.select("orderid", "itemname"), "orderid"), ["month", "itemname"])
 
 
 def popular_items(state: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def spending_members(state: DataFrame) -> DataFrame:
 
 def times_state(orders: DataFrame, status: DataFrame) -> DataFrame:
     o = rt.signed(orders).select("orderid", "storeid", "_sign")
-    return rt.state(o.join(marts.delivery_micros(status), "orderid"), ["storeid"], F.col("micros"), "decimal(38,0)")
+    return rt.state(shuffled(o).join(marts.delivery_micros(status), "orderid"), ["storeid"], F.col("micros"), "decimal(38,0)")
 
 
 def processing_times(state: DataFrame) -> DataFrame:

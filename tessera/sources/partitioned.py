@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.dedup import keep_latest
+from tessera.operators.joins import shuffled
 from tessera.sources.commits import CommitConflict, CommitLog
 from tessera.sources.fs import HadoopFS
 
@@ -87,6 +88,11 @@ class PartitionedTable:
         version = self.current_version() if version is None else version
         return None if version is None else self._read(self.log.read(version))
 
+    def partition_values(self, version: int) -> list:
+        """The partitions that hold rows, as the commit names them."""
+        entry = self.log.read(version)
+        return [_value(f, _schema(entry)[self.partition_col].dataType) for f in entry["partitions"]]
+
     def changes(self, since: int, version: int | None = None) -> DataFrame | None:
         """Rows that ``version`` has and ``since`` lacks (``_sign`` 1) and the
         other way round (-1); a row changed twice comes with each change.
@@ -165,13 +171,16 @@ class PartitionedTable:
         schema = _schema(entry)
         return self._frame(schema, entry["keyless"]).select([c for c in schema.names if c != self.partition_col])
 
-    def merge(self, changes: DataFrame, key: str, order_col: str, base: int | None = None) -> list:
+    def merge(self, changes: DataFrame, key: str, order_col: str, base: int | None = None, unique: bool = False) -> list:
         """Upsert ``changes`` on ``key`` into version ``base`` (the current one
-        if not given); returns the values of the partitions that changed."""
+        if not given); returns the values of the partitions that changed.
+        ``unique``: ``changes`` has one row per key already."""
         head = self.current_version()
         base = head if base is None else base
         entry = None if base is None else self.log.read(base)
-        keyed = keep_latest(changes.where(F.col(key).isNotNull()), [key], order_col)
+        keyed = changes.where(F.col(key).isNotNull())
+        if not unique:
+            keyed = keep_latest(keyed, [key], order_col)
         lost = changes.where(F.col(key).isNull())
         delta = self.derive(keyed.withColumn(KIND, F.lit("live" if entry is None else "new"))
                             .unionByName(lost.withColumn(KIND, F.lit("keyless"))))
@@ -185,7 +194,7 @@ class PartitionedTable:
         schema, p, new = _schema(entry), self.partition_col, written.get("new", {})
         keys = self._frame(schema, [f for fs in new.values() for f in fs]).select(F.col(key).alias("_changed_key"))
         target = self._read(entry)
-        holders = [r[0] for r in target.select(key, p).join(keys, F.col(key) == keys["_changed_key"], "left_semi")
+        holders = [r[0] for r in target.select(key, p).join(shuffled(keys), F.col(key) == keys["_changed_key"], "left_semi")
                    .select(p).distinct().collect()]
         values = {self._folder(v): v for v in holders} | {f: _value(f, schema[p].dataType) for f in new}
         parts = dict(entry["partitions"])
@@ -194,7 +203,7 @@ class PartitionedTable:
         out: dict = {}
         if rewritten:
             marked = keys.select("_changed_key", F.lit(True).alias("_changed"))
-            rows = target.where(self._in(list(rewritten.values()))).join(marked, F.col(key) == marked["_changed_key"], "left")
+            rows = target.where(self._in(list(rewritten.values()))).join(shuffled(marked), F.col(key) == marked["_changed_key"], "left")
             kind = F.when(F.col("_changed"), "old").otherwise("live")
             out = self._write(rows.select(*schema.names, kind.alias(KIND)), head)
             parts = {f: fs for f, fs in parts.items() if f not in rewritten} | out.get("live", {})
