@@ -76,7 +76,8 @@ def base_orders_items(raw: DataFrame) -> DataFrame:
 
 
 def base_order_status(raw: DataFrame) -> DataFrame:
-    return raw.where(F.col("statustimestamp").isNotNull() & parses("order_status_raw")).select(
+    # a cell that is there and parses: its value is not NULL
+    return raw.where(parse_timestamp("statustimestamp", "DD/MM/YYYY HH24:MI:SS").isNotNull()).select(
         varchar("orderid", 100).alias("orderid"),
         varchar("status", 50).alias("status"),
         parse_timestamp("statustimestamp", "DD/MM/YYYY HH24:MI:SS").alias("statustimestamp"),

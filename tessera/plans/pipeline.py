@@ -30,6 +30,7 @@ import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,17 +161,16 @@ class Warehouse:
     def high_water(self, name: str):
         """``MAX(orderdate)`` of a model table.  For the date-partitioned order
         tables the partition value rises with the date, so only the newest
-        partition's dates are read (the other partitions contribute just
-        their partition value)."""
+        partition's dates are read; the commit says which one that is."""
         if not SPECS[name].date_partitioned:
             return inc.high_water(self.read(name), "orderdate")
         version = self.version(name)
         if version is None:
             return None
-        df = self.table(name).read(version)
-        top = df.agg(F.max(self.part_col).alias("p")).first()["p"]
+        top = max((p for p in self.table(name).partition_values(version) if p is not None), default=None)
         if top is None:
             return None
+        df = self.table(name).read(version)
         return df.where(F.col(self.part_col) == F.lit(top)).agg(F.max("orderdate").alias("hw")).first()["hw"]
 
     def read_since(self, name: str, hw) -> DataFrame:
@@ -343,11 +343,13 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
     raw_versions = {t: (raw_versions or {}).get(t) or f"unknown-{run_id}" for t in raw}
 
     seen = {t: raw_versions[t] for t in sorted(bronze.PARSED) if t in raw}
-    if entry["rejects"] != seen:
+
+    def set_aside() -> None:
+        spark.sparkContext.setLocalProperty("spark.job.description", "bronze rejects")
         bad = bronze.rejects(raw)  # cells that do not parse: kept aside, written anew
         if bad is not None:
             bad.write.mode("overwrite").parquet(f"{wh.root.rstrip('/')}/_rejects/bronze")
-        entry["rejects"] = seen
+
     chosen = downstream(select) if select else set(SPECS)
     missing = [i for n in chosen for i in SPECS[n].inputs
                if i in SPECS and i not in chosen and wh.version(i) is None]
@@ -364,11 +366,17 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
         def one(n: str):
             return n, build_model(wh, raw, n, run_id, entry["inputs"].get(n), full_refresh)
 
-        if threads > 1:
+        work = [partial(one, n) for n in due]
+        aside = layer == LAYERS[0] and entry["rejects"] != seen
+        if aside:  # beside the bronze models: it reads what they read
+            work.insert(0, set_aside)
+        if threads > 1 and work:
             with ThreadPoolExecutor(max_workers=threads) as pool:
-                done = list(pool.map(one, due))
+                done = list(pool.map(lambda f: f(), work))
         else:
-            done = [one(n) for n in due]
+            done = [f() for f in work]
+        if aside:
+            done, entry = done[1:], entry | {"rejects": seen}
         for n, (written, report) in done:
             wh.staged.update(written)
             versions[n] = report
