@@ -2,8 +2,8 @@
 
 A state table holds the latest row of every key, by year of its date
 (:class:`~tessera.sources.partitioned.PartitionedTable`).  A delivery is
-reduced alone to one row per key and folded in: of its row and the state's the
-later one stays, by the total order of :func:`~tessera.operators.dedup.keep_latest`.
+folded in by one pass over its rows and the state's: of each key the latest row
+stays, by the total order of :func:`~tessera.operators.dedup.keep_latest`.
 That choice is associative, commutative and idempotent, so deliveries may come
 in any order, late, split over micro-batches or twice, and the table equals the
 deduplication of all they held.  Only rows that win are merged: a delivery
@@ -50,29 +50,23 @@ class LatestTable:
     def fold(self, delivery: DataFrame) -> bool:
         """Fold a delivery in; False if it brought nothing new."""
         dated = delivery.where(" AND ".join(f"`{c}` IS NOT NULL" for c in (*self.keys, self.date_col)))
-        news = keep_latest(dated, self.keys, self.date_col).withColumn(KEY, F.to_json(F.struct(*self.keys)))
-        news = news.persist(StorageLevel.MEMORY_AND_DISK)
+        base = self.table.current_version()
+        if base is None:
+            won = keep_latest(dated, self.keys, self.date_col)
+        else:
+            # one pass over both: the delivery's rows need no pass of their own.
+            # The mark comes last in the order: of equal rows the state's stays
+            state = self.table.read(base).drop(KEY, self.table.partition_col)
+            both = state.withColumn(NEWS, F.lit(1)).unionByName(dated.withColumn(NEWS, F.lit(2)))
+            won = keep_latest(both, self.keys, self.date_col).where(F.col(NEWS) == 2).drop(NEWS)
+        won = won.withColumn(KEY, F.to_json(F.struct(*self.keys))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            base, state = self.table.current_version(), None
-            if base is not None:
-                state = self.table.read(base).drop(self.table.partition_col)
-                keys = news.select(F.col(KEY).alias("_news_key"))
-                state = state.join(keys, state[KEY] == keys["_news_key"], "left_semi")
-                # the mark comes last in the order: of equal rows the state's stays
-                both = state.withColumn(NEWS, F.lit(1)).unionByName(news.withColumn(NEWS, F.lit(2)))
-                won = keep_latest(both, self.keys, self.date_col).where(F.col(NEWS) == 2).drop(NEWS)
-            else:
-                won = news
-            won = won.persist(StorageLevel.MEMORY_AND_DISK)
-            try:
-                if base is not None and won.isEmpty():
-                    return False
-                self.table.merge(won, KEY, self.date_col, base)
-                return True
-            finally:
-                won.unpersist()
+            if base is not None and won.isEmpty():
+                return False
+            self.table.merge(won, KEY, self.date_col, base, unique=True)
+            return True
         finally:
-            news.unpersist()
+            won.unpersist()
 
 
 def status_table(spark: SparkSession, root: str) -> LatestTable:

@@ -1,5 +1,7 @@
 """File-drop streams: each file once, by-name mapping, idempotent upsert."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tessera.session import scratch_dir
@@ -131,3 +133,28 @@ def test_status_stream_goes_on_from_its_table(spark):
     assert got == [("1", "placed", "2023-01-02 10:00:00"), ("1", "sent", "2024-02-01 10:00:00")]
     report = {r["file_name"] for r in ci.read_manifest(spark, f"{root}/status_intake").collect()}
     assert report == {"s.csv"}
+
+
+def test_a_fold_takes_one_shuffle_for_delivery_and_state(spark, monkeypatch):
+    """A delivery's rows and the state's meet once; its news are merged as they are."""
+    from tessera.sources.partitioned import PartitionedTable
+    merged, merge = [], PartitionedTable.merge
+
+    def noted(self, changes, *args, **kwargs):
+        merged.append(kwargs.get("unique"))
+        return merge(self, changes, *args, **kwargs)
+    monkeypatch.setattr(PartitionedTable, "merge", noted)
+    windows, real = [], keep_latest
+    from tessera.streaming import latest
+    monkeypatch.setattr(latest, "keep_latest", lambda *a, **b: (windows.append(1), real(*a, **b))[1])
+    state = LatestTable(spark, scratch_dir(spark, "t-fold"), ["k"], "d")
+    schema = "k string, d timestamp, source_name string, v int"
+
+    def day(n):
+        return dt.datetime(2021, 1, n)
+
+    state.fold(spark.createDataFrame([("1", day(1), "a", 1), ("1", day(2), "a", 2), ("2", day(3), "a", 1)], schema))
+    state.fold(spark.createDataFrame([("1", day(1), "b", 9), ("2", day(4), "b", 2), ("2", day(3), "b", 3), ("3", day(1), "b", 1)], schema))
+    assert len(windows) == 2 and merged == [True, True]
+    assert sorted((r["k"], r["v"]) for r in state.read().collect()) == [("1", 2), ("2", 2), ("3", 1)]
+    assert state.read().columns == ["k", "d", "source_name", "v"]
