@@ -350,6 +350,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
         if bad is not None:
             bad.write.mode("overwrite").parquet(f"{wh.root.rstrip('/')}/_rejects/bronze")
 
+    beside = [set_aside] if entry["rejects"] != seen else []  # beside the first layer: it reads what that reads
     chosen = downstream(select) if select else set(SPECS)
     missing = [i for n in chosen for i in SPECS[n].inputs
                if i in SPECS and i not in chosen and wh.version(i) is None]
@@ -366,17 +367,14 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
         def one(n: str):
             return n, build_model(wh, raw, n, run_id, entry["inputs"].get(n), full_refresh)
 
-        work = [partial(one, n) for n in due]
-        aside = layer == LAYERS[0] and entry["rejects"] != seen
-        if aside:  # beside the bronze models: it reads what they read
-            work.insert(0, set_aside)
+        work = [*beside, *(partial(one, n) for n in due)]
         if threads > 1 and work:
             with ThreadPoolExecutor(max_workers=threads) as pool:
                 done = list(pool.map(lambda f: f(), work))
         else:
             done = [f() for f in work]
-        if aside:
-            done, entry = done[1:], entry | {"rejects": seen}
+        if beside:
+            done, entry, beside = done[1:], entry | {"rejects": seen}, []
         for n, (written, report) in done:
             wh.staged.update(written)
             versions[n] = report
@@ -393,6 +391,8 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse: str,
             for n in {n for _, (written, _) in done for n in written}:
                 kept = tuple(v for v in (before.get(n), entry["models"][n]) if v is not None)
                 wh.tables[n].vacuum(keep=keep_versions, protect=kept)
+    for f in beside:  # no layer was built
+        f()
     wh.staged.clear()
     wh.pinned = None
     return {"versions": versions, "tests": tests, "warehouse": wh}

@@ -215,3 +215,26 @@ def test_lake_versions_name_the_load_runs(spark):
     one = pipeline.lake_versions(spark, lake)
     fs.mkdirs(f"{lake}/orders_raw/ingest_run=b")
     assert set(one) == {"orders_raw"} and pipeline.lake_versions(spark, lake) != one
+
+
+def test_rejects_are_written_beside_the_first_layer(spark, monkeypatch):
+    """The models of the first layer do not wait for the scan of the rejects."""
+    import threading
+    started, order = threading.Event(), []
+    rejects, base = pipeline.bronze.rejects, pipeline.build_model
+
+    def slow(raw):
+        order.append(started.wait(60))
+        return rejects(raw)
+
+    def model(wh, raw, name, *args):
+        started.set()
+        return base(wh, raw, name, *args)
+    monkeypatch.setattr(pipeline.bronze, "rejects", slow)
+    monkeypatch.setattr(pipeline, "build_model", model)
+    monkeypatch.setattr(pipeline, "LAYERS", ("bronze",))
+    root, raw = scratch_dir(spark, "t-pipeline-beside"), raw_tables(spark, SMALL)
+    for _ in range(2):  # the second time nothing has changed
+        pipeline.build(spark, raw, root, raw_versions=states(0))
+    assert order == [True]
+    assert spark.read.parquet(f"{root}/_rejects/bronze").count() == 0
