@@ -76,11 +76,13 @@ def base_orders_items(raw: DataFrame) -> DataFrame:
 
 
 def base_order_status(raw: DataFrame) -> DataFrame:
-    # a cell that is there and parses: its value is not NULL
-    return raw.where(parse_timestamp("statustimestamp", "DD/MM/YYYY HH24:MI:SS").isNotNull()).select(
+    # a cell that is there and parses: its value is not NULL.  A filter is not
+    # pushed below explode, where it would parse every cell a second time.
+    at = F.explode(F.array(parse_timestamp("statustimestamp", "DD/MM/YYYY HH24:MI:SS")))
+    return raw.withColumn("_parsed", at).where(F.col("_parsed").isNotNull()).select(
         varchar("orderid", 100).alias("orderid"),
         varchar("status", 50).alias("status"),
-        parse_timestamp("statustimestamp", "DD/MM/YYYY HH24:MI:SS").alias("statustimestamp"),
+        F.col("_parsed").alias("statustimestamp"),
         "source_name", _stamp())
 
 

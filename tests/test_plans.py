@@ -1,5 +1,6 @@
 """Plan shape: pruning, pushdown, partial top-k before shuffles, no Python."""
 
+from tessera.plans import bronze
 from tessera.plans import landing_queries as lq
 from tessera.plans.queries import layers
 from tests.conftest import SMALL
@@ -32,3 +33,14 @@ def test_partition_prune_uses_partition_filters(spark):
 def test_popular_items_window_gets_group_limit(spark):
     p = plan(layers(spark, SMALL).mart_popular_items)
     assert p.count("WindowGroupLimit") >= 2
+
+
+def test_status_texts_are_parsed_once(spark):
+    rows = [("1", "Submitted", "05/01/2023 10:00:00"), ("2", "Submitted", None), ("3", "click", "2023-01-05"),
+            ("4", "click", ""), (None, None, "6/1/2023 1:2:3"), ("1", "Submitted", "05/01/2023 10:00:00")]
+    raw = spark.createDataFrame(rows, "orderid string, status string, statustimestamp string").selectExpr("*", "'f' source_name")
+    df = bronze.base_order_status(raw)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp(") == 1
+    found = [(r.orderid, r.status, str(r.statustimestamp)) for r in df.collect()]
+    assert sorted(found, key=str) == sorted([("1", "Submitted", "2023-01-05 10:00:00")] * 2 + [(None, None, "2023-01-06 01:02:03")], key=str)
