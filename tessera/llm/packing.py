@@ -47,6 +47,7 @@ def encode_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def encode(batches):
         cache = library_cache(tokenizer)
+        scramble = mix(np.arange(max(vocab_size(tokenizer), end_id + 1)).astype(U64))
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, off = cache.encode(part.column("text"))
@@ -56,7 +57,7 @@ def encode_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 out[np.arange(len(ids)) + doc] = ids
                 out[off[1:] + np.arange(n)] = end_id
                 ends = off + np.arange(n + 1)
-                key = np.minimum.reduceat(mix(out.astype(U64)), ends[:-1]) if n else np.zeros(0, U64)
+                key = np.minimum.reduceat(scramble[out], ends[:-1]) if n else np.zeros(0, U64)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([out[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
                      pa.array(key.astype(np.int64))], ["doc_id", "ids", "key"])

@@ -1,6 +1,7 @@
 """Records and the BPE transducer against the tokenizers library."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -14,7 +15,7 @@ from tokenizers import Tokenizer
 
 from tessera.llm import bpe, records
 from tessera.llm.scratch import Scratch
-from tessera.llm.tokens import PieceCache, library_cache
+from tessera.llm.tokens import JoinedCache, PieceCache, library_cache, token_bytes
 
 BYTE, WORD = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
 ODD = st.lists(st.sampled_from(list("ab \n\t'sre.|<>é 　1́ΣA日🙂\x1c\x85") + ["<|endoftext|>", "  ", " \n", "'ll"]),
@@ -43,6 +44,30 @@ def test_cache_forgets_but_stays_right():
         assert ids.tolist() == lib.encode(text, add_special_tokens=False).ids and len(cache.keys) <= 16
 
 
+def test_new_words_reach_the_library_joined():
+    """The library gets one text for several new pieces, not a call's cost for each."""
+    lib, sent = Tokenizer.from_file(BYTE), []
+    with open(BYTE, encoding="utf-8") as f:
+        size = token_bytes(json.load(f))
+
+    def encode_many(pieces):
+        sent.extend(pieces)
+        return [lib.encode(p, add_special_tokens=False).ids for p in pieces]
+
+    rng = random.Random(5)
+    plain = "".join(f" w{k}x" for k in range(3200))
+    odd = ["".join(rng.choices(list("ab \n\t's.|<>é\u3000́Σ日🙂\x1c\x85\u2028\u3042") + ["<|endoftext|>", "  ", " \n", "'ll"], k=60)) for _ in range(300)]
+    for size_of, most in ((size, 3200 // 16 + 10), (np.zeros_like(size), 10**6)):  # sizes that fit no text: one by one
+        cache = JoinedCache(encode_many, size_of)
+        sent.clear()
+        for texts in ([plain], odd, [plain, "a", *odd[::-1]]):
+            ids, off = cache.encode(pa.array(texts))
+            assert [ids[a:b].tolist() for a, b in zip(off, off[1:])] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+            if texts == [plain]:
+                assert len(sent) <= most
+    assert isinstance(library_cache(BYTE), JoinedCache) and not isinstance(library_cache(WORD), JoinedCache)
+
+
 def test_transducer_with_the_least_window():
     lib, m = Tokenizer.from_file(BYTE), bpe.Merges(BYTE)
     m.window = m.lookahead + 1
